@@ -64,3 +64,15 @@ def scan_query_result(spark: SparkSession, path) -> DataFrame:
 def scan_processed(spark: SparkSession, path, columns: Sequence[str]) -> DataFrame:
     """A table written earlier as tab-separated text: given columns, all text."""
     return scan_tsv(spark, path, schema=", ".join(f"`{c}` string" for c in columns))
+
+
+def scan_export(spark: SparkSession, path, columns: Sequence[str], comments: bool = False) -> DataFrame:
+    """A folder written by :mod:`idtrail.sinks.tables`, where only the first part has the header.
+
+    ``comments`` skips the ``#`` lines and the blank line of a mapping set.
+    """
+    lines = spark.read.text(path).where(F.col("value") != "\t".join(columns))
+    if comments:
+        lines = lines.where((F.col("value") != "") & ~F.col("value").startswith("#"))
+    cells = F.split("value", "\t")
+    return lines.select(*[F.nullif(F.get(cells, i), F.lit("")).alias(c) for i, c in enumerate(columns)])
