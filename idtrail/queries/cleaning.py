@@ -106,21 +106,22 @@ def preview_limit(spark, folder):
     return R.preview(rows, ["p_name", "p_partkey"], 20)
 
 
-MARK = 'class="ad"'
+MARK = '<html lang="fr"'
 
 
-@query(f"""SELECT page_id, html FROM pages WHERE NOT contains(html, '{MARK}')""")
+@query(f"""WITH lines AS (SELECT page_id AS file, unnest(string_split(html, chr(10))) AS value FROM pages)
+SELECT * FROM lines WHERE file NOT IN (SELECT file FROM lines WHERE contains(value, '{MARK}'))""")
 def failed_extract_gate(spark, folder):
-    """Pages whose markup holds no failure mark on any line."""
+    """Lines of the pages that hold no failure mark on any line."""
+    return Q.reject_failed_extracts(_page_lines(spark, folder), mark=MARK)
+
+
+def _page_lines(spark, folder):
     pages = B.table(spark, folder, "pages")
-    lines = pages.select(F.col("page_id").alias("file"), F.explode(F.split("html", "\n")).alias("value"))
-    failed = Q.failed_extracts(lines, mark=MARK).select(F.col("file").alias("page_id"))
-    return Q.anti_join(pages, failed, ["page_id"], ["url"]).select("page_id", "html")
+    return pages.select(F.col("page_id").alias("file"), F.explode(F.split("html", "\n")).alias("value"))
 
 
 @query(f"""WITH lines AS (SELECT page_id AS file, unnest(string_split(html, chr(10))) AS value FROM pages)
 SELECT file, count(*) AS n_marks FROM lines WHERE contains(value, '{MARK}') GROUP BY file""")
 def failed_extracts(spark, folder):
-    pages = B.table(spark, folder, "pages")
-    lines = pages.select(F.col("page_id").alias("file"), F.explode(F.split("html", "\n")).alias("value"))
-    return Q.failed_extracts(lines, mark=MARK)
+    return Q.failed_extracts(_page_lines(spark, folder), mark=MARK)

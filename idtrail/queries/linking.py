@@ -11,6 +11,8 @@ from idtrail.operators import labels as L, redirects as G, xref as X
 from idtrail.queries import base as B
 from idtrail.queries.base import query
 from idtrail.queries.labelling import GENES, genes
+from idtrail.session import work_folder
+from idtrail.sources.triples import scan_triples, write_triples
 
 GRAPH = f"""{GENES},
 mappings AS (
@@ -103,7 +105,9 @@ def triples(spark, folder) -> DataFrame:
         rows(supplier, entity, F.lit("skos:altLabel"), F.concat(F.lit("N"), nation), F.when(nation != 3, "en").otherwise("de")),
         rows(supplier, entity, F.lit("skos:altLabel"), F.concat(F.lit("alias "), "s_name"), F.lit("en")),
     ]
-    return reduce(DataFrame.union, parts)
+    path = work_folder(spark)
+    write_triples(reduce(DataFrame.union, parts), path)
+    return scan_triples(spark, path)
 
 
 TRIPLES = """kinds AS (

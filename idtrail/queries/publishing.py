@@ -13,7 +13,7 @@ from idtrail.queries.classify import WITHDRAWALS, symbol_withdrawals
 from idtrail.queries.joining import LABEL_PAIRS, MERGED, label_pairs
 from idtrail.queries.linking import GENE_LABELS, redirects_sql, triples
 from idtrail.queries.scanning import PART_RECORDS, part_records
-from idtrail.session import work_folder
+from idtrail.session import staged, work_folder
 from idtrail.sinks.tables import write_sssom
 from idtrail.sources.tabular import scan_export
 
@@ -207,7 +207,7 @@ names AS (SELECT DISTINCT "primaryID", "{label}" AS name, "{alias}" AS synonym F
 
     def run(spark, folder):
         rows = G.redirects_by_class(triples(spark, folder), classes, V.HUMAN_TAXON if taxon else None, label, alias)
-        return P.mapping_set("Wikidata", P.wikidata(rows, label, alias), label, alias)
+        return P.mapping_set("Wikidata", P.wikidata(staged(rows), label, alias), label, alias)
 
     return sql, run
 

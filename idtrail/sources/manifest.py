@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 def scan_manifest(spark: SparkSession, path) -> DataFrame:
     """(datasource, key, value); an empty value is NULL."""
     lines = spark.read.text(path)
-    folder = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1)
+    # file_path is URI-encoded
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    folder = F.regexp_extract(path, "([^/]+)/[^/]+$", 1)
     return manifest_entries(lines.select(folder.alias("datasource"), "value"))
 
 

@@ -50,8 +50,16 @@ def _tag_values(block: Column, tag: str) -> Column:
 
 
 def scan_xml(spark: SparkSession, path, row_tag: str = XML_ROW) -> DataFrame:
-    """Records of one large XML file or many, split by record tag."""
-    return xml_records(spark.read.format("xml").option("rowTag", row_tag).schema(XML_SCHEMA).load(path))
+    """Records of XML files of any size.
+
+    The text is cut at the end tags of the records, which Spark does in parallel splits; a reader
+    of whole XML documents would give one file to one task.
+    """
+    end = f"</{row_tag}>"
+    chunks = spark.read.option("lineSep", end).text(path)
+    record = F.regexp_extract("value", rf"(?s)(<{row_tag}[\s>].*)", 1)
+    records = chunks.select(record.alias("value")).where("value != ''")
+    return xml_documents(records.select(F.concat("value", F.lit(end)).alias("value")))
 
 
 def xml_records(parsed: DataFrame) -> DataFrame:
