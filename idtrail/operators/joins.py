@@ -139,20 +139,29 @@ def marked(values: DataFrame, column: str, out: str) -> DataFrame:
 
 def optional_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join, many rows per key on both sides; a NULL key matches a NULL key."""
-    return _matches(left, completed(right, left, keys), keys)
+    return _matches(left, completed(right, key_sides(left, right, keys), _LEFT), keys)
 
 
 def full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full join, many rows per key on both sides; a NULL key matches a NULL key."""
-    return _matches(completed(left, right, keys), completed(right, left, keys), keys)
+    sides = key_sides(left, right, keys)
+    return _matches(completed(left, sides, _RIGHT), completed(right, sides, _LEFT), keys)
 
 
-def completed(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``df`` plus an empty row for every key that only ``other`` has."""
-    own = df.select(*[F.col(f"`{k}`").alias(f"__o{i}") for i, k in enumerate(keys)]).distinct()
-    theirs = other.select(*keys).distinct()
-    pairs = [(theirs[k], own[f"__o{i}"]) for i, k in enumerate(keys)]
-    lacking = theirs.join(own, all_equal(pairs, True), "left_anti")
+_LEFT, _RIGHT = 1, 2
+
+
+def key_sides(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct keys of both tables with the sides they occur on; one map-side combined shuffle."""
+    keys = [f"`{k}`" for k in keys]
+    tagged = left.select(*keys, F.lit(_LEFT).alias("__side"))
+    tagged = tagged.union(right.select(*keys, F.lit(_RIGHT).alias("__side")))
+    return tagged.groupBy(*keys).agg(F.bit_or("__side").alias("__side"))
+
+
+def completed(df: DataFrame, sides: DataFrame, other: int = _LEFT) -> DataFrame:
+    """``df`` plus an empty row for every key that only the ``other`` side has."""
+    lacking = sides.where(F.col("__side") == other).drop("__side")
     return df.unionByName(lacking, allowMissingColumns=True)
 
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from idtrail.functions import vocab as V
-from idtrail.operators.joins import completed, semi_join
+from idtrail.operators.joins import completed, key_sides, semi_join
 
 
 def entities_of_class(triples: DataFrame, classes: Sequence[str]) -> DataFrame:
@@ -53,5 +53,6 @@ def redirects_by_class(
     # completed from the ids and not from the rows so far, so the ids are computed once and reused.
     rows = ids
     for part in (moved, english(triples, V.LABEL, label), english(triples, V.ALT_LABEL, alias)):
-        rows = rows.join(completed(part, ids, ["primaryID"]), "primaryID")
+        sides = key_sides(ids, part, ["primaryID"])
+        rows = rows.join(completed(part, sides), "primaryID")
     return rows

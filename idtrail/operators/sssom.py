@@ -152,8 +152,8 @@ def source_summary(df: DataFrame) -> DataFrame:
     return df.agg(F.when(low == high, low).alias("source"))
 
 
-def header_rows(df: DataFrame, meta: SetMetadata) -> DataFrame:
-    """Header lines (seq, line) of a mapping set.
+def header_lines(meta: SetMetadata) -> tuple[list[str], list[str]]:
+    """Header lines before and after the place of the single source.
 
     Order: prefixes, provider, the single source if there is one, set id, description, license,
     date, comment.
@@ -162,22 +162,22 @@ def header_rows(df: DataFrame, meta: SetMetadata) -> DataFrame:
     before += [f'# mapping_provider: "{meta.provider}"'] if meta.provider else []
     after = [("mapping_set_id", meta.set_id), ("mapping_set_description", meta.description)]
     after += [("license", meta.license), ("mapping_date", meta.date), ("comment", meta.comment)]
-    after = [f'# {k}: "{v}"' for k, v in after if v]
-    one = source_summary(df) if "source" in df.columns else None
+    return before, [f'# {k}: "{v}"' for k, v in after if v]
+
+
+def header_rows(df: DataFrame, meta: SetMetadata) -> DataFrame:
+    """Header of a mapping set as (seq, line) rows."""
+    before, after = header_lines(meta)
     fixed = [(i, s) for i, s in enumerate(before)] + [(100 + i, s) for i, s in enumerate(after)]
     lines = df.sparkSession.createDataFrame(fixed, "seq int, line string")
-    if one is None:
+    if "source" not in df.columns:
         return lines
     quoted = F.concat(F.lit('# source: "'), F.col("source"), F.lit('"'))
-    source = one.where(F.col("source").isNotNull()).select(
-        F.posexplode(F.array(quoted, F.lit("#"))).alias("seq", "line")
-    )
-    source = source.withColumn("seq", F.col("seq") + 50)
-    return lines.unionByName(source)
+    source = source_summary(df).where(F.col("source").isNotNull())
+    source = source.select(F.posexplode(F.array(quoted, F.lit("#"))).alias("seq", "line"))
+    return lines.unionByName(source.withColumn("seq", F.col("seq") + 50))
 
 
-def without_single_source(df: DataFrame) -> DataFrame:
-    """Drops the ``source`` column if the header carries it. Reads two values to decide."""
-    if "source" in df.columns and source_summary(df).first()["source"] is not None:
-        return df.drop("source")
-    return df
+def single_source(df: DataFrame) -> str | None:
+    """The one source of all rows, if they agree; reads one column and returns one value."""
+    return source_summary(df).first()["source"] if "source" in df.columns else None

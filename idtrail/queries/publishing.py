@@ -17,6 +17,12 @@ from idtrail.session import staged, work_folder
 from idtrail.sinks.tables import write_sssom
 from idtrail.sources.tabular import scan_export
 
+
+def _stored(tables):
+    """Stage 2 starts from stored tables, as in a published build."""
+    return {name: staged(tables[name]) for name in ("mappings", "labels")}
+
+
 # NCBI: lines as retired genes of two taxa, their (part, supplier) pairs as current genes.
 
 
@@ -93,7 +99,7 @@ SELECT coalesce(m."primaryID", l."primaryID") AS subject_id, coalesce(l."primary
   m.mapping_cardinality, m.short AS "comment", nullif(concat_ws(' ', m."source", l."source"), '') AS "source"
 FROM m FULL JOIN l ON m."primaryID" = l."primaryID" AND m."secondarySymbol" IS NOT DISTINCT FROM l."secondarySymbol" """)
 def ncbi_sssom(spark, folder):
-    return P.mapping_set("NCBI", _ncbi(spark, folder))
+    return P.mapping_set("NCBI", _stored(_ncbi(spark, folder)))
 
 
 # HGNC: orders as withdrawn symbols, customers as the complete set.
@@ -142,7 +148,7 @@ def hgnc_labels(spark, folder):
 
 @query(f"""WITH {HGNC}, {MERGED}""")
 def hgnc_sssom(spark, folder):
-    return P.mapping_set("HGNC", _hgnc(spark, folder))
+    return P.mapping_set("HGNC", _stored(_hgnc(spark, folder)))
 
 
 # UniProt: lines as secondary accessions, finished orders as deleted ones.
@@ -244,7 +250,7 @@ def sssom_rows(spark, folder):
     """A mapping set written with its header and read back; its single source is in the header."""
     rows = K.describe_mappings(B.live_edges(spark, folder), note_retired=False).withColumn("source", F.lit("lineitem"))
     path = work_folder(spark)
-    write_sssom(S.sssom_of_plain(rows), path, P.set_metadata("UniProt", provider="lineitem"))
+    write_sssom(staged(S.sssom_of_plain(rows)), path, P.set_metadata("UniProt", provider="lineitem"))
     return scan_export(spark, path, S.PLAIN_COLUMNS[:-1], comments=True)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from idtrail.functions import clean as C
-from idtrail.operators.sssom import SetMetadata, header_rows, without_single_source
+from idtrail.operators.sssom import SetMetadata, header_lines, single_source
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -31,9 +31,14 @@ def write_tsv(df: DataFrame, path: str, names: Mapping[str, str] | None = None)
 
 
 def write_sssom(df: DataFrame, path: str, meta: SetMetadata) -> None:
-    """Mapping set with its metadata header, in the same layout as :func:`write_tsv`."""
-    head = [r["line"] for r in header_rows(df, meta).orderBy("seq").collect()]
-    _write_lines(head + [""], without_single_source(df), path)
+    """Mapping set with its metadata header, in the same layout as :func:`write_tsv`.
+
+    A source that all rows share moves to the header. ``df`` is read twice; hand it a stored table.
+    """
+    before, after = header_lines(meta)
+    source = single_source(df)
+    shared = [f'# source: "{source}"', "#"] if source is not None else []
+    _write_lines([*before, *shared, *after, ""], df.drop("source") if shared else df, path)
 
 
 def _write_lines(head: list[str], df: DataFrame, path: str) -> None:
