@@ -102,7 +102,7 @@ def lookup(
     null_safe: bool = False,
     base: DataFrame | None = None,
 ) -> DataFrame:
-    """Join ``df`` with a ``table`` that has one row per key.
+    """Join ``df`` with ``table``; with several rows per key there, rows are repeated.
 
     ``how`` is ``left`` (attach the other columns of ``table``), ``left_semi`` or ``left_anti``.
     With ``null_safe`` a NULL key matches a NULL key. ``base`` must hold the keys and spread

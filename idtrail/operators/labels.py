@@ -47,7 +47,7 @@ def explode_typed_aliases(
     keep_empty: bool = False,
 ) -> DataFrame:
     """One row per alias; its comment says whether the alias is the authority's symbol of any gene."""
-    rows = flag_member(explode_list(df, aliases, out, keep_empty=keep_empty), nomenclature, out, "__own")
+    rows = flag_member(explode_list(df, aliases, out, keep_empty=keep_empty), nomenclature, out, "__own", ["primaryID"])
     text = F.when(F.col("__own"), V.NOMENCLATURE_COMMENT).otherwise(V.UNOFFICIAL_COMMENT)
     if release is not None:
         text = F.concat(text, C.release_note(release))

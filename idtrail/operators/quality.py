@@ -40,7 +40,7 @@ def orphan_labels(mappings: DataFrame, labels: DataFrame, symbol: str = "primary
     """Mappings whose target symbol is neither a current nor an old symbol of the label table."""
     known = labels.select(F.col("primarySymbol").alias(symbol)).union(labels.select("secondarySymbol"))
     live, _ = split_withdrawn(mappings, symbol)
-    return anti_join(live.where(F.col(symbol).isNotNull()), known, [symbol])
+    return anti_join(live.where(F.col(symbol).isNotNull()), known, [symbol], ["secondaryID"])
 
 
 def quality_report(mappings: DataFrame, labels: DataFrame) -> DataFrame:

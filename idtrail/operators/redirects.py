@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from idtrail.functions import vocab as V
-from idtrail.operators.joins import completed, key_sides, semi_join
+from idtrail.operators.joins import completed, key_sides, lookup, semi_join
 
 
 def entities_of_class(triples: DataFrame, classes: Sequence[str]) -> DataFrame:
@@ -49,10 +49,12 @@ def redirects_by_class(
     ids = entities.withColumnRenamed("subject", "primaryID")
     moved = triples.where(F.col("predicate") == V.SAME_AS)
     moved = moved.select(F.col("object").alias("primaryID"), F.col("subject").alias("secondaryID")).distinct()
-    # Every part is distinct, so their joins are distinct as well: no final shuffle. Each part is
-    # completed from the ids and not from the rows so far, so the ids are computed once and reused.
-    rows = ids
-    for part in (moved, english(triples, V.LABEL, label), english(triples, V.ALT_LABEL, alias)):
-        sides = key_sides(ids, part, ["primaryID"])
-        rows = rows.join(completed(part, sides), "primaryID")
+    # Every part is distinct, so their joins are distinct as well: no final shuffle. The ids are
+    # computed once and reused, as are the cells, which spread an entity with many redirects.
+    key, spread = ["primaryID"], ["secondaryID"]
+    moved = completed(moved, key_sides(ids, moved, key))
+    rows = semi_join(moved, ids, key, spread)
+    for part in (english(triples, V.LABEL, label), english(triples, V.ALT_LABEL, alias)):
+        part = completed(part, key_sides(ids, part, key))
+        rows = lookup(rows, part, key, spread, base=moved)
     return rows

@@ -69,13 +69,13 @@ def sssom_of_redirects(redirects: DataFrame, label: str = "name", alias: str = "
 def withdrawn_closure(df: DataFrame, primary="primaryID", secondary="secondaryID") -> DataFrame:
     """Withdrawn mappings and the mappings whose target is one of their old ids (one hop)."""
     live, gone = split_withdrawn(df, primary)
-    return gone.unionByName(semi_join(live, _retired(gone, primary, secondary), [primary]))
+    return gone.unionByName(semi_join(live, _retired(gone, primary, secondary), [primary], [secondary]))
 
 
 def outside_closure(df: DataFrame, primary="primaryID", secondary="secondaryID") -> DataFrame:
     """The rest: live mappings to targets that are not withdrawn themselves."""
     live, gone = split_withdrawn(df, primary)
-    return anti_join(live, _retired(gone, primary, secondary), [primary])
+    return anti_join(live, _retired(gone, primary, secondary), [primary], [secondary])
 
 
 def _retired(gone, primary, secondary) -> DataFrame:

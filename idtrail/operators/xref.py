@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from idtrail.functions import clean as C, vocab as V
 from idtrail.operators.joins import with_group_count
@@ -100,15 +100,14 @@ def xref_sets(edges: DataFrame, page_size: int = 100_000, primary: str = "primar
 
 
 def build_info(
-    spark: SparkSession, source: str, version: str, build_date: str, datatype: str = "Identifiers", **more: str
+    facts: DataFrame, source: str, version: str, build_date: str | None = None, datatype: str = "Identifiers"
 ) -> DataFrame:
-    """(key, value) rows that describe one build."""
-    rows = {
-        "BUILDDATE": build_date,
-        "DATASOURCENAME": source,
-        "DATASOURCEVERSION": version,
-        "DATATYPE": datatype,
-        **more,
-    }
-    return spark.createDataFrame(list(rows.items()), "key string, value string")
+    """(key, value) rows that describe one build.
 
+    ``facts`` is a one-row table whose columns become rows too; it may bring BUILDDATE itself.
+    """
+    fixed = {"DATASOURCENAME": source, "DATASOURCEVERSION": version, "DATATYPE": datatype}
+    fixed |= {"BUILDDATE": build_date} if build_date is not None else {}
+    facts = facts.select(*[F.col(c).cast("string").alias(c) for c in facts.columns])
+    facts = facts.withColumns({k: F.lit(v) for k, v in fixed.items()})
+    return facts.unpivot([], facts.columns, "key", "value")

@@ -105,6 +105,13 @@ def publish(
             X.xref_nodes(edges, pri, V.SYSTEM_CODES[source]),
             X.xref_links(edges, pri),
             written.get("attributes", none),
-            X.build_info(spark, source, release, build_date),
+            X.build_info(spark.range(1).drop("id"), source, release, build_date),
         )
     return written
+
+
+def export(tables: P.Tables, folder: str, names: Mapping[str, str] | None = None) -> None:
+    """Tab-separated copies of the stage-1 tables; ``names`` renames columns in the export."""
+    for name in ("pri_ids", "mappings", "labels"):
+        if name in tables:
+            W.write_tsv(tables[name], f"{folder.rstrip('/')}/{name}_tsv", names)

@@ -17,18 +17,19 @@ Tables = dict[str, DataFrame]
 
 GENE_MAPPING = ("primaryID", "primarySymbol", "secondaryID", "secondarySymbol", K.PREDICATE, K.CLASS, "comment", "source")
 PLAIN_MAPPING = ("primaryID", "secondaryID", K.PREDICATE, K.CLASS, "comment", "source")
+NCBI_MISSING = ("-", "")
 GENE_LABEL = ("primaryID", "primarySymbol", "secondarySymbol", K.PREDICATE, K.CLASS, "comment", "source")
 
 
 def ncbi(history: DataFrame, info: DataFrame, release: str, taxon: str = V.HUMAN) -> Tables:
-    history = R.normalise(R.keep_taxon(history, taxon))
+    history = R.normalise(R.keep_taxon(history, taxon), spellings=NCBI_MISSING)
     edges = history.select(
         C.target_or_withdrawn("GeneID").alias("primaryID"),
         F.col("Discontinued_GeneID").alias("secondaryID"),
         F.col("Discontinued_Symbol").alias("secondarySymbol"),
         F.col("Discontinue_Date").alias("date"),
     )
-    info = R.normalise(R.keep_taxon(info, taxon)).withColumnsRenamed({"GeneID": "primaryID", "Synonyms": "aliases"})
+    info = R.normalise(R.keep_taxon(info, taxon), spellings=NCBI_MISSING).withColumnsRenamed({"GeneID": "primaryID", "Synonyms": "aliases"})
     naming = ("Symbol", "Symbol_from_nomenclature_authority")
     genes = L.with_primary_symbol(info, *naming)
     symbols = L.current_symbols(edges, genes.select("primaryID", "primarySymbol"))

@@ -124,7 +124,9 @@ def label_pairs(spark, folder):
     prio = F.col("o_orderpriority")
     mappings = orders.select(
         target.alias("primaryID"),
-        F.when(F.col("o_orderstatus") == "F", V.WITHDRAWN).otherwise(F.concat(F.lit("C"), "o_custkey")).alias("primarySymbol"),
+        F.when(F.col("o_orderstatus") == "F", V.WITHDRAWN)
+        .otherwise(F.concat(F.when(prio == "4-NOT SPECIFIED", "X").otherwise("C"), "o_custkey"))
+        .alias("primarySymbol"),
         F.concat(F.lit("H"), F.col("o_orderkey") + 700).alias("secondaryID"),
         F.when(prio != "5-LOW", F.concat(F.lit("W"), "o_custkey", prio)).alias("secondarySymbol"),
         prio.alias("predicateID"),
@@ -150,7 +152,8 @@ def label_pairs(spark, folder):
 
 LABEL_PAIRS = """m AS (
   SELECT CASE WHEN o_orderstatus = 'F' THEN 'Entry Withdrawn' ELSE 'H' || o_custkey END AS "primaryID",
-    CASE WHEN o_orderstatus = 'F' THEN 'Entry Withdrawn' ELSE 'C' || o_custkey END AS "primarySymbol",
+    CASE WHEN o_orderstatus = 'F' THEN 'Entry Withdrawn' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'X' || o_custkey
+      ELSE 'C' || o_custkey END AS "primarySymbol",
     'H' || (o_orderkey + 700) AS "secondaryID",
     CASE WHEN o_orderpriority <> '5-LOW' THEN 'W' || o_custkey || o_orderpriority END AS "secondarySymbol",
     o_orderpriority AS "predicateID", o_orderstatus AS mapping_cardinality,

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from idtrail.functions import vocab as V
+from idtrail.functions import clean as C, vocab as V
 from idtrail.operators import labels as L, redirects as G, xref as X
 from idtrail.queries import base as B
 from idtrail.queries.base import query
@@ -72,13 +72,14 @@ def xref_sets(spark, folder):
 
 
 @query("""SELECT 'BUILDDATE' AS key, strftime(max(o_orderdate), '%Y%m%d') AS value FROM orders
-UNION ALL SELECT 'ROWS', CAST(count(*) AS VARCHAR) FROM orders""")
+UNION ALL SELECT 'ROWS', CAST(count(*) AS VARCHAR) FROM orders UNION ALL SELECT 'DATASOURCENAME', 'orders'
+UNION ALL SELECT 'DATASOURCEVERSION', '1' UNION ALL SELECT 'DATATYPE', 'Identifiers'""")
 def build_info(spark, folder):
-    """Build facts taken from the data."""
+    """Build facts, the date and row count among them taken from the data."""
     facts = B.table(spark, folder, "orders").agg(
-        F.date_format(F.max("o_orderdate"), "yyyyMMdd").alias("BUILDDATE"), F.count("*").cast("string").alias("ROWS")
+        C.date_stamp(F.max("o_orderdate")).alias("BUILDDATE"), F.count("*").alias("ROWS")
     )
-    return facts.unpivot([], ["BUILDDATE", "ROWS"], "key", "value")
+    return X.build_info(facts, "orders", "1")
 
 
 def triples(spark, folder) -> DataFrame:

@@ -36,8 +36,9 @@ def _ncbi(spark, folder):
         F.concat(F.lit("S"), "l_orderkey").alias("Discontinued_Symbol"),
         F.when(F.col("l_tax") > 0, F.date_format("l_shipdate", "yyyyMMdd")).otherwise("-").alias("Discontinue_Date"),
     )
-    pairs = lines.select("l_partkey", "l_suppkey", taxon.alias("#tax_id"), "l_quantity").where("l_quantity > 20")
-    pairs = pairs.select("l_partkey", "l_suppkey", "`#tax_id`").distinct()
+    # Current genes of the other taxon are unknown to the symbol lookup, so its fallbacks occur too.
+    other = F.when(F.col("l_returnflag") == "N", "9606").otherwise("10090")
+    pairs = lines.select("l_partkey", "l_suppkey", other.alias("#tax_id")).distinct()
     size, symbol = F.col("p_size"), F.concat(F.lit("G"), "p_partkey")
     info = pairs.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         "`#tax_id`",
@@ -58,7 +59,7 @@ genes AS (
   SELECT DISTINCT l_partkey || '-' || l_suppkey AS "primaryID", 'G' || p_partkey AS symbol,
     CASE WHEN p_size >= 48 THEN p_brand END AS authority,
     CASE WHEN p_type = 'SMALL' THEN NULL ELSE string_split(p_name, ' ') || [p_brand] END AS aliases
-  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linestatus = 'F' AND l_quantity > 20),
+  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'N'),
 named AS (SELECT *, CASE WHEN authority IS NULL THEN symbol ELSE symbol || '|' || authority END AS "primarySymbol" FROM genes),
 own AS (SELECT "secondaryID", min("secondarySymbol") AS symbol FROM edges GROUP BY 1),
 ncbi_mappings AS (
@@ -275,6 +276,13 @@ def quality_report(spark, folder):
     return Q.quality_report(*label_pairs(spark, folder))
 
 
+@query(f"""WITH {LABEL_PAIRS}
+SELECT * FROM m WHERE "primarySymbol" <> 'Entry Withdrawn'
+  AND NOT EXISTS (SELECT 1 FROM l WHERE l."primarySymbol" = m."primarySymbol" OR l."secondarySymbol" = m."primarySymbol")""")
+def orphan_labels(spark, folder):
+    return Q.orphan_labels(*label_pairs(spark, folder))
+
+
 @query(f"""WITH {WITHDRAWALS}, targets_ AS (SELECT unnest(string_split(targets, ', ')) AS target FROM withdrawals)
 SELECT 'every target is approved or withdrawn' AS "check",
   CASE WHEN bool_and(regexp_matches(target, 'Approved|Entry Withdrawn')) THEN 'true' ELSE 'false' END AS outcome, count(*) AS n FROM targets_""")

@@ -181,20 +181,18 @@ def tsv_export(spark, folder):
 
 
 @query("""WITH entries AS (
-  SELECT r_name AS datasource, unnest(['release', 'date', 'url', 'file_names']) AS key,
-    unnest([CAST(r_regionkey AS VARCHAR), NULL, 'http://x/?a=' || r_regionkey, r_name || '_a.tsv,' || r_name || '_b.tsv']) AS value FROM region)
+  SELECT c_name AS datasource, unnest(['release', 'date', 'url', 'file_names']) AS key,
+    unnest([CAST(c_nationkey AS VARCHAR), NULL, 'http://x/?a=' || c_custkey, c_name || '_a.tsv,' || c_name || '_b.tsv']) AS value FROM customer)
 SELECT datasource, key, value, NULL AS item FROM entries
 UNION ALL SELECT datasource, 'item', NULL, unnest(string_split(value, ',')) FROM entries WHERE key = 'file_names'""")
 def manifest_scan(spark, folder):
+    """Customers as sources, each with the lines of its manifest."""
     text = F.concat(
-        F.lit("release="), "r_regionkey", F.lit("\ndate=\nurl=http://x/?a="), "r_regionkey",
-        F.lit("\nfile_names="), "r_name", F.lit("_a.tsv,"), "r_name", F.lit("_b.tsv\n"),
+        F.lit("release="), "c_nationkey", F.lit("\ndate=\n\nurl=http://x/?a="), "c_custkey",
+        F.lit("\nfile_names="), "c_name", F.lit("_a.tsv,"), "c_name", F.lit("_b.tsv"),
     )
-    path = work_folder(spark)
-    region = B.table(spark, folder, "region").select(F.col("r_name").alias("source"), text.alias("value"))
-    region.write.partitionBy("source").text(path)
-    manifest = M.scan_manifest(spark, f"{path}/*/*")
-    manifest = manifest.withColumn("datasource", F.regexp_replace("datasource", "^source=", ""))
+    lines = B.table(spark, folder, "customer").select(F.col("c_name").alias("datasource"), F.explode(F.split(text, "\n")).alias("value"))
+    manifest = M.manifest_entries(lines)
     items = M.manifest_list(manifest, "file_names")
     items = items.select("datasource", F.lit("item").alias("key"), F.lit(None).cast("string").alias("value"), "item")
     return manifest.withColumn("item", F.lit(None).cast("string")).unionByName(items)

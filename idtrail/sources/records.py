@@ -46,7 +46,7 @@ def _tag_values(block: Column, tag: str) -> Column:
     """Lines between a tag line and the next blank line (or the end of the block)."""
     body = F.regexp_extract(block, rf"(?s)(?:^|\n)> <{tag}>[^\n]*\n(.*?)(?:\n\s*\n|\n?$)", 1)
     values = F.transform(F.split(body, "\n"), lambda x: F.trim(x))
-    return F.filter(values, lambda x: (x != "") & ~x.startswith("> <"))
+    return F.filter(values, lambda x: (x != "") & (x != BLOCK_END) & ~x.startswith("> <"))
 
 
 def scan_xml(spark: SparkSession, path, row_tag: str = XML_ROW) -> DataFrame:
@@ -99,7 +99,7 @@ def scan_xml_archives(spark: SparkSession, path, container: str = XML_CONTAINER)
     return xml_documents(zip_documents(files, container))
 
 
-def zip_documents(files: DataFrame, container: str = XML_CONTAINER, chunk: int = 1000) -> DataFrame:
+def zip_documents(files: DataFrame, container: str = XML_CONTAINER, chunk: int = 200) -> DataFrame:
     """(value) per document of the archives at ``files.path``."""
     listing = files.mapInPandas(_list_entries(chunk), "path string, chunk long, names array<string>")
     parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -134,8 +134,7 @@ def _read_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, names in zip(batch["path"], batch["names"]):
             with _open(path) as f, zipfile.ZipFile(f) as archive:
-                for name in names:
-                    text = archive.read(name).decode("utf-8")
-                    yield pd.DataFrame({"name": [name], "value": [text]})
+                texts = [archive.read(name).decode("utf-8") for name in names]
+            yield pd.DataFrame({"name": list(names), "value": texts})
 
 
