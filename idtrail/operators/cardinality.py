@@ -9,14 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from idtrail.functions import clean as C, vocab as V
-from idtrail.operators.joins import (
-    counted_cells,
-    flag_member,
-    join_cells,
-    join_facts,
-    marked,
-    with_group_count,
-)
+from idtrail.operators.joins import add_facts, attach, flag_member, key_facts, marked, with_group_count
 
 CLASS = "mapping_cardinality"
 PREDICATE = "predicateID"
@@ -56,12 +49,14 @@ def _classified(live, everything, primary, secondary, out, facts=()) -> DataFram
     whole = F.col(primary).isNotNull() & F.col(secondary).isNotNull()
     live_ids = live.select(primary, secondary).where(whole)
     all_ids = everything.select(primary, secondary).where(whole)
-    targets = counted_cells(live_ids, primary, [secondary], "__fan_in")
+    targets = key_facts(live_ids, [primary])
+    targets = targets.withColumn("__fan_in", F.col("__rows"))
     for table in facts:
-        targets = join_facts(targets, table, [primary])
-    olds = counted_cells(all_ids, secondary, [primary], "__fan_out")
-    rows = join_cells(live, targets, [primary], [secondary])
-    rows = join_cells(rows, olds, [secondary], [primary])
+        targets = add_facts(targets, table, [primary])
+    olds = key_facts(all_ids, [secondary])
+    olds = olds.withColumn("__fan_out", F.col("__rows"))
+    rows = attach(live, targets, [primary], [secondary])
+    rows = attach(rows, olds, [secondary], [primary])
     label = F.concat(_one_or_n("__fan_in"), F.lit(":"), _one_or_n("__fan_out"))
     return rows.withColumn(out, F.when(whole, label)).drop("__fan_in", "__fan_out")
 

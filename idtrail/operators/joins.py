@@ -1,22 +1,26 @@
 """Joins and counts that stay even when one key holds a large part of all rows.
 
-Two devices are used throughout:
-
-* **Cells.** To attach facts about a key to many rows, the rows are first reduced to their
-  (key, salt) cells: map-side combined, at most one cell per key and salt. The cells fetch the
-  facts, then the rows join the cells on (key, salt). A hot key is thus spread over as many tasks
-  as there are salts and no group is ever gathered in one place. The salt is a hash of other
-  columns of the row, so a task that is run again computes the same salt. Exact copies of a row
-  share a cell; adaptive execution splits those, as both sides of the join are plain shuffles.
+Three devices are used throughout:
+
+* **Facts per key.** To attach facts to many rows, the distinct keys of the rows are counted first
+  (one shuffle, map-side combined) and fetch the facts; then the facts are attached to the rows.
+  Keys that hold many rows are known from the count: the facts of the ``HEAVY_KEYS`` largest are
+  broadcast, and their rows are spread by a hash instead of meeting in one task. Every other key
+  holds less than one ``HEAVY_KEYS``-th of all rows and takes an ordinary shuffle join. What is
+  broadcast has at most ``HEAVY_KEYS`` rows, however large the data is.
+* **Cells.** Where a key has several rows on the other side too, rows are reduced to their distinct
+  (key, salt) pairs, these are joined with the other side, and the rows join them on (key, salt).
+  The salt is a hash of other columns of the row, so a task that is run again computes the same.
 * **Completed sides.** Spark can split a skewed partition of an inner join on both sides, of a left
   join only on the left and of a full join not at all. Outer joins with many rows per key on both
   sides are therefore inner joins: each side first gets one empty row per key that only the other
-  side has. The key sets are distinct, so finding those keys is free of skew.
+  side has.
 
-Cells read their input a second time, but only its key and salt columns. In a chain of lookups
-pass the first table as ``base``, so that the cells come from it and not from the chain.
+Exact copies of a row cannot be told apart by a hash; adaptive execution splits those, as both
+sides of the final join are plain shuffles.
 
-No side is broadcast here: adaptive execution does so when the measured size allows it.
+Facts and cells read their input a second time, but only its key columns. In a chain of lookups
+pass the first table as ``base``, so that they are taken from it and not from the chain.
 """
 
 from __future__ import annotations
@@ -24,9 +28,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-_SALT = "__salt"
+# A key is heavy from this many rows on, and at most so many keys are treated as heavy.
+HEAVY_ROWS = 100_000
+HEAVY_KEYS = 10_000
+
+_COUNT, _SALT = "__rows", "__salt"
 
 
 def salt_buckets(df: DataFrame) -> int:
@@ -38,40 +46,52 @@ def salt_of(df: DataFrame, spread: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in spread]), F.lit(salt_buckets(df)))
 
 
-def cells_of(df: DataFrame, keys: Sequence[str], spread: Sequence[str]) -> DataFrame:
-    """Distinct (key, salt) pairs as columns ``__k0``, ``__k1`` .. and ``__s``."""
+def key_facts(df: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Distinct keys (``__k0``, ``__k1`` ..) and the number of rows of each (``__rows``)."""
+    if not null_safe:
+        df = df.dropna(subset=list(keys))
     named = [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]
-    return df.select(*named, salt_of(df, spread).alias("__s")).distinct()
-
-
-def counted_cells(df: DataFrame, key: str, spread: Sequence[str], out: str) -> DataFrame:
-    """Cells with the number of rows that share their key.
-
-    The window runs over cells, of which a key has at most one per salt.
-    """
-    cells = df.groupBy(F.col(f"`{key}`").alias("__k0"), salt_of(df, spread).alias("__s"))
-    cells = cells.agg(F.count("*").alias("__n"))
-    return cells.select("__k0", "__s", F.sum("__n").over(Window.partitionBy("__k0")).alias(out))
+    return df.groupBy(*named).agg(F.count("*").alias(_COUNT))
 
 
-def join_facts(cells: DataFrame, facts: DataFrame, keys: Sequence[str], how="left", null_safe=False) -> DataFrame:
-    """Cells with the other columns of ``facts``, a table with one row per key."""
-    values = [c for c in facts.columns if c not in keys]
-    facts = facts.select(*[F.col(f"`{k}`").alias(f"__t{i}") for i, k in enumerate(keys)], *values)
-    pairs = [(cells[f"__k{i}"], facts[f"__t{i}"]) for i in range(len(keys))]
-    joined = cells.join(facts, all_equal(pairs, null_safe), how)
-    return joined.select(*cells.columns, *(values if how in ("left", "inner") else []))
+def add_facts(facts: DataFrame, table: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Key facts with the other columns of ``table``, which has one row per key."""
+    values = [c for c in table.columns if c not in keys]
+    table = table.select(*[F.col(f"`{k}`").alias(f"__t{i}") for i, k in enumerate(keys)], *values)
+    pairs = [(facts[f"__k{i}"], table[f"__t{i}"]) for i in range(len(keys))]
+    return facts.join(table, all_equal(pairs, null_safe), "left").select(*facts.columns, *values)
 
 
-def join_cells(
-    df: DataFrame, cells: DataFrame, keys: Sequence[str], spread: Sequence[str], how="left", null_safe=False
+def attach(
+    df: DataFrame, facts: DataFrame, keys: Sequence[str], spread: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
-    """Rows with the facts of their cell; ``how`` is left, left_semi or left_anti."""
-    rows = df.withColumn(_SALT, salt_of(df, spread))
-    pairs = [(rows[f"`{k}`"], cells[f"__k{i}"]) for i, k in enumerate(keys)]
-    joined = rows.join(cells, all_equal(pairs, null_safe) & (rows[_SALT] == cells["__s"]), how)
-    values = [c for c in cells.columns if not c.startswith("__k") and c != "__s"] if how == "left" else []
-    return joined.select(*[f"`{c}`" for c in df.columns], *values)
+    """Rows with the columns of ``facts``, which must hold all keys of ``df`` and their row counts."""
+    values = [c for c in facts.columns if not c.startswith("__k") and c != _COUNT]
+    heavy = facts.where(F.col(_COUNT) >= HEAVY_ROWS).orderBy(F.desc(_COUNT)).limit(HEAVY_KEYS)
+    heavy = heavy.select(
+        *[F.col(f"__k{i}").alias(f"__h{i}") for i in range(len(keys))],
+        *[F.col(v).alias(f"__heavy_{v}") for v in values],
+        F.lit(True).alias("__heavy"),
+    )
+    pairs = [(df[f"`{k}`"], heavy[f"__h{i}"]) for i, k in enumerate(keys)]
+    rows = df.join(F.broadcast(heavy), all_equal(pairs, null_safe), "left")
+    apart = F.col("__heavy").isNotNull()
+    if not null_safe:
+        apart = apart | reduce(lambda x, y: x | y, [F.col(f"`{k}`").isNull() for k in keys])
+    # Rows set apart match nothing in the shuffle join, so their salt may be any number but 0.
+    scattered = F.xxhash64(*[F.col(f"`{c}`") for c in spread]).bitwiseOR(F.lit(1))
+    rows = rows.withColumn(_SALT, F.when(apart, scattered).otherwise(0))
+    # Salt 0 on every key. Written so that it stays a column: the join must shuffle by (key, salt).
+    zero = F.when(F.col(_COUNT) > 0, F.lit(0).cast("long"))
+    facts = facts.select(
+        *[F.col(f"__k{i}") for i in range(len(keys))],
+        *[F.col(v).alias(f"__fact_{v}") for v in values],
+        zero.alias("__s"),
+    )
+    pairs = [(rows[f"`{k}`"], facts[f"__k{i}"]) for i, k in enumerate(keys)]
+    joined = rows.join(facts, all_equal(pairs, null_safe) & (rows[_SALT] == facts["__s"]), "left")
+    chosen = [F.when(F.col("__heavy"), F.col(f"__heavy_{v}")).otherwise(F.col(f"__fact_{v}")).alias(v) for v in values]
+    return joined.select(*[f"`{c}`" for c in df.columns], *chosen)
 
 
 def with_group_count(
@@ -87,10 +107,8 @@ def with_group_count(
     ``counted`` must hold all rows of ``df``. NULL keys get NULL, or with ``null_safe`` the size
     of their own group.
     """
-    counted = df if counted is None else counted
-    if not null_safe:
-        counted = counted.where(F.col(key).isNotNull())
-    return join_cells(df, counted_cells(counted, key, spread, out), [key], spread, "left", null_safe)
+    facts = key_facts(df if counted is None else counted, [key], null_safe)
+    return attach(df, facts.withColumn(out, F.col(_COUNT)), [key], spread, null_safe)
 
 
 def lookup(
@@ -98,31 +116,53 @@ def lookup(
     table: DataFrame,
     keys: Sequence[str],
     spread: Sequence[str] | None = None,
-    how: str = "left",
     null_safe: bool = False,
     base: DataFrame | None = None,
 ) -> DataFrame:
-    """Join ``df`` with ``table``; with several rows per key there, rows are repeated.
+    """Left join with a ``table`` that has one row per key.
 
-    ``how`` is ``left`` (attach the other columns of ``table``), ``left_semi`` or ``left_anti``.
-    With ``null_safe`` a NULL key matches a NULL key. ``base`` must hold the keys and spread
-    columns of all rows of ``df``.
+    With ``null_safe`` a NULL key matches a NULL key. ``base`` must hold the keys of all rows of
+    ``df``, and not fewer rows of any key.
     """
     keys = list(keys)
     spread = list(spread) if spread else [c for c in df.columns if c not in keys] or keys
-    cells = cells_of(df if base is None else base, keys, spread)
-    hits = join_facts(cells, table, keys, "inner" if how == "left" else "left_semi", null_safe)
-    return join_cells(df, hits, keys, spread, how, null_safe)
+    facts = key_facts(df if base is None else base, keys, null_safe)
+    return attach(df, add_facts(facts, table, keys, null_safe), keys, spread, null_safe)
+
+
+def expand(
+    df: DataFrame, table: DataFrame, keys: Sequence[str], spread: Sequence[str], base: DataFrame | None = None
+) -> DataFrame:
+    """Inner join of rows with a ``table`` that may have many rows per key, by cells.
+
+    ``base`` must hold the keys and spread columns of all rows of ``df``.
+    """
+    cells = (df if base is None else base).dropna(subset=list(keys))
+    named = [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]
+    cells = cells.select(*named, salt_of(cells, spread).alias("__s")).distinct()
+    values = [c for c in table.columns if c not in keys]
+    table = table.select(*[F.col(f"`{k}`").alias(f"__t{i}") for i, k in enumerate(keys)], *values)
+    cells = cells.join(table, all_equal([(cells[f"__k{i}"], table[f"__t{i}"]) for i in range(len(keys))]))
+    rows = df.withColumn(_SALT, salt_of(df, spread))
+    pairs = [(rows[f"`{k}`"], cells[f"__k{i}"]) for i, k in enumerate(keys)]
+    joined = rows.join(cells, all_equal(pairs) & (rows[_SALT] == cells["__s"]))
+    return joined.select(*[f"`{c}`" for c in df.columns], *values)
 
 
 def semi_join(df, other, keys, spread=None, null_safe=False, base=None) -> DataFrame:
     """Rows of ``df`` whose keys occur in ``other``."""
-    return lookup(df, other.select(*keys).distinct(), keys, spread, "left_semi", null_safe, base)
+    return _found(df, other, keys, spread, null_safe, base).where("__found").drop("__found")
 
 
 def anti_join(df, other, keys, spread=None, null_safe=False, base=None) -> DataFrame:
     """Rows of ``df`` whose keys do not occur in ``other``; NULL keys stay unless ``null_safe``."""
-    return lookup(df, other.select(*keys).distinct(), keys, spread, "left_anti", null_safe, base)
+    found = _found(df, other, keys, spread, null_safe, base)
+    return found.where("__found IS NULL").drop("__found")
+
+
+def _found(df, other, keys, spread, null_safe, base) -> DataFrame:
+    table = other.select(*keys).distinct().withColumn("__found", F.lit(True))
+    return lookup(df, table, keys, spread, null_safe, base)
 
 
 def flag_member(df, values: DataFrame, column: str, out: str, spread=None, base=None) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from idtrail.functions import vocab as V
-from idtrail.operators.joins import completed, key_sides, lookup, semi_join
+from idtrail.operators.joins import completed, expand, key_sides, semi_join
 
 
 def entities_of_class(triples: DataFrame, classes: Sequence[str]) -> DataFrame:
@@ -56,5 +56,5 @@ def redirects_by_class(
     rows = semi_join(moved, ids, key, spread)
     for part in (english(triples, V.LABEL, label), english(triples, V.ALT_LABEL, alias)):
         part = completed(part, key_sides(ids, part, key))
-        rows = lookup(rows, part, key, spread, base=moved)
+        rows = expand(rows, part, key, spread, base=moved)
     return rows

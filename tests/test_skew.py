@@ -36,18 +36,66 @@ def hot_edges(spark):
     )
 
 
-def test_hot_keys_are_classified_and_spread(spark, plain_joins):
+@pytest.fixture(params=[1000, 10**9], ids=["heavy", "plain"])
+def heavy_rows(request, monkeypatch):
+    """Both ways of attaching facts: with heavy keys set apart, and without any."""
+    monkeypatch.setattr(J, "HEAVY_ROWS", request.param)
+    return request.param
+
+
+def test_hot_keys_are_classified(spark, plain_joins, heavy_rows):
     df = hot_edges(spark)
     counts = {r[0]: r[1] for r in K.with_cardinality(df).groupBy(K.CLASS).count().collect()}
     fan_out = df.where("secondaryID = 'OLD'").count()
     assert counts == {"n:1": N // 3, "1:n": fan_out, "1:1": N - N // 3 - fan_out}
-    rows = df.withColumn("salt", J.salt_of(df, ["secondaryID"])).repartition(8, "primaryID", "salt")
-    sizes = [r[0] for r in rows.groupBy(F.spark_partition_id()).count().select("count").collect()]
-    # 4/8 of the salts may meet in one partition, never the whole hot group
-    assert max(sizes) < N / 3
+    flagged = K.flag_retired_target(df.union(spark.createDataFrame([("OLD", "HOT")], df.schema)))
+    counts = {r[0]: r[1] for r in flagged.where("target_retired").groupBy("primaryID").count().collect()}
+    assert counts == {"HOT": N // 3, "OLD": 1}
+
+
+def test_hot_rows_are_spread(spark, plain_joins, monkeypatch):
+    monkeypatch.setattr(J, "HEAVY_ROWS", 1000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = J.with_group_count(hot_edges(spark), "primaryID", "n", ["secondaryID"])
+        out = out.withColumn("task", F.spark_partition_id())
+        hot = F.col("primaryID") == "HOT"
+        tasks = out.groupBy("task").agg(F.count_if(hot).alias("rows"), F.count_if(hot & (F.col("n") == N // 3)).alias("right"))
+        sizes = [tuple(r) for r in tasks.select("rows", "right").collect()]
+        assert all(a == b for a, b in sizes) and sum(a for a, _ in sizes) == N // 3
+        assert max(a for a, _ in sizes) < N / 3 / 6
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_heavy_limit_falls_back_to_the_shuffle(spark, plain_joins, monkeypatch):
+    """Keys beyond the broadcast limit are still whole."""
+    monkeypatch.setattr(J, "HEAVY_ROWS", 2)
+    monkeypatch.setattr(J, "HEAVY_KEYS", 3)
+    df = spark.range(100).select((F.col("id") % 20).cast("string").alias("k"), "id")
+    table = spark.range(10).select(F.col("id").cast("string").alias("k"), (F.col("id") * 2).alias("v"))
+    got = J.lookup(df, table, ["k"], ["id"])
+    assert got.where("v IS NOT NULL").count() == 50 and got.where("v = 2 * k").count() == 50
+    assert J.semi_join(df, table, ["k"]).count() == 50 and J.anti_join(df, table, ["k"]).count() == 50
+
+
+def test_heavy_null_keys(spark, rows, monkeypatch):
+    monkeypatch.setattr(J, "HEAVY_ROWS", 2)
+    df = spark.createDataFrame([(None, i) for i in range(4)] + [("a", 9)], "k string, v int")
+    other = spark.createDataFrame([(None,), ("b",)], "k string")
+    assert rows(J.semi_join(df, other, ["k"], null_safe=True), "v") == [(0,), (1,), (2,), (3,)]
+    assert rows(J.anti_join(df, other, ["k"], null_safe=True), "v") == [(9,)]
+    assert J.anti_join(df, other, ["k"]).count() == 5
+    assert rows(K.with_group_size(df, "k", "n"), "n") == [(1,), (4,), (4,), (4,), (4,)]
+
+
+def test_expand_repeats_rows(spark, rows, plain_joins):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
+    table = spark.createDataFrame([("a", "x"), ("a", "y"), ("c", "z")], "k string, t string")
+    assert rows(J.expand(df, table, ["k"], ["v"]), "v", "t") == [(1, "x"), (1, "y"), (2, "x"), (2, "y")]
 
 
-def test_copies_keep_their_number(spark, plain_joins):
+def test_copies_keep_their_number(spark, plain_joins, heavy_rows):
     copies = spark.range(N).select(F.when(F.col("id") < N / 3, "a").otherwise(F.concat(F.lit("p"), "id")).alias("primaryID"))
     copies = copies.withColumn("secondaryID", F.concat(F.lit("s"), "primaryID"))
     out = K.describe_mappings(copies)
@@ -65,7 +113,7 @@ def test_full_join_splits_hot_keys(spark, plain_joins):
     out.write.format("noop").mode("overwrite").save()
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"SortMergeJoin\(skew=true\)", plan), plan[:3000]
+    assert re.search(r"Join\(skew=true\)", plan), plan[:3000]
 
 
 @pytest.mark.parametrize("broadcast", [True, False])
