@@ -31,7 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 # A key is heavy from this many rows on, and at most so many keys are treated as heavy.
-HEAVY_ROWS = 100_000
+HEAVY_ROWS = 1_000_000
 HEAVY_KEYS = 10_000
 
 _COUNT, _SALT = "__rows", "__salt"

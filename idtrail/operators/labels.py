@@ -45,9 +45,14 @@ def explode_typed_aliases(
     release: str | None = None,
     out: str = "secondarySymbol",
     keep_empty: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
-    """One row per alias; its comment says whether the alias is the authority's symbol of any gene."""
-    rows = flag_member(explode_list(df, aliases, out, keep_empty=keep_empty), nomenclature, out, "__own", ["primaryID"])
+    """One row per alias; its comment says whether the alias is the authority's symbol of any gene.
+
+    ``unique`` drops repeated rows, before the comment makes them long.
+    """
+    rows = explode_list(df, aliases, out, keep_empty=keep_empty)
+    rows = flag_member(rows.distinct() if unique else rows, nomenclature, out, "__own", ["primaryID"])
     text = F.when(F.col("__own"), V.NOMENCLATURE_COMMENT).otherwise(V.UNOFFICIAL_COMMENT)
     if release is not None:
         text = F.concat(text, C.release_note(release))

@@ -37,9 +37,9 @@ def ncbi(history: DataFrame, info: DataFrame, release: str, taxon: str = V.HUMAN
     own = F.when(F.col("primaryID") == V.WITHDRAWN, V.WITHDRAWN).otherwise(F.col("primarySymbol"))
     mappings = mappings.withColumns({"primarySymbol": own, "source": F.lit(V.NCBI_HISTORY_URL)})
 
-    aliases = L.explode_typed_aliases(
-        genes.select("primaryID", "primarySymbol", "aliases"), "aliases", L.nomenclature_symbols(info, *naming), release
-    ).distinct()
+    official = L.nomenclature_symbols(info, *naming)
+    aliases = genes.select("primaryID", "primarySymbol", "aliases")
+    aliases = L.explode_typed_aliases(aliases, "aliases", official, release, unique=True)
     labels = _unclassified(aliases).withColumn("source", F.lit(V.NCBI_INFO_URL))
     names = L.explode_list(genes.select("primaryID", "Symbol", "aliases"), "aliases", "alias", keep_empty=True)
     links = X.xref_edges(edges, names, {"Symbol": False, "alias": False}, "secondarySymbol")

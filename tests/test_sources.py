@@ -337,3 +337,18 @@ def test_short_rows(spark, rows, tmp_path):
     got = tabular.scan_processed(spark, str(tmp_path / "x.tsv"), ["a", "b", "c"])
     assert rows(got) == [("1", 'x"y', None), ("2", None, None), ("3", "p", "q")]
     assert got.where(F.col("a") == "3").count() == 1
+
+
+def test_command_line(spark, tmp_path):
+    from idtrail.__main__ import main
+
+    (tmp_path / "x.sdf").write_text(SDF)
+    main(["ChEBI", f"sdf={tmp_path / 'x.sdf'}", "--out", str(tmp_path / "out"), "--release", "223", "--date", "2024-01-01",
+          "--meta", "provider=me", "--tsv", "--rename", "secondaryID=old"])
+    folder = tmp_path / "out" / "chebi"
+    text = "".join(p.read_text() for p in sorted((folder / "mappings_tsv").glob("part-*")))
+    assert text.split("\n")[0] == "primaryID\told" and sorted(text.split("\n")[1:3]) == ["CHEBI:1\tCHEBI:91", "CHEBI:1\tCHEBI:92"]
+    assert tabular.scan_export(spark, str(folder / "pri_ids_tsv"), ["primaryID"]).count() == 2
+    assert '# mapping_date: "2024-01-01"' in "".join(p.read_text() for p in (folder / "sssom_tsv").glob("part-*"))
+    info = {r["key"]: r["value"] for r in spark.read.parquet(str(folder / "graph/info")).collect()}
+    assert info == {"BUILDDATE": "20240101", "DATASOURCENAME": "ChEBI", "DATASOURCEVERSION": "223", "DATATYPE": "Identifiers"}
