@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from idtrail.functions import vocab as V
 from idtrail.operators import redirects as G, xref as X
+from idtrail.operators.rows import keep_taxon
 from idtrail.plans import profiles as P
 from idtrail.session import staged
 from idtrail.sinks import tables as W
@@ -17,15 +18,16 @@ from idtrail.sources import lines, records, tabular, triples
 def source_tables(spark: SparkSession, source: str, inputs: Mapping[str, str], release: str = "") -> P.Tables:
     """Stage-1 tables of ``source``. ``inputs`` names the files:
 
-    NCBI ``history``, ``info``; HGNC ``withdrawn``, ``complete``; UniProt ``fasta``, ``secondary``,
+    NCBI ``history``, ``info`` (and optionally ``taxon``); HGNC ``withdrawn``, ``complete``; UniProt ``fasta``, ``secondary``,
     ``deleted``; ChEBI ``sdf``; HMDB ``xml``, ``directory`` or ``archive``; Wikidata ``result`` or
     ``triples`` (with ``kind`` chemical, gene or protein).
     """
     match source:
         case "NCBI":
-            history = staged(tabular.scan_gene_history(spark, inputs["history"]))
-            info = staged(tabular.scan_gene_info(spark, inputs["info"]))
-            return P.ncbi(history, info, release)
+            taxon = inputs.get("taxon", V.HUMAN)
+            history = keep_taxon(tabular.scan_gene_history(spark, inputs["history"]), taxon)
+            info = keep_taxon(tabular.scan_gene_info(spark, inputs["info"]), taxon)
+            return P.ncbi(staged(history), staged(info), release, taxon)
         case "HGNC":
             withdrawn, complete = inputs["withdrawn"], inputs["complete"]
             return P.hgnc(

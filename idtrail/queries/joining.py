@@ -57,23 +57,26 @@ def dedup_back_join(spark, folder):
     return S.sssom_of_redirects(moved.unionByName(unmoved))
 
 
-@query("""WITH c AS (SELECT CAST(c_custkey AS VARCHAR) AS c_id, CASE WHEN c_nationkey > 2 THEN c_nationkey END AS nation,
-  CASE WHEN c_acctbal > 0 THEN 'positive' END AS balance FROM customer),
-s AS (SELECT CAST(s_suppkey AS VARCHAR) AS s_id, CASE WHEN s_nationkey > 3 THEN s_nationkey END AS nation,
-  CASE WHEN s_acctbal > 0 THEN 'positive' END AS balance FROM supplier)
-SELECT coalesce(c.nation, s.nation) AS nation, coalesce(c.balance, s.balance) AS balance, c_id, s_id
-FROM c FULL JOIN s ON c.nation IS NOT DISTINCT FROM s.nation AND c.balance IS NOT DISTINCT FROM s.balance""")
+@query("""WITH o AS (SELECT 'H' || o_custkey AS "primaryID", nullif(o_orderpriority, '5-LOW') AS "secondarySymbol",
+  'O' || o_orderkey AS "secondaryID" FROM orders),
+c AS (SELECT CASE WHEN c_nationkey <> 3 THEN 'H' || c_custkey END AS "primaryID", unnest(['2-HIGH', NULL, '9-NONE']) AS "secondarySymbol",
+  c_name AS "primarySymbol" FROM customer)
+SELECT coalesce(o."primaryID", c."primaryID") AS "primaryID", coalesce(o."secondarySymbol", c."secondarySymbol") AS "secondarySymbol",
+  "secondaryID", "primarySymbol"
+FROM o FULL JOIN c ON o."primaryID" IS NOT DISTINCT FROM c."primaryID" AND o."secondarySymbol" IS NOT DISTINCT FROM c."secondarySymbol" """)
 def nullsafe_two_key_join(spark, folder):
-    def side(name, key, other, id_, least):
-        return B.table(spark, folder, name).select(
-            F.when(F.col(key) > least, F.col(key)).alias("nation"),
-            F.when(F.col(other) > 0, "positive").alias("balance"),
-            F.col(id_).cast("string").alias(id_[0] + "_id"),
-        )
-
-    left = side("customer", "c_nationkey", "c_acctbal", "c_custkey", 2)
-    right = side("supplier", "s_nationkey", "s_acctbal", "s_suppkey", 3)
-    return J.full_join(left, right, ["nation", "balance"])
+    orders, customer = B.table(spark, folder, "orders"), B.table(spark, folder, "customer")
+    mappings = orders.select(
+        F.concat(F.lit("H"), "o_custkey").alias("primaryID"),
+        F.nullif("o_orderpriority", F.lit("5-LOW")).alias("secondarySymbol"),
+        F.concat(F.lit("O"), "o_orderkey").alias("secondaryID"),
+    )
+    labels = customer.select(
+        F.when(F.col("c_nationkey") != 3, F.concat(F.lit("H"), "c_custkey")).alias("primaryID"),
+        F.explode(F.array(F.lit("2-HIGH"), F.lit(None).cast("string"), F.lit("9-NONE"))).alias("secondarySymbol"),
+        F.col("c_name").alias("primarySymbol"),
+    )
+    return J.full_join(mappings, labels, ["primaryID", "secondarySymbol"])
 
 
 @query(f"""WITH {B.EDGES},

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from idtrail.functions import clean as C
 from idtrail.operators.rows import trim_rows
-from idtrail.sources.tabular import spread_compressed
 
 # Lines before and rows after the data in the accession lists.
 SECONDARY_PREAMBLE = 31
@@ -38,8 +37,7 @@ def trim_lines(lines: DataFrame, head: int = 0, tail: int = 0) -> DataFrame:
 
 
 def scan_fasta_ids(spark: SparkSession, path) -> DataFrame:
-    lines = spread_compressed(spark.read.text(path), path)
-    return lines.select(C.fasta_accession("value").alias("primaryID")).where("primaryID IS NOT NULL")
+    return spark.read.text(path).select(C.fasta_accession("value").alias("primaryID")).where("primaryID IS NOT NULL")
 
 
 def scan_secondary_accessions(spark: SparkSession, path, skip: int = SECONDARY_PREAMBLE) -> DataFrame:

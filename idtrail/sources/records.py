@@ -103,7 +103,7 @@ def zip_documents(files: DataFrame, container: str = XML_CONTAINER, chunk: int =
     """(value) per document of the archives at ``files.path``."""
     listing = files.mapInPandas(_list_entries(chunk), "path string, chunk long, names array<string>")
     parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    entries = listing.repartition(parts, "path", "chunk")
+    entries = listing.repartition(parts, "path", "chunk").sortWithinPartitions("path")
     documents = entries.mapInPandas(_read_entries, "name string, value string")
     return documents.where(F.substring_index("name", "/", -1) != container).select("value")
 
@@ -131,10 +131,13 @@ def _list_entries(chunk: int):
 
 
 def _read_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # Chunks of one archive follow each other, so its directory is read once per task.
+    current, archive = None, None
     for batch in batches:
         for path, names in zip(batch["path"], batch["names"]):
-            with _open(path) as f, zipfile.ZipFile(f) as archive:
-                texts = [archive.read(name).decode("utf-8") for name in names]
+            if path != current:
+                current, archive = path, zipfile.ZipFile(_open(path))
+            texts = [archive.read(name).decode("utf-8") for name in names]
             yield pd.DataFrame({"name": list(names), "value": texts})
 
 
