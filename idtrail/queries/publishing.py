@@ -47,7 +47,7 @@ def _ncbi(spark, folder):
         F.when(size >= 48, F.col("p_brand")).when(size < 5, symbol).otherwise("-").alias("Symbol_from_nomenclature_authority"),
         F.when(F.col("p_type") == "SMALL", "-").otherwise(F.concat_ws("|", F.replace("p_name", F.lit(" "), F.lit("|")), "p_brand")).alias("Synonyms"),
     )
-    return P.ncbi(history, info, "v1")
+    return P.ncbi(staged(history), staged(info), "v1")
 
 
 NCBI = f"""edges AS (

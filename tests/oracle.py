@@ -28,8 +28,12 @@ def compare(spark, db, name, run, sql, folder):
     start = time.time()
     df = run(spark, folder)
     columns = sorted(df.columns)
-    got = Counter(tuple(map(str, r)) for r in df.select(*[f"`{c}`" for c in columns]).collect())
+    df = df.select(*[f"`{c}`" for c in columns])
+    got = Counter(tuple(map(str, r)) for r in df.collect())
     seconds = time.time() - start
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for pairwise in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert pairwise not in plan, f"{name}: {pairwise}"
     if sql is None:
         return sum(got.values()), seconds
     cursor = db.execute(sql)
