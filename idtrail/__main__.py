@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit -m idtrail`` or ``python -m idtrail``."""
+"""Command line: ``python -m idtrail``, or this file with ``spark-submit``."""
 
 from __future__ import annotations
 
