@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idtrail.llm import preference, quality, secrets, simhash, topk, toxicity
+from idtrail.llm import preference, quality, secrets, simhash, suffix, topk, toxicity
 from idtrail.llm.common import table
 
 QUERIES, SQL = {}, {}
@@ -21,6 +21,11 @@ def registered(sql: str | None = None):
     return put
 
 
+@registered()
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix.dedup(table(spark, folder, "documents"))
+
+
 def _sql_spans(kind: str, pattern: str, group: int, least: int) -> str:
     """Spans of one kind in DuckDB: the gaps between matches and the matches, added up."""
     pattern = pattern.replace("'", "''")
