@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idtrail.llm import preference, quality, secrets, simhash, suffix, topk, toxicity
+from idtrail.llm import bpe, lines, packing, preference, quality, secrets, simhash, suffix, topk, toxicity
 from idtrail.llm.common import table
 
 QUERIES, SQL = {}, {}
@@ -62,6 +63,31 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
 
+@registered()
+def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@registered("""
+with lined as (select doc_id, i, trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) as line from (
+  select doc_id, unnest(x) as line, generate_subscripts(x, 1) - 1 as i from (select doc_id, string_split(coalesce(text, ''), chr(10)) as x from documents))),
+said as (select *, row_number() over (partition by doc_id order by i) as n from lined where line <> ''),
+two as (select a.doc_id, a.i, b.i as j, a.line || chr(10) || b.line as content, a.n from said a join said b on a.doc_id = b.doc_id and b.n = a.n + 1),
+one as (select doc_id, i, i as j, line as content, n from said where len(regexp_split_to_array(line, '[ \t\x0B\f\r]+')) >= 25),
+windows as (select *, 2 as k from two union all select *, 1 as k from one),
+ranked as (select *, row_number() over (partition by k, content order by doc_id, i) as r from windows),
+gone as (select doc_id, i from ranked where r > 1 union select doc_id, j from ranked where r > 1),
+whole as (select doc_id, unnest(x) as line, generate_subscripts(x, 1) - 1 as i from (select doc_id, string_split(coalesce(text, ''), chr(10)) as x from documents)),
+kept as (select w.doc_id, string_agg(w.line, chr(10) order by w.i) as text from whole w left join gone g on w.doc_id = g.doc_id and w.i = g.i
+         where g.doc_id is null group by w.doc_id),
+counted as (select s.doc_id, count(*) as n_lines, count(g.doc_id) as n_removed from said s left join gone g on s.doc_id = g.doc_id and s.i = g.i group by s.doc_id)
+select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed, sha256(coalesce(k.text, '')) as kept_sha256
+from documents d left join counted c on d.doc_id = c.doc_id left join kept k on d.doc_id = k.doc_id
+""")
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.digest(table(spark, folder, "documents"))
+
+
 PAIRS_SQL = """
 with said as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations),
 ends as (select conv_id, max(turn) as last from said where role = 'assistant' group by conv_id),
@@ -136,3 +162,11 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @registered()
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@registered()
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
