@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from idtrail.llm.common import unused
 from idtrail.session import staged
 
 BLANK = " \t\u000b\f\r"
@@ -75,17 +76,18 @@ def dedup_lines(docs: DataFrame, run: int = 2, long_words: int = 25, id_col: str
     Null text stays null. Null id: later than any id; rows without id don't take from each other (nor do rows of one id).
     Repeated rows lose the same lines. Empty table: no rows. ``docs`` may hold columns of any other names.
     """
+    gone_id, gone_body, places = (unused(docs, x) for x in ("gone_id", "gone_body", "places"))
     gone = repeats(docs, run, long_words, id_col, text_col).select(
-        F.col("doc_id").alias("__gone_id"), F.col("body").alias("__gone_body"), F.col("places").alias("__places")
+        F.col("doc_id").alias(gone_id), F.col("body").alias(gone_body), F.col("places").alias(places)
     )
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    joined = docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("__gone_id")) & (F.xxhash64(text) == F.col("__gone_body")), "left")
+    joined = docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col(gone_id)) & (F.xxhash64(text) == F.col(gone_body)), "left")
     kept = F.array_join(F.transform(
-        F.filter(F.transform(F.split(text, "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains("__places", s.i)),
+        F.filter(F.transform(F.split(text, "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains(places, s.i)),
         lambda s: s.x,
     ), "\n")
     return joined.select(
-        *[F.when(F.col("__places").isNull(), F.col(text_col)).otherwise(kept).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+        *[F.when(F.col(places).isNull(), F.col(text_col)).otherwise(kept).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     )
 
 

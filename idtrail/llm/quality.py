@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from idtrail.llm.common import arrow_schema
+from idtrail.llm.common import arrow_schema, unused
 from idtrail.session import staged
 
 SYMBOLS = b"#*$%&|<>"
@@ -196,8 +196,9 @@ def judge(
     return rows.mapInArrow(score, schema)
 
 
-def drop_rejected(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that :func:`judge` keeps. Rows of one id and text share a verdict."""
-    kept = judge(docs.withColumn("__key", F.xxhash64("doc_id", "text", "lang")), id_col="__key", **options)
-    kept = kept.where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.xxhash64("doc_id", "text", "lang") == F.col("__kept"), "left_semi")
+def drop_rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
+    """The rows of ``docs`` that :func:`judge` keeps. Rows of one text and language share a verdict, so that is the key."""
+    key, kept_key = unused(docs, "key"), unused(docs, "kept_key")
+    keyed = docs.withColumn(key, F.xxhash64(text_col, lang_col) if lang_col in docs.columns else F.xxhash64(text_col))
+    kept = staged(judge(keyed, id_col=key, text_col=text_col, lang_col=lang_col, **options).where("kept").select(F.col("doc_id").alias(kept_key)).distinct())
+    return keyed.join(kept, F.col(key) == F.col(kept_key), "left_semi").drop(key)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from idtrail.llm.common import unused
 from idtrail.session import staged
 
 # The base rules. (kind, version, pattern, group whose length counts, least length, what masking puts there)
@@ -109,8 +110,9 @@ def redact(docs: DataFrame, mark: str = "<SECRET>", rules=RULES, id_col: str = "
 
     Findings join by content, so nothing depends on ids; other columns pass unchanged, whatever their names.
     """
+    spans, blob = unused(docs, "spans"), unused(docs, "blob")
     ledger = staged(scan(docs, None, rules, text_col)).where(F.size("spans") > 0)
-    found = ledger.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("__spans")).withColumnRenamed("blob", "__blob")
+    found = staged(ledger.groupBy(F.col("blob").alias(blob)).agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias(spans)))
     text = F.col(text_col)
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
@@ -121,7 +123,7 @@ def redact(docs: DataFrame, mark: str = "<SECRET>", rules=RULES, id_col: str = "
             F.when(apart, F.concat(acc.out, before, F.lit(mark))).otherwise(acc.out).alias("out"), F.greatest(acc.at, s.end).alias("at")
         )
 
-    masked = F.aggregate("__spans", start, step, lambda acc: F.concat(acc.out, text.substr((acc.at + 1).cast("int"), F.lit(2**31 - 1))))
-    return docs.join(found, blob_id(text) == F.col("__blob"), "left").select(
-        *[F.when(F.col("__spans").isNull(), text).otherwise(masked).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    masked = F.aggregate(spans, start, step, lambda acc: F.concat(acc.out, text.substr((acc.at + 1).cast("int"), F.lit(2**31 - 1))))
+    return docs.join(found, blob_id(text) == F.col(blob), "left").select(
+        *[F.when(F.col(spans).isNull(), text).otherwise(masked).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     )

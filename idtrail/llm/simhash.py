@@ -7,10 +7,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from idtrail.llm.common import components, ids_and_texts, per_batch
+from idtrail.llm.common import components, ids_and_texts, per_batch, unused
 from idtrail.session import staged
 
 SEED = 42
@@ -46,6 +46,10 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
     return per_batch(ids_and_texts(docs, id_col, text_col), make, "doc_id long, fingerprint long")
 
 
+def as_hex(fingerprint: str) -> Column:
+    return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
+
+
 def block_masks(blocks: int) -> list[int]:
     """Masks, as signed longs, of ``blocks`` runs of bits that make up the 64."""
     cuts = [round(64 * i / blocks) for i in range(blocks + 1)]
@@ -100,7 +104,7 @@ def near_groups(
         F.col("fingerprint").alias("print"), "component_id"
     )
     return prints.join(named, prints.fingerprint == named["print"]).select(
-        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", as_hex("fingerprint").alias("fingerprint"), "component_id"
     )
 
 
@@ -109,10 +113,15 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 
     Rows without an id stay if nothing with an id is in their group; then they all stay, as they have no order.
     """
-    id_col = options.get("id_col", "doc_id")
+    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
+    kept_id = unused(docs, "kept_id")
     near = near_groups(docs, **options)
-    stays = near.where("doc_id = component_id or component_id is null").select(F.col("doc_id").alias("__kept")).distinct()
+    stays = near.where("doc_id = component_id").select(F.col("doc_id").alias(kept_id)).distinct()
     one = docs.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    kept = one.join(stays, F.col(id_col) == F.col("__kept"), "left_semi")
-    loose = stays.where("__kept is null").limit(1)
-    return kept.unionByName(docs.where(F.col(id_col).isNull()).join(F.broadcast(loose), F.lit(True), "left_semi"))
+    kept = one.join(stays, F.col(id_col) == F.col(kept_id), "left_semi")
+    # without an id, a row is known by its text; such rows are read again, all others are pruned by the filter
+    bare = docs.where(F.col(id_col).isNull()).withColumn(kept_id, F.xxhash64(text_col))
+    loose = near.where("component_id is null").select("fingerprint").distinct()
+    prints = fingerprints(bare, options.get("shingle", 3), kept_id, text_col).withColumn("fingerprint", as_hex("fingerprint"))
+    stays = prints.join(loose, "fingerprint", "left_semi").select(F.col("doc_id").alias(f"{kept_id}_")).distinct()
+    return kept.unionByName(bare.join(stays, F.col(kept_id) == F.col(f"{kept_id}_"), "left_semi").drop(kept_id))

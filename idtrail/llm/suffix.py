@@ -170,6 +170,8 @@ def rows_to_arrow(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def by_range(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    if not len(part):
+        return
     order = np.argsort(part, kind="stable")
     values, first = np.unique(part[order], return_index=True)
     for value, a, b in zip(values.tolist(), first, np.append(first[1:], len(order)), strict=True):
