@@ -20,6 +20,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("inputs", nargs="+", metavar="name=path", help="input files, e.g. history=gene_history.gz")
     p.add_argument("--out", default="out", help="tables go to OUT/<source in lower case>")
     p.add_argument("--release", default="")
+    p.add_argument("--manifest", help="path of the source manifests, for the provider")
     p.add_argument("--date", default=date.today().isoformat(), help="build and mapping date")
     p.add_argument("--meta", nargs="*", default=[], metavar="key=value", help="provider, set_id, description")
     p.add_argument("--tsv", action="store_true", help="also write the tables as tab-separated text")
@@ -28,7 +29,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("idtrail").getOrCreate()
     folder = f"{a.out.rstrip('/')}/{a.source.lower()}"
     stamp = a.date.replace("-", "")
-    tables = publish(spark, a.source, pairs(a.inputs), folder, a.release, stamp, date=a.date, **pairs(a.meta))
+    tables = publish(spark, a.source, pairs(a.inputs), folder, a.release, stamp, a.manifest, date=a.date, **pairs(a.meta))
     if a.tsv:
         export(tables, folder, pairs(a.rename))
 

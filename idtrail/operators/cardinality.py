@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from idtrail.functions import clean as C, vocab as V
-from idtrail.operators.joins import add_facts, attach, flag_member, key_facts, marked, with_group_count
+from idtrail.operators.joins import flag_member, grouped, lookup, with_group_count
 
 CLASS = "mapping_cardinality"
 PREDICATE = "predicateID"
@@ -40,23 +40,29 @@ def with_cardinality(
     return live.unionByName(gone.withColumn(out, F.lit(V.ONE_TO_NONE)))
 
 
-def _classified(live, everything, primary, secondary, out, facts=()) -> DataFrame:
-    """Live rows with their class and with ``facts``, tables keyed by the target.
+def _classified(live, everything, primary, secondary, out, retired=False, facts=None) -> DataFrame:
+    """Live rows with their class, with ``__retired`` (the target is an old id itself) and the columns of ``facts``, which has
+    one row per target.
 
-    Two shuffles of the rows: one by target, which brings the fan-in and all facts, and one by
+    The rows are shuffled twice: by target, which brings the fan-in, the flag and the facts, all from one aggregation, and by
     old id, which brings the fan-out.
     """
     whole = F.col(primary).isNotNull() & F.col(secondary).isNotNull()
-    live_ids = live.select(primary, secondary).where(whole)
-    all_ids = everything.select(primary, secondary).where(whole)
-    targets = key_facts(live_ids, [primary])
-    targets = targets.withColumn("__fan_in", F.col("__rows"))
-    for table in facts:
-        targets = add_facts(targets, table, [primary])
-    olds = key_facts(all_ids, [secondary])
-    olds = olds.withColumn("__fan_out", F.col("__rows"))
-    rows = attach(live, targets, [primary], [secondary])
-    rows = attach(rows, olds, [secondary], [primary])
+    told = live.where(whole).select(F.col(primary), F.lit(1).alias("__fan_in"))
+    sums = [F.sum("__fan_in").alias("__fan_in")]
+    if retired:
+        old = everything.dropna(subset=[secondary]).select(F.col(secondary).alias(primary), F.lit(True).alias("__retired"))
+        told = told.unionByName(old, allowMissingColumns=True)
+        sums.append(F.bool_or("__retired").alias("__retired"))
+    extra = [c for c in facts.columns if c != primary] if facts is not None else []
+    if extra:
+        told = told.unionByName(facts.select(primary, F.struct(*extra).alias("__facts")), allowMissingColumns=True)
+        sums.append(F.max("__facts").alias("__facts"))
+    targets = grouped(told, [primary]).agg(*sums).drop("__apart")
+    if extra:
+        targets = targets.select("*", *[F.col(f"__facts.{c}").alias(c) for c in extra]).drop("__facts")
+    olds = grouped(everything.where(whole), [secondary]).agg(F.count("*").alias("__fan_out")).drop("__apart")
+    rows = lookup(lookup(live, targets, [primary]), olds, [secondary])
     label = F.concat(_one_or_n("__fan_in"), F.lit(":"), _one_or_n("__fan_out"))
     return rows.withColumn(out, F.when(whole, label)).drop("__fan_in", "__fan_out")
 
@@ -65,13 +71,12 @@ def _one_or_n(count: str) -> Column:
     return F.when(F.col(count) > 1, "n").when(F.col(count) == 1, "1")
 
 
-def with_group_size(df: DataFrame, key: str, out: str, spread: list[str] | None = None) -> DataFrame:
+def with_group_size(df: DataFrame, key: str, out: str) -> DataFrame:
     """Rows with the size of their ``key`` group, the NULL group included.
 
     Same result as ``count(*) over (partition by key)``, without one task per group.
     """
-    spread = spread or [c for c in df.columns if c != key] or [key]
-    return with_group_count(df, key, out, spread, null_safe=True)
+    return with_group_count(df, key, out, null_safe=True)
 
 
 def with_list_cardinality(
@@ -90,8 +95,7 @@ def with_list_cardinality(
     many = text.contains(separator)
     single = df.where(~many & (text != withdrawn))
     fixed = df.where(many | (text == withdrawn) | text.isNull())
-    spread = [c for c in df.columns if c != targets] or [targets]
-    single = with_group_count(single, targets, "__fan_in", spread)
+    single = with_group_count(single, targets, "__fan_in")
     single = single.withColumn(out, F.concat(_one_or_n("__fan_in"), F.lit(":1"))).drop("__fan_in")
     label = F.when(many, V.ONE_TO_MANY).when(text == withdrawn, V.ONE_TO_NONE)
     return single.unionByName(fixed.withColumn(out, label))
@@ -148,7 +152,7 @@ def flag_retired_target(
 ) -> DataFrame:
     """Whether the target of a row is itself an old id of this table."""
     live, gone = split_withdrawn(df, primary, withdrawn)
-    live = flag_member(live, df.select(secondary), primary, out, [secondary])
+    live = flag_member(live, df.select(secondary), primary, out)
     return live.unionByName(gone.withColumn(out, F.lit(False)))
 
 
@@ -168,9 +172,7 @@ def describe_mappings(
     are NULL for withdrawn rows.
     """
     live, gone = split_withdrawn(df, primary, withdrawn)
-    tables = [marked(df.select(secondary), primary, "__retired")] if note_retired else []
-    tables += [facts] if facts is not None else []
-    live = _classified(live, df, primary, secondary, CLASS, tables)
+    live = _classified(live, df, primary, secondary, CLASS, note_retired, facts)
     gone = gone.withColumn(CLASS, F.lit(V.ONE_TO_NONE))
     rows = live.unionByName(gone, allowMissingColumns=True)
     rows = with_comment(with_predicate(rows), CLASS, date, "__retired" if note_retired else None, release)

@@ -1,26 +1,15 @@
 """Joins and counts that stay even when one key holds a large part of all rows.
 
-Three devices are used throughout:
-
-* **Facts per key.** To attach facts to many rows, the distinct keys of the rows are counted first
-  (one shuffle, map-side combined) and fetch the facts; then the facts are attached to the rows.
-  Keys that hold many rows are known from the count: the facts of the ``HEAVY_KEYS`` largest are
-  broadcast, and their rows are spread by a hash instead of meeting in one task. Every other key
-  holds less than one ``HEAVY_KEYS``-th of all rows and takes an ordinary shuffle join. What is
-  broadcast has at most ``HEAVY_KEYS`` rows, however large the data is.
-* **Cells.** Where a key has several rows on the other side too, rows are reduced to their distinct
-  (key, salt) pairs, these are joined with the other side, and the rows join them on (key, salt).
-  The salt is a hash of other columns of the row, so a task that is run again computes the same.
-* **Completed sides.** Spark can split a skewed partition of an inner join on both sides, of a left
-  join only on the left and of a full join not at all. Outer joins with many rows per key on both
-  sides are therefore inner joins: each side first gets one empty row per key that only the other
-  side has.
-
-Exact copies of a row cannot be told apart by a hash; adaptive execution splits those, as both
-sides of the final join are plain shuffles.
-
-Facts and cells read their input a second time, but only its key columns. In a chain of lookups
-pass the first table as ``base``, so that they are taken from it and not from the chain.
+Adaptive execution splits a skewed partition of a join if both sides of the join are plain shuffles: of an inner join on
+both sides, of a left, semi or anti join on the left, of a full join not at all. Two things follow:
+
+* **Aggregates keep apart.** A table that was grouped by the join key is not shuffled again, and then nothing can be split.
+  :func:`grouped` therefore groups by the key and a hash of it: the same groups, but a partitioning that the join does not
+  accept. The table, one row per key by then, is shuffled once more and the many rows on the other side can be split.
+* **Completed sides.** Outer joins with many rows per key on both sides are inner joins: each side first gets one empty row
+  per key that only the other side has.
+
+There are no thresholds: what is hot shows at run time.
 """
 
 from __future__ import annotations
@@ -29,157 +18,58 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-
-# A key is heavy from this many rows on, and at most so many keys are treated as heavy.
-HEAVY_ROWS = 1_000_000
-HEAVY_KEYS = 10_000
-
-_COUNT, _SALT = "__rows", "__salt"
+from pyspark.sql.group import GroupedData
 
 
-def salt_buckets(df: DataFrame) -> int:
-    """One salt per shuffle partition: a hot key then fills the whole shuffle."""
-    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def grouped(df: DataFrame, keys: Sequence[str]) -> GroupedData:
+    """Groups by ``keys``; the result has a column ``__apart`` more, see above."""
+    columns = [F.col(f"`{k}`") for k in keys]
+    return df.groupBy(*columns, F.xxhash64(*columns).alias("__apart"))
 
 
-def salt_of(df: DataFrame, spread: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in spread]), F.lit(salt_buckets(df)))
+def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return grouped(df, keys).agg(F.count("*").alias("__n")).select(*[f"`{k}`" for k in keys])
 
 
-def key_facts(df: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
-    """Distinct keys (``__k0``, ``__k1`` ..) and the number of rows of each (``__rows``)."""
-    if not null_safe:
-        df = df.dropna(subset=list(keys))
-    named = [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]
-    return df.groupBy(*named).agg(F.count("*").alias(_COUNT))
-
-
-def add_facts(facts: DataFrame, table: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
-    """Key facts with the other columns of ``table``, which has one row per key."""
+def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Left join with a ``table`` that has one row per key. With ``null_safe`` a NULL key matches a NULL key."""
     values = [c for c in table.columns if c not in keys]
     table = table.select(*[F.col(f"`{k}`").alias(f"__t{i}") for i, k in enumerate(keys)], *values)
-    pairs = [(facts[f"__k{i}"], table[f"__t{i}"]) for i in range(len(keys))]
-    return facts.join(table, all_equal(pairs, null_safe), "left").select(*facts.columns, *values)
-
-
-def attach(
-    df: DataFrame, facts: DataFrame, keys: Sequence[str], spread: Sequence[str], null_safe: bool = False
-) -> DataFrame:
-    """Rows with the columns of ``facts``, which must hold all keys of ``df`` and their row counts."""
-    values = [c for c in facts.columns if not c.startswith("__k") and c != _COUNT]
-    heavy = facts.where(F.col(_COUNT) >= HEAVY_ROWS).orderBy(F.desc(_COUNT)).limit(HEAVY_KEYS)
-    heavy = heavy.select(
-        *[F.col(f"__k{i}").alias(f"__h{i}") for i in range(len(keys))],
-        *[F.col(v).alias(f"__heavy_{v}") for v in values],
-        F.lit(True).alias("__heavy"),
-    )
-    pairs = [(df[f"`{k}`"], heavy[f"__h{i}"]) for i, k in enumerate(keys)]
-    rows = df.join(F.broadcast(heavy), all_equal(pairs, null_safe), "left")
-    apart = F.col("__heavy").isNotNull()
-    if not null_safe:
-        apart = apart | reduce(lambda x, y: x | y, [F.col(f"`{k}`").isNull() for k in keys])
-    # Rows set apart match nothing in the shuffle join, so their salt may be any number but 0.
-    scattered = F.xxhash64(*[F.col(f"`{c}`") for c in spread]).bitwiseOR(F.lit(1))
-    rows = rows.withColumn(_SALT, F.when(apart, scattered).otherwise(0))
-    # Salt 0 on every key. Written so that it stays a column: the join must shuffle by (key, salt).
-    zero = F.when(F.col(_COUNT) > 0, F.lit(0).cast("long"))
-    facts = facts.select(
-        *[F.col(f"__k{i}") for i in range(len(keys))],
-        *[F.col(v).alias(f"__fact_{v}") for v in values],
-        zero.alias("__s"),
-    )
-    pairs = [(rows[f"`{k}`"], facts[f"__k{i}"]) for i, k in enumerate(keys)]
-    joined = rows.join(facts, all_equal(pairs, null_safe) & (rows[_SALT] == facts["__s"]), "left")
-    chosen = [F.when(F.col("__heavy"), F.col(f"__heavy_{v}")).otherwise(F.col(f"__fact_{v}")).alias(v) for v in values]
-    return joined.select(*[f"`{c}`" for c in df.columns], *chosen)
+    pairs = [(df[f"`{k}`"], table[f"__t{i}"]) for i, k in enumerate(keys)]
+    return df.join(table, all_equal(pairs, null_safe), "left").select(*[f"`{c}`" for c in df.columns], *values)
 
 
 def with_group_count(
-    df: DataFrame,
-    key: str,
-    out: str,
-    spread: Sequence[str],
-    counted: DataFrame | None = None,
-    null_safe: bool = False,
+    df: DataFrame, key: str, out: str, counted: DataFrame | None = None, null_safe: bool = False
 ) -> DataFrame:
     """``df`` with the number of rows of ``counted`` (default ``df``) that share its ``key``.
 
-    ``counted`` must hold all rows of ``df``. NULL keys get NULL, or with ``null_safe`` the size
-    of their own group.
+    NULL keys get NULL, or with ``null_safe`` the size of their own group.
     """
-    facts = key_facts(df if counted is None else counted, [key], null_safe)
-    return attach(df, facts.withColumn(out, F.col(_COUNT)), [key], spread, null_safe)
-
+    counted = df if counted is None else counted
+    counted = counted if null_safe else counted.dropna(subset=[key])
+    return lookup(df, grouped(counted, [key]).agg(F.count("*").alias(out)).drop("__apart"), [key], null_safe)
 
-def lookup(
-    df: DataFrame,
-    table: DataFrame,
-    keys: Sequence[str],
-    spread: Sequence[str] | None = None,
-    null_safe: bool = False,
-    base: DataFrame | None = None,
-) -> DataFrame:
-    """Left join with a ``table`` that has one row per key.
-
-    With ``null_safe`` a NULL key matches a NULL key. ``base`` must hold the keys of all rows of
-    ``df``, and not fewer rows of any key.
-    """
-    keys = list(keys)
-    spread = list(spread) if spread else [c for c in df.columns if c not in keys] or keys
-    facts = key_facts(df if base is None else base, keys, null_safe)
-    return attach(df, add_facts(facts, table, keys, null_safe), keys, spread, null_safe)
 
-
-def expand(
-    df: DataFrame, table: DataFrame, keys: Sequence[str], spread: Sequence[str], base: DataFrame | None = None
-) -> DataFrame:
-    """Inner join of rows with a ``table`` that may have many rows per key, by cells.
-
-    ``base`` must hold the keys and spread columns of all rows of ``df``.
-    """
-    cells = (df if base is None else base).dropna(subset=list(keys))
-    named = [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)]
-    cells = cells.select(*named, salt_of(cells, spread).alias("__s")).distinct()
-    values = [c for c in table.columns if c not in keys]
-    table = table.select(*[F.col(f"`{k}`").alias(f"__t{i}") for i, k in enumerate(keys)], *values)
-    cells = cells.join(table, all_equal([(cells[f"__k{i}"], table[f"__t{i}"]) for i in range(len(keys))]))
-    rows = df.withColumn(_SALT, salt_of(df, spread))
-    pairs = [(rows[f"`{k}`"], cells[f"__k{i}"]) for i, k in enumerate(keys)]
-    joined = rows.join(cells, all_equal(pairs) & (rows[_SALT] == cells["__s"]))
-    return joined.select(*[f"`{c}`" for c in df.columns], *values)
-
-
-def semi_join(df, other, keys, spread=None, null_safe=False, base=None) -> DataFrame:
+def semi_join(df: DataFrame, other: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
     """Rows of ``df`` whose keys occur in ``other``."""
-    return _found(df, other, keys, spread, null_safe, base).where("__found").drop("__found")
+    return _by_keys(df, other, keys, null_safe, "left_semi")
 
 
-def anti_join(df, other, keys, spread=None, null_safe=False, base=None) -> DataFrame:
+def anti_join(df: DataFrame, other: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
     """Rows of ``df`` whose keys do not occur in ``other``; NULL keys stay unless ``null_safe``."""
-    found = _found(df, other, keys, spread, null_safe, base)
-    return found.where("__found IS NULL").drop("__found")
+    return _by_keys(df, other, keys, null_safe, "left_anti")
 
 
-def _found(df, other, keys, spread, null_safe, base) -> DataFrame:
-    table = other.select(*keys).distinct().withColumn("__found", F.lit(True))
-    return lookup(df, table, keys, spread, null_safe, base)
+def _by_keys(df, other, keys, null_safe, how) -> DataFrame:
+    other = distinct_keys(other, keys).toDF(*[f"__t{i}" for i in range(len(keys))])
+    return df.join(other, all_equal([(df[f"`{k}`"], other[f"__t{i}"]) for i, k in enumerate(keys)], null_safe), how)
 
 
-def flag_member(df, values: DataFrame, column: str, out: str, spread=None, base=None) -> DataFrame:
+def flag_member(df: DataFrame, values: DataFrame, column: str, out: str) -> DataFrame:
     """``df`` with a boolean telling whether ``column`` occurs in the one-column ``values``."""
-    found = lookup(df, marked(values, column, out), [column], spread, base=base)
-    return found.withColumn(out, F.coalesce(F.col(out), F.lit(False)))
-
-
-def marked(values: DataFrame, column: str, out: str) -> DataFrame:
-    """Distinct non-NULL values of a one-column table, each with a true ``out``."""
-    values = values.toDF(column)
-    return values.where(F.col(column).isNotNull()).distinct().withColumn(out, F.lit(True))
-
-
-def optional_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join, many rows per key on both sides; a NULL key matches a NULL key."""
-    return _matches(left, completed(right, key_sides(left, right, keys), _LEFT), keys)
+    known = distinct_keys(values.toDF(column).dropna(), [column]).withColumn(out, F.lit(True))
+    return lookup(df, known, [column]).withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 
 def full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,28 +8,31 @@ from pyspark.sql import DataFrame, functions as F
 
 from idtrail.functions import clean as C, vocab as V
 from idtrail.operators.cardinality import split_withdrawn
-from idtrail.operators.joins import flag_member, lookup
+from idtrail.operators.joins import flag_member, grouped, lookup
 
 
 def with_primary_symbol(
-    df: DataFrame, symbol: str, authority: str, out: str = "primarySymbol"
+    df: DataFrame, symbol: str, authority: str, out: str = "primarySymbol", missing: Sequence[str] = V.MISSING
 ) -> DataFrame:
-    """``symbol|authority`` where the naming authority uses another symbol, else ``symbol``."""
-    s, a = F.col(symbol), C.null_if(F.col(authority))
+    """``symbol|authority`` where the naming authority uses another symbol, else ``symbol``.
+
+    ``missing``, here and below: what the source writes for no value. ``NA`` is a symbol in some sources.
+    """
+    s, a = F.col(symbol), C.null_if(F.col(authority), missing)
     return df.withColumn(out, F.when(a != s, F.concat_ws("|", s, a)).otherwise(s))
 
 
-def nomenclature_symbols(df: DataFrame, symbol: str, authority: str) -> DataFrame:
+def nomenclature_symbols(df: DataFrame, symbol: str, authority: str, missing: Sequence[str] = V.MISSING) -> DataFrame:
     """Distinct authority symbols that differ from the symbol in use; the dash is not one."""
-    a = C.null_if(F.col(authority))
+    a = C.null_if(F.col(authority), missing)
     return df.where(a != F.col(symbol)).select(a.alias("symbol")).distinct()
 
 
 def explode_list(
-    df: DataFrame, column: str, out: str, separator: str = "|", keep_empty: bool = False
+    df: DataFrame, column: str, out: str, separator: str = "|", keep_empty: bool = False, missing: Sequence[str] = V.MISSING
 ) -> DataFrame:
     """One row per list part, other columns repeated; with ``keep_empty`` a NULL row for no part."""
-    parts = C.split_list(C.null_if(F.col(column)), separator)
+    parts = C.split_list(C.null_if(F.col(column), missing), separator)
     rest = [c for c in df.columns if c not in (column, out)]
     return df.select(*[F.col(f"`{c}`") for c in rest], _explode(parts, keep_empty).alias(out))
 
@@ -46,13 +49,14 @@ def explode_typed_aliases(
     out: str = "secondarySymbol",
     keep_empty: bool = False,
     unique: bool = False,
+    missing: Sequence[str] = V.MISSING,
 ) -> DataFrame:
     """One row per alias; its comment says whether the alias is the authority's symbol of any gene.
 
     ``unique`` drops repeated rows, before the comment makes them long.
     """
-    rows = explode_list(df, aliases, out, keep_empty=keep_empty)
-    rows = flag_member(rows.distinct() if unique else rows, nomenclature, out, "__own", ["primaryID"])
+    rows = explode_list(df, aliases, out, keep_empty=keep_empty, missing=missing)
+    rows = flag_member(rows.distinct() if unique else rows, nomenclature, out, "__own")
     text = F.when(F.col("__own"), V.NOMENCLATURE_COMMENT).otherwise(V.UNOFFICIAL_COMMENT)
     if release is not None:
         text = F.concat(text, C.release_note(release))
@@ -128,7 +132,7 @@ def current_symbols(
     names = current.toDF(key, "__s").withColumn("__rank", F.lit(0))
     own = mappings.select(F.col(secondary).alias(key), F.col(retired_symbol).alias("__s"), F.lit(1).alias("__rank"))
     both = names.unionByName(own).where(F.col("__s").isNotNull() & F.col(key).isNotNull())
-    return both.groupBy(key).agg(F.min(F.struct("__rank", "__s"))["__s"].alias(out))
+    return grouped(both, [key]).agg(F.min(F.struct("__rank", "__s"))["__s"].alias(out)).drop("__apart")
 
 
 def with_current_symbol(
@@ -145,7 +149,7 @@ def with_current_symbol(
     """
     live, gone = split_withdrawn(df, primary)
     table = current_symbols(df, current, secondary, retired_symbol, primary, out)
-    live = lookup(live, table, [primary], [secondary])
+    live = lookup(live, table, [primary])
     return live.unionByName(gone.withColumn(out, F.lit(V.WITHDRAWN)))
 
 

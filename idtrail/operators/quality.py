@@ -19,12 +19,12 @@ def failed_extracts(lines: DataFrame, file: str = "file", text: str = "value", m
 
 def reject_failed_extracts(lines: DataFrame, file: str = "file", text: str = "value", mark: str = V.FAILED_EXTRACT) -> DataFrame:
     """Lines of the files that hold no failure mark at all."""
-    return anti_join(lines, failed_extracts(lines, file, text, mark), [file], [text])
+    return anti_join(lines, failed_extracts(lines, file, text, mark), [file])
 
 
 def membership_counts(values: DataFrame, column: str, others: DataFrame, check: str) -> DataFrame:
     """(check, outcome, n): how many rows have their value in ``others`` and how many do not."""
-    flagged = flag_member(values.select(column), others, column, "__in", [column])
+    flagged = flag_member(values.select(column), others, column, "__in")
     counts = flagged.groupBy("__in").agg(F.count("*").alias("n"))
     return counts.select(F.lit(check).alias("check"), F.col("__in").cast("string").alias("outcome"), "n")
 
@@ -40,7 +40,7 @@ def orphan_labels(mappings: DataFrame, labels: DataFrame, symbol: str = "primary
     """Mappings whose target symbol is neither a current nor an old symbol of the label table."""
     known = labels.select(F.col("primarySymbol").alias(symbol)).union(labels.select("secondarySymbol"))
     live, _ = split_withdrawn(mappings, symbol)
-    return anti_join(live.where(F.col(symbol).isNotNull()), known, [symbol], ["secondaryID"])
+    return anti_join(live.where(F.col(symbol).isNotNull()), known, [symbol])
 
 
 def quality_report(mappings: DataFrame, labels: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from idtrail.functions import vocab as V
-from idtrail.operators.joins import completed, expand, key_sides, semi_join
+from idtrail.operators.joins import all_equal, completed, key_sides
 
 
 def entities_of_class(triples: DataFrame, classes: Sequence[str]) -> DataFrame:
@@ -21,7 +21,7 @@ def entities_of_class(triples: DataFrame, classes: Sequence[str]) -> DataFrame:
     for first, second in V.STATEMENT_PATHS:
         steps = triples.where(F.col("predicate") == first).select("subject", F.col("object").alias("statement"))
         ends = triples.where((F.col("predicate") == second) & in_class).select(F.col("subject").alias("statement"))
-        found = found.union(semi_join(steps, ends, ["statement"]).select("subject"))
+        found = found.union(steps.join(ends, "statement", "left_semi").select("subject"))  # a statement is of one entity
     return found.distinct()
 
 
@@ -49,12 +49,19 @@ def redirects_by_class(
     ids = entities.withColumnRenamed("subject", "primaryID")
     moved = triples.where(F.col("predicate") == V.SAME_AS)
     moved = moved.select(F.col("object").alias("primaryID"), F.col("subject").alias("secondaryID")).distinct()
-    # Every part is distinct, so their joins are distinct as well: no final shuffle. The ids are
-    # computed once and reused, as are the cells, which spread an entity with many redirects.
-    key, spread = ["primaryID"], ["secondaryID"]
+    # Every part is distinct, so their joins are distinct as well: no final shuffle. An entity may have
+    # many redirects and many aliases; labels are one or a few.
+    key = ["primaryID"]
     moved = completed(moved, key_sides(ids, moved, key))
-    rows = semi_join(moved, ids, key, spread)
-    for part in (english(triples, V.LABEL, label), english(triples, V.ALT_LABEL, alias)):
-        part = completed(part, key_sides(ids, part, key))
-        rows = expand(rows, part, key, spread, base=moved)
-    return rows
+    rows = moved.join(ids, key, "left_semi")
+    rows = _joined(rows, english(triples, V.LABEL, label), label, "left", True)
+    aliases = english(triples, V.ALT_LABEL, alias)
+    return _joined(rows, completed(aliases, key_sides(ids, aliases, key)), alias, "inner", False)
+
+
+def _joined(rows: DataFrame, part: DataFrame, value: str, how: str, hashed: bool) -> DataFrame:
+    """Join by id, or by id and its hash: joins that take turns shuffle the rows anew, so each can split them."""
+    part = part.select(F.col("primaryID").alias("__id"), value)
+    pairs = [(rows["primaryID"], part["__id"])]
+    pairs += [(F.xxhash64(rows["primaryID"]), F.xxhash64(part["__id"]))] if hashed else []
+    return rows.join(part, all_equal(pairs), how).drop("__id")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from idtrail.functions import clean as C, vocab as V
-from idtrail.operators.joins import lookup
+from idtrail.operators.joins import grouped, lookup
 
 
 def normalise(df: DataFrame, columns: Sequence[str] | None = None, spellings=V.MISSING) -> DataFrame:
@@ -40,11 +41,6 @@ def drop_empty(df: DataFrame, column: str = "secondaryID") -> DataFrame:
     return df.where(F.col(column) != "")
 
 
-def require_parts(df: DataFrame, *columns: str) -> DataFrame:
-    """Records that have all the named parts."""
-    return df.dropna(subset=list(columns))
-
-
 def ids_as_text(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in columns})
 
@@ -59,40 +55,56 @@ def preview(df: DataFrame, order: Sequence[str], n: int = 6) -> DataFrame:
 
 
 def trim_rows(
-    df: DataFrame,
-    group: str,
-    order: Sequence[str],
-    head: int = 0,
-    tail: int = 0,
-    keep: Column | None = None,
-    few_groups: bool = False,
+    df: DataFrame, group: str, order: Sequence[str], head: int = 0, tail: int = 0, keep: Column | None = None
 ) -> DataFrame:
     """Rows of each ``group`` without its first ``head`` and last ``tail`` rows in ``order``.
 
-    ``keep`` is a filter that applies after the head was cut and before the tail is. Only the
-    first and last rows of a group are ranked: Spark limits them per input partition before it
-    shuffles, so a group of any size is cut in parallel. ``few_groups`` says that the caller has
-    checked the number of groups, so that the cut points (one row each) may be broadcast.
+    ``keep`` is a filter that applies after the head was cut and before the tail is. Both cut points
+    come from the input and meet in one small table, which is joined once.
     """
     place = F.struct(*order)
+    kept = df if keep is None else df.where(keep)
+    edges = []
     if head:
-        df = _cut(df, group, order, place, head, False, few_groups)
-    if keep is not None:
-        df = df.where(keep)
+        edges.append(_outer_rows(df, group, order, head, False).groupBy(group).agg(F.max(place).alias("__head")))
+    if tail:
+        edges.append(_outer_rows(kept, group, order, tail, True).groupBy(group).agg(F.min(place).alias("__tail")))
+    if not edges:
+        return kept
+    cuts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), edges)
+    cuts = grouped(cuts, [group]).agg(*[F.max(c).alias(c) for c in cuts.columns if c != group]).drop("__apart")
+    marked = lookup(kept, cuts, [group])
+    if head:
+        marked = marked.where(F.col("__head").isNull() | (place > F.col("__head")))
     if tail:
-        df = _cut(df, group, order, place, tail, True, few_groups)
-    return df
+        marked = marked.where(F.col("__tail").isNull() | (place < F.col("__tail")))
+    return marked.select(*[f"`{c}`" for c in df.columns])
+
 
+def _outer_rows(df, group, order, n, at_end) -> DataFrame:
+    """The first (or last) ``n`` rows of each group.
 
-def _cut(df, group, order, place, n, at_end, few_groups) -> DataFrame:
+    Spark keeps so many rows of a group per input partition before it shuffles, for ranks up to a
+    threshold of its own; beyond that, the rows are found in several steps.
+    """
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    step = limit if limit > 0 else n
     window = Window.partitionBy(group).orderBy(*[F.desc(c) if at_end else F.asc(c) for c in order])
-    ranked = df.select(group, *order).withColumn("__rank", F.row_number().over(window))
-    edge = ranked.where(F.col("__rank") <= n).groupBy(group)
-    edge = edge.agg((F.min(place) if at_end else F.max(place)).alias("__cut"))
-    if few_groups:
-        edge = F.broadcast(edge)
-        marked = df.join(edge, group, "left")
-    else:
-        marked = lookup(df, edge, [group], list(order))
-    kept = place < F.col("__cut") if at_end else place > F.col("__cut")
-    return marked.where(kept).select(*df.columns)
+    place, rows, found = F.struct(*order), df.select(group, *order), []
+    for done in range(0, n, step):
+        if found:  # what lies beyond the rows found so far
+            edge = F.min(place) if at_end else F.max(place)
+            cut = grouped(found[-1], [group]).agg(edge.alias("__cut")).drop("__apart")
+            beyond = place < F.col("__cut") if at_end else place > F.col("__cut")
+            rows = lookup(rows, cut, [group]).where(beyond).drop("__cut")
+        found.append(rows.withColumn("__rank", F.row_number().over(window)).where(F.col("__rank") <= min(step, n - done)))
+    return reduce(DataFrame.unionByName, found)
+
+
+def trim_text(text: Column, head: int = 0, tail: int = 0, keep: Callable[[Column], Column] | None = None) -> Column:
+    """Lines (``pos`` from 1, ``line``) of a text in one row, cut like :func:`trim_rows` does; no shuffle."""
+    lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct((i + 1).cast("long").alias("pos"), x.alias("line")))
+    lines = F.slice(lines, head + 1, F.size(lines))
+    if keep is not None:
+        lines = F.filter(lines, lambda s: keep(s["line"]))
+    return F.slice(lines, 1, F.greatest(F.size(lines) - tail, F.lit(0)))

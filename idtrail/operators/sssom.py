@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
 from idtrail.functions import clean as C, vocab as V
 from idtrail.operators.cardinality import CLASS, PREDICATE, split_withdrawn, with_cardinality, with_predicate
-from idtrail.operators.joins import anti_join, flag_member, full_join, lookup, semi_join
+from idtrail.operators.joins import anti_join, flag_member, full_join, grouped, lookup, semi_join
 from idtrail.operators.rows import drop_empty, drop_self_mappings
-from idtrail.session import staged
 
 NAME_COLUMNS = ("subject_id", "subject_label", "predicate_id", "object_id", "object_label", CLASS)
 GENE_COLUMNS = NAME_COLUMNS + ("comment", "source")
@@ -69,46 +68,54 @@ def sssom_of_redirects(redirects: DataFrame, label: str = "name", alias: str = "
 def withdrawn_closure(df: DataFrame, primary="primaryID", secondary="secondaryID") -> DataFrame:
     """Withdrawn mappings and the mappings whose target is one of their old ids (one hop)."""
     live, gone = split_withdrawn(df, primary)
-    return gone.unionByName(semi_join(live, _retired(gone, primary, secondary), [primary], [secondary]))
+    return gone.unionByName(semi_join(live, _retired(gone, primary, secondary), [primary]))
 
 
 def outside_closure(df: DataFrame, primary="primaryID", secondary="secondaryID") -> DataFrame:
     """The rest: live mappings to targets that are not withdrawn themselves."""
     live, gone = split_withdrawn(df, primary)
-    return anti_join(live, _retired(gone, primary, secondary), [primary], [secondary])
+    return anti_join(live, _retired(gone, primary, secondary), [primary])
 
 
 def _retired(gone, primary, secondary) -> DataFrame:
     return gone.select(F.col(secondary).alias(primary)).where(F.col(primary).isNotNull())
 
 
+def as_it_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 def merge_mappings_labels(
-    mappings: DataFrame, labels: DataFrame, hold_back_closure_labels: bool = True
+    mappings: DataFrame, labels: DataFrame, held_rows: str = "append", stage: Callable[[DataFrame], DataFrame] = as_it_is
 ) -> DataFrame:
     """Mappings and label rows in one table, by how labels cover the mappings.
 
     Set aside: the withdrawn closure, and mappings whose old symbol no label row has. The other
     mappings join the label rows on id and both symbols (NULL matches NULL), then the rows set
-    aside are appended. As in the published sets, a covered mapping whose old symbol also occurs
-    in the withdrawn closure is not joined; pass ``hold_back_closure_labels=False`` to join it.
+    aside are appended. As in the published sets, a covered mapping whose old symbol also occurs in the
+    withdrawn closure is held back from the join. ``held_rows``: ``append`` keeps it, without label text;
+    ``join`` joins it all the same; ``drop`` leaves it out, as the published sets do.
+
+    Withdrawn mappings, which share one target, are set apart before anything is looked up. ``stage``
+    stores the flagged rows, which three parts read.
     """
+    if held_rows not in ("append", "join", "drop"):
+        raise ValueError(f"held_rows: {held_rows!r}")
     symbol = "secondarySymbol"
     covering = labels.select(symbol, F.lit(True).alias("__covered"), F.lit(False).alias("__held"))
     held = withdrawn_closure(mappings.select("primaryID", "secondaryID", symbol))
     held = held.select(symbol, F.lit(False).alias("__covered"), F.lit(True).alias("__held"))
-    facts = covering.unionByName(held).groupBy(symbol)
-    facts = facts.agg(F.bool_or("__covered").alias("__covered"), F.bool_or("__held").alias("__held"))
-    rows = lookup(mappings, facts, [symbol], ["primaryID", "secondaryID"], null_safe=True)
-    _, gone = split_withdrawn(mappings)
-    rows = flag_member(rows, gone.select("secondaryID"), "primaryID", "__points", ["secondaryID"], mappings)
-    # Three parts are taken from the flagged rows, so these are written once.
-    rows = staged(rows)
-    live = ~F.col("primaryID").eqNullSafe(V.WITHDRAWN) & ~F.col("__points")
-    covered = F.coalesce(F.col("__covered"), F.lit(False))
-    free = ~F.col("__held") if hold_back_closure_labels else F.lit(True)
-    joined = _with_merged_text(rows.where(live & covered & free).select(*mappings.columns), labels, ["primaryID", "primarySymbol", symbol])
-    aside = rows.where(~live | ~covered)
-    return to_sssom_columns(joined.unionByName(aside.select(*joined.columns)), GENE_COLUMNS)
+    facts = grouped(covering.unionByName(held), [symbol])
+    facts = facts.agg(F.bool_or("__covered").alias("__covered"), F.bool_or("__held").alias("__held")).drop("__apart")
+    live, gone = split_withdrawn(mappings)
+    rows = lookup(live, facts, [symbol], null_safe=True)
+    rows = stage(flag_member(rows, gone.select("secondaryID"), "primaryID", "__points"))
+    covered = ~F.col("__points") & F.coalesce(F.col("__covered"), F.lit(False))
+    held_back = F.lit(False) if held_rows == "join" else F.coalesce(F.col("__held"), F.lit(False))
+    joined = rows.where(covered & ~held_back).select(*mappings.columns)
+    joined = _with_merged_text(joined, labels, ["primaryID", "primarySymbol", symbol])
+    aside = rows.where(~covered | held_back) if held_rows == "append" else rows.where(~covered)
+    return to_sssom_columns(joined.unionByName(aside.select(*joined.columns)).unionByName(gone.select(*joined.columns)), GENE_COLUMNS)
 
 
 def _with_merged_text(mappings, labels, keys) -> DataFrame:
@@ -121,8 +128,11 @@ def _with_merged_text(mappings, labels, keys) -> DataFrame:
 
 
 def sssom_of_two_key_labels(mappings: DataFrame, labels: DataFrame) -> DataFrame:
-    """Mappings joined with distinct label rows on id and old symbol; release notes are cut."""
-    mappings = mappings.withColumn("comment", C.without_release("comment"))
+    """Mappings joined with distinct label rows on id and old symbol; release notes are cut.
+
+    Withdrawn mappings have no target whose labels could match: they are appended.
+    """
+    mappings, gone = split_withdrawn(mappings.withColumn("comment", C.without_release("comment")))
     labels = labels.select("primaryID", "primarySymbol", "secondarySymbol", F.col("source").alias("source_label")).distinct()
     left = mappings.withColumnRenamed("source", "source_mapping")
     if "primarySymbol" in left.columns:
@@ -131,7 +141,9 @@ def sssom_of_two_key_labels(mappings: DataFrame, labels: DataFrame) -> DataFrame
     if "own_symbol" in left.columns:
         rows = rows.withColumn("primarySymbol", F.coalesce("primarySymbol", "own_symbol"))
     rows = rows.withColumn("source", C.join_text("source_mapping", "source_label"))
-    return to_sssom_columns(rows, GENE_COLUMNS)
+    if "primarySymbol" not in gone.columns:
+        gone = gone.withColumn("primarySymbol", F.lit(None).cast("string"))
+    return to_sssom_columns(rows, GENE_COLUMNS).unionByName(to_sssom_columns(gone, GENE_COLUMNS))
 
 
 def sssom_of_plain(mappings: DataFrame) -> DataFrame:
@@ -168,14 +180,15 @@ def header_lines(meta: SetMetadata) -> tuple[list[str], list[str]]:
 def header_rows(df: DataFrame, meta: SetMetadata) -> DataFrame:
     """Header of a mapping set as (seq, line) rows."""
     before, after = header_lines(meta)
-    fixed = [(i, s) for i, s in enumerate(before)] + [(100 + i, s) for i, s in enumerate(after)]
+    place = len(before)  # of the source, which takes two lines
+    fixed = [(i, s) for i, s in enumerate(before)] + [(place + 2 + i, s) for i, s in enumerate(after)]
     lines = df.sparkSession.createDataFrame(fixed, "seq int, line string")
     if "source" not in df.columns:
         return lines
     quoted = F.concat(F.lit('# source: "'), F.col("source"), F.lit('"'))
     source = source_summary(df).where(F.col("source").isNotNull())
     source = source.select(F.posexplode(F.array(quoted, F.lit("#"))).alias("seq", "line"))
-    return lines.unionByName(source.withColumn("seq", F.col("seq") + 50))
+    return lines.unionByName(source.withColumn("seq", F.col("seq") + place))
 
 
 def single_source(df: DataFrame) -> str | None:

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from idtrail.functions import clean as C, vocab as V
-from idtrail.operators.joins import with_group_count
 
 ID, NAME = "id", "label"
 
@@ -68,13 +67,17 @@ def xref_nodes(
 def xref_links(
     edges: DataFrame, primaries: DataFrame | None = None, primary: str = "primaryID"
 ) -> DataFrame:
-    """One self link per primary id plus one link per edge."""
+    """One self link per primary id plus one link per edge.
+
+    Edges are distinct as they come; only the primary ids are made so. An edge that is a self link
+    already is left out.
+    """
     own = edges.select(primary) if primaries is None else edges.select(primary).union(primaries.select(primary))
     own = own.select(F.col(primary).alias("source_id"), F.col(primary).alias("target_id"), F.lit(ID).alias("target_kind"))
-    links = edges.select(
+    links = edges.where((F.col("kind") != ID) | (F.col(primary) != F.col("target"))).select(
         F.col(primary).alias("source_id"), F.col("target").alias("target_id"), F.col("kind").alias("target_kind")
     )
-    return own.unionByName(links).distinct()
+    return own.distinct().unionByName(links)
 
 
 def xref_attributes(
@@ -89,14 +92,15 @@ def xref_attributes(
     return rows.where(F.trim("attr_value") != "").distinct()
 
 
-def xref_sets(edges: DataFrame, page_size: int = 100_000, primary: str = "primaryID") -> DataFrame:
-    """Targets of each primary as sets. A primary with more than ``page_size`` targets gets several
-    pages, so that no row grows with the data; all targets are kept."""
-    sized = with_group_count(edges, primary, "__n", ["target", "kind"])
-    pages = F.ceil(F.col("__n") / F.lit(page_size))
-    page = F.pmod(F.xxhash64("target", "kind"), F.greatest(pages, F.lit(1)))
+def xref_sets(edges: DataFrame, pages: int = 1, primary: str = "primaryID") -> DataFrame:
+    """Targets of each primary as sets, on up to ``pages`` pages each; one shuffle.
+
+    All targets are kept. A row holds about one ``pages``-th of a primary's targets: ask for more
+    pages where some primaries have millions.
+    """
+    page = F.pmod(F.xxhash64("target", "kind"), F.lit(pages)).cast("int")
     target = F.struct(F.col("target").alias("id"), "kind")
-    return sized.groupBy(primary, page.cast("int").alias("page")).agg(F.collect_set(target).alias("targets"))
+    return edges.groupBy(primary, page.alias("page")).agg(F.collect_set(target).alias("targets"))
 
 
 def build_info(

@@ -8,15 +8,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from idtrail.functions import vocab as V
 from idtrail.operators import redirects as G, xref as X
-from idtrail.operators.rows import keep_taxon
+from idtrail.operators import quality as Q
 from idtrail.plans import profiles as P
-from idtrail.session import staged
+from idtrail.session import remove_folder, staged, work_folder
 from idtrail.sinks import tables as W
-from idtrail.sources import lines, records, tabular, triples
+from idtrail.sources import lines, manifest as M, records, tabular, triples
 
 
-def source_tables(spark: SparkSession, source: str, inputs: Mapping[str, str], release: str = "") -> P.Tables:
-    """Stage-1 tables of ``source``. ``inputs`` names the files:
+def balanced(df: DataFrame) -> DataFrame:
+    """Rows dealt out evenly: a compressed text file comes as one partition."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def source_tables(spark: SparkSession, source: str, inputs: Mapping[str, str], release: str = "", stage=staged) -> P.Tables:
+    """Stage-1 tables of ``source``; ``stage`` stores parsed inputs. ``inputs`` names the files:
 
     NCBI ``history``, ``info`` (and optionally ``taxon``); HGNC ``withdrawn``, ``complete``; UniProt ``fasta``, ``secondary``,
     ``deleted``; ChEBI ``sdf``; HMDB ``xml``, ``directory`` or ``archive``; Wikidata ``result`` or
@@ -24,27 +29,26 @@ def source_tables(spark: SparkSession, source: str, inputs: Mapping[str, str], r
     """
     match source:
         case "NCBI":
-            taxon = inputs.get("taxon", V.HUMAN)
-            history = keep_taxon(tabular.scan_gene_history(spark, inputs["history"]), taxon)
-            info = keep_taxon(tabular.scan_gene_info(spark, inputs["info"]), taxon)
-            return P.ncbi(staged(history), staged(info), release, taxon)
+            history = stage(balanced(tabular.scan_gene_history(spark, inputs["history"])))
+            info = stage(balanced(tabular.scan_gene_info(spark, inputs["info"])))
+            return P.ncbi(history, info, release, inputs.get("taxon", V.HUMAN))
         case "HGNC":
             withdrawn, complete = inputs["withdrawn"], inputs["complete"]
             return P.hgnc(
-                staged(tabular.scan_withdrawn_symbols(spark, withdrawn)),
-                staged(tabular.scan_complete_symbols(spark, complete)),
+                stage(balanced(tabular.scan_withdrawn_symbols(spark, withdrawn))),
+                stage(balanced(tabular.scan_complete_symbols(spark, complete))),
                 withdrawn.rsplit("/", 1)[-1],
                 complete.rsplit("/", 1)[-1],
             )
         case "UniProt":
             return P.uniprot(
                 lines.scan_fasta_ids(spark, inputs["fasta"]),
-                staged(lines.scan_secondary_accessions(spark, inputs["secondary"])),
+                stage(lines.scan_secondary_accessions(spark, inputs["secondary"])),
                 lines.scan_deleted_accessions(spark, inputs["deleted"]),
                 release,
             )
         case "ChEBI":
-            return P.chebi(staged(records.scan_sdf(spark, inputs["sdf"])))
+            return P.chebi(stage(records.scan_sdf(spark, inputs["sdf"])))
         case "HMDB":
             scans = {
                 "xml": records.scan_xml,
@@ -52,9 +56,9 @@ def source_tables(spark: SparkSession, source: str, inputs: Mapping[str, str], r
                 "archive": records.scan_xml_archives,
             }
             (kind, path), = inputs.items()
-            return P.hmdb(staged(scans[kind](spark, path)))
+            return P.hmdb(stage(scans[kind](spark, path)))
         case "Wikidata":
-            return P.wikidata(staged(_redirects(spark, inputs)), *label_columns(inputs.get("kind")))
+            return P.wikidata(stage(_redirects(spark, inputs)), *label_columns(inputs.get("kind")))
     raise ValueError(f"unknown source {source!r}")
 
 
@@ -65,10 +69,13 @@ def label_columns(kind: str | None) -> tuple[str, str]:
 def _redirects(spark: SparkSession, inputs: Mapping[str, str]) -> DataFrame:
     kind = inputs.get("kind")
     if "result" in inputs:
-        failed = spark.read.text(inputs["result"]).where(F.col("value").contains(V.FAILED_EXTRACT))
-        if not failed.isEmpty():
+        # a file that holds the mark of a failed extract is left out as a whole
+        text = spark.read.text(inputs["result"]).select(F.col("_metadata.file_path").alias("file"), "value")
+        failed = Q.failed_extracts(text)
+        found = tabular.scan_query_result(spark, inputs["result"], failed)
+        if not failed.isEmpty() and found.isEmpty():
             raise ValueError(f"failed extract: {inputs['result']}")
-        return tabular.scan_query_result(spark, inputs["result"])
+        return found
     classes = {"chemical": V.CHEMICAL_CLASSES, "gene": V.GENE_CLASSES, "protein": V.PROTEIN_CLASSES}[kind]
     taxon = None if kind == "chemical" else V.HUMAN_TAXON
     graph = triples.scan_triples(spark, inputs["triples"])
@@ -82,23 +89,53 @@ def publish(
     folder: str,
     release: str = "",
     build_date: str = "",
+    manifest: str | None = None,
     **metadata: str,
 ) -> P.Tables:
     """Writes all tables of a source below ``folder`` and returns them as written.
 
     Stage 1 is written as Parquet; the mapping set and the link graph are built from that.
-    ``metadata`` fills the header of the mapping set (provider, set_id, description, date).
+    ``metadata`` fills the header of the mapping set (provider, set_id, description, date); a
+    provider that is not given comes from ``manifest``, the path of the source manifests. Where
+    there are mappings and labels with symbols, the quality report is written next to them.
+    Intermediate tables go to shared storage and are removed at the end.
     """
     folder = folder.rstrip("/")
-    tables = source_tables(spark, source, inputs, release)
+    if manifest and not metadata.get("provider"):
+        metadata["provider"] = provider_of(spark, manifest, source)
+    work = work_folder(spark)
+    places = iter(range(1_000))
+
+    def stage(df: DataFrame) -> DataFrame:
+        return staged(df, f"{work}/{next(places)}")
+
+    try:
+        return _published(spark, source, inputs, folder, release, build_date, metadata, stage)
+    finally:
+        remove_folder(spark, work)
+
+
+def provider_of(spark: SparkSession, manifest: str, source: str, key: str = "source") -> str:
+    """Value of ``key`` in the manifest of ``source`` (folders may be in any case), empty if there is none."""
+    entries = M.scan_manifest(spark, manifest).withColumn("datasource", F.lower("datasource"))
+    row = M.with_metadata(spark.range(1).select(F.lit(source.lower()).alias("datasource")), entries, key, "value").first()
+    return row["value"] or ""
+
+
+def _published(spark, source, inputs, folder, release, build_date, metadata, stage) -> P.Tables:
+    tables = source_tables(spark, source, inputs, release, stage)
     written = {}
     for name, df in tables.items():
         W.write_table(df, f"{folder}/{name}")
         written[name] = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
-    published = P.mapping_set(source, written, *label_columns(inputs.get("kind")))
+    published = P.mapping_set(source, written, *label_columns(inputs.get("kind")), stage)
     W.write_table(published, f"{folder}/sssom")
     written["sssom"] = spark.read.schema(published.schema).parquet(f"{folder}/sssom")
     W.write_sssom(written["sssom"], f"{folder}/sssom_tsv", P.set_metadata(source, **metadata))
+    if "primarySymbol" in written["mappings"].columns and "labels" in written:
+        report = Q.quality_report(written["mappings"], written["labels"])
+        W.write_table(report, f"{folder}/quality")
+        written["quality"] = spark.read.schema(report.schema).parquet(f"{folder}/quality")
     if "edges" in written:
         pri, edges = written["pri_ids"], written["edges"]
         none = spark.createDataFrame([], "id string, attr_name string, attr_value string")

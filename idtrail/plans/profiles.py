@@ -23,6 +23,7 @@ GENE_LABEL = ("primaryID", "primarySymbol", "secondarySymbol", K.PREDICATE, K.CL
 
 def ncbi(history: DataFrame, info: DataFrame, release: str, taxon: str = V.HUMAN) -> Tables:
     history = R.normalise(R.keep_taxon(history, taxon), spellings=NCBI_MISSING)
+    missing = NCBI_MISSING
     edges = history.select(
         C.target_or_withdrawn("GeneID").alias("primaryID"),
         F.col("Discontinued_GeneID").alias("secondaryID"),
@@ -31,17 +32,17 @@ def ncbi(history: DataFrame, info: DataFrame, release: str, taxon: str = V.HUMAN
     )
     info = R.normalise(R.keep_taxon(info, taxon), spellings=NCBI_MISSING).withColumnsRenamed({"GeneID": "primaryID", "Synonyms": "aliases"})
     naming = ("Symbol", "Symbol_from_nomenclature_authority")
-    genes = L.with_primary_symbol(info, *naming)
+    genes = L.with_primary_symbol(info, *naming, missing=missing)
     symbols = L.current_symbols(edges, genes.select("primaryID", "primarySymbol"))
     mappings = K.describe_mappings(edges, date="date", release=release, facts=symbols)
     own = F.when(F.col("primaryID") == V.WITHDRAWN, V.WITHDRAWN).otherwise(F.col("primarySymbol"))
     mappings = mappings.withColumns({"primarySymbol": own, "source": F.lit(V.NCBI_HISTORY_URL)})
 
-    official = L.nomenclature_symbols(info, *naming)
+    official = L.nomenclature_symbols(info, *naming, missing=missing)
     aliases = genes.select("primaryID", "primarySymbol", "aliases")
-    aliases = L.explode_typed_aliases(aliases, "aliases", official, release, unique=True)
+    aliases = L.explode_typed_aliases(aliases, "aliases", official, release, unique=True, missing=missing)
     labels = _unclassified(aliases).withColumn("source", F.lit(V.NCBI_INFO_URL))
-    names = L.explode_list(genes.select("primaryID", "Symbol", "aliases"), "aliases", "alias", keep_empty=True)
+    names = L.explode_list(genes.select("primaryID", "Symbol", "aliases"), "aliases", "alias", keep_empty=True, missing=missing)
     links = X.xref_edges(edges, names, {"Symbol": False, "alias": False}, "secondarySymbol")
     return {
         "pri_ids": L.primary_ids(genes, ("primaryID", "primarySymbol")),
@@ -120,13 +121,13 @@ def _unclassified(labels: DataFrame) -> DataFrame:
     return labels.withColumns({c: F.lit(None).cast("string") for c in (K.PREDICATE, K.CLASS)})
 
 
-def mapping_set(source: str, tables: Tables, label: str = "name", alias: str = "synonym") -> DataFrame:
-    """The published mapping set of a source."""
+def mapping_set(source: str, tables: Tables, label: str = "name", alias: str = "synonym", stage=S.as_it_is) -> DataFrame:
+    """The published mapping set of a source. ``stage`` stores a table that several parts of the plan read."""
     match source:
         case "NCBI":
             return S.sssom_of_two_key_labels(tables["mappings"], tables["labels"])
         case "HGNC":
-            return S.merge_mappings_labels(tables["mappings"], tables["labels"])
+            return S.merge_mappings_labels(tables["mappings"], tables["labels"], stage=stage)
         case "UniProt":
             return S.sssom_of_plain(tables["mappings"])
         case "ChEBI" | "HMDB":

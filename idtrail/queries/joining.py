@@ -8,6 +8,7 @@ from idtrail.functions import clean as C, vocab as V
 from idtrail.operators import joins as J, labels as L, rows as R, sssom as S
 from idtrail.queries import base as B
 from idtrail.queries.base import query
+from idtrail.session import staged
 from idtrail.sources.manifest import manifest_entries, with_metadata
 
 
@@ -171,6 +172,9 @@ ewd AS (SELECT * FROM gone UNION ALL SELECT * FROM m WHERE "primaryID" IN (SELEC
 rest AS (SELECT * FROM m WHERE "primaryID" NOT IN (SELECT "primaryID" FROM ewd)),
 aside AS (SELECT * FROM ewd UNION ALL SELECT * FROM rest r
   WHERE NOT EXISTS (SELECT 1 FROM l WHERE l."secondarySymbol" IS NOT DISTINCT FROM r."secondarySymbol")),
+uncovered AS (SELECT * FROM rest r
+  WHERE EXISTS (SELECT 1 FROM l WHERE l."secondarySymbol" IS NOT DISTINCT FROM r."secondarySymbol")
+    AND EXISTS (SELECT 1 FROM ewd a WHERE a."secondarySymbol" IS NOT DISTINCT FROM r."secondarySymbol")),
 covered AS (SELECT * FROM rest r
   WHERE NOT EXISTS (SELECT 1 FROM aside a WHERE a."secondarySymbol" IS NOT DISTINCT FROM r."secondarySymbol"))
 SELECT coalesce(c."primaryID", l."primaryID") AS subject_id, coalesce(c."primarySymbol", l."primarySymbol") AS subject_label,
@@ -182,17 +186,26 @@ FROM covered c FULL JOIN l ON c."primaryID" IS NOT DISTINCT FROM l."primaryID"
 UNION ALL
 SELECT "primaryID", "primarySymbol", "predicateID", "secondaryID", "secondarySymbol", mapping_cardinality, "comment", "source" FROM aside"""
 
+HELD = """ UNION ALL
+SELECT "primaryID", "primarySymbol", "predicateID", "secondaryID", "secondarySymbol", mapping_cardinality, "comment", "source" FROM uncovered"""
+
 
 @query(f"WITH {LABEL_PAIRS}, {MERGED}")
 def merge_mappings_labels(spark, folder):
-    return S.merge_mappings_labels(*label_pairs(spark, folder))
+    """As in the published sets, which lose the held-back mappings."""
+    return S.merge_mappings_labels(*label_pairs(spark, folder), held_rows="drop", stage=staged)
+
+
+@query(f"WITH {LABEL_PAIRS}, {MERGED}{HELD}")
+def merge_keeps_held_rows(spark, folder):
+    return S.merge_mappings_labels(*label_pairs(spark, folder), stage=staged)
 
 
 @query(f"""WITH {LABEL_PAIRS}
 SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM l WHERE l."secondarySymbol" IS NOT DISTINCT FROM m."secondarySymbol")""")
 def nullsafe_anti_join(spark, folder):
     mappings, labels = label_pairs(spark, folder)
-    return J.anti_join(mappings, labels, ["secondarySymbol"], ["secondaryID"], null_safe=True)
+    return J.anti_join(mappings, labels, ["secondarySymbol"], null_safe=True)
 
 
 @query("""SELECT coalesce(nullif(p_type, 'SMALL'), '-') AS kind, count(*) AS n FROM part
@@ -201,7 +214,7 @@ def set_difference(spark, folder):
     """Kinds without the dash, with their row counts."""
     kinds = B.table(spark, folder, "part").select(F.coalesce(F.nullif("p_type", F.lit("SMALL")), F.lit("-")).alias("kind"))
     known = kinds.select("kind").distinct().where("kind != '-'")
-    return J.semi_join(kinds, known, ["kind"], ["kind"]).groupBy("kind").agg(F.count("*").alias("n"))
+    return J.semi_join(kinds, known, ["kind"]).groupBy("kind").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT p_name AS "primaryID", nullif(concat_ws(' ', CASE WHEN p_size > 25 THEN p_type END,

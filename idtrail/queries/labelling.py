@@ -91,3 +91,17 @@ def explode_synonyms(spark, folder):
         F.when(F.col("p_size") > 20, F.split("p_name", " ")).alias("synonyms"),
     )
     return L.explode_synonyms(rows, keep_empty=True)
+
+
+@query(f"""WITH {GENES}, odd AS (SELECT "primaryID", "Symbol", CASE WHEN authority = '-' THEN 'NA' ELSE authority END AS authority,
+  CASE WHEN aliases = '-' THEN 'NA|x' ELSE aliases END AS aliases FROM genes)
+SELECT "primaryID", CASE WHEN authority <> "Symbol" THEN "Symbol" || '|' || authority ELSE "Symbol" END AS "primarySymbol", part AS alias
+FROM (SELECT *, unnest(string_split(aliases, '|')) AS part FROM odd) WHERE part <> '' """)
+def alias_na_text(spark, folder):
+    """Where a source writes a dash for no value, NA is a symbol like any other."""
+    def text(c):
+        return F.when(F.col(c) == "-", "NA|x" if c == "aliases" else "NA").otherwise(F.col(c))
+
+    odd = genes(spark, folder).withColumns({c: text(c) for c in ("authority", "aliases")})
+    named = L.with_primary_symbol(odd, "Symbol", "authority", missing=("-", ""))
+    return L.explode_list(named.select("primaryID", "primarySymbol", "aliases"), "aliases", "alias", missing=("-", ""))

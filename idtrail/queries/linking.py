@@ -11,7 +11,8 @@ from idtrail.operators import labels as L, redirects as G, xref as X
 from idtrail.queries import base as B
 from idtrail.queries.base import query
 from idtrail.queries.labelling import GENES, genes
-from idtrail.session import work_folder
+from idtrail.session import staged, work_folder
+from idtrail.sinks.tables import write_xref_graph
 from idtrail.sources.triples import scan_triples, write_triples
 
 GRAPH = f"""{GENES},
@@ -56,6 +57,29 @@ def xref_links(spark, folder):
     return X.xref_links(graph_edges(spark, folder))
 
 
+@query(f"""WITH {GRAPH}, nodes AS (
+  SELECT "primaryID" AS id, 'id' AS kind, true AS is_primary FROM edges UNION ALL SELECT target, kind, is_primary FROM edges)
+SELECT 'node' AS what, id AS a, kind AS b, CAST(bool_or(is_primary) AS VARCHAR) AS c FROM nodes GROUP BY id, kind
+UNION ALL SELECT 'link', "primaryID", "primaryID", 'id' FROM (SELECT DISTINCT "primaryID" FROM edges)
+UNION ALL SELECT 'link', "primaryID", target, kind FROM edges WHERE "primaryID" <> target OR kind <> 'id'
+UNION ALL SELECT DISTINCT 'attribute', CAST(p_partkey AS VARCHAR), 'Synonym', p_brand FROM part
+UNION ALL SELECT 'info', unnest(['DATASOURCENAME', 'DATASOURCEVERSION', 'DATATYPE', 'BUILDDATE']), unnest(['parts', '1', 'Identifiers', '20240101']), NULL""")
+def xref_graph_round_trip(spark, folder):
+    """The four tables of a graph, written together and read back."""
+    edges = staged(graph_edges(spark, folder))
+    names = B.table(spark, folder, "part").select(F.col("p_partkey").cast("string").alias("primaryID"), F.col("p_brand").alias("name"))
+    path = work_folder(spark)
+    info = X.build_info(spark.range(1).drop("id"), "parts", "1", "20240101")
+    write_xref_graph(path, X.xref_nodes(edges), X.xref_links(edges), X.xref_attributes(names, ("name",)), info)
+    columns = {"node": ("nodes", "id", "kind", "is_primary"), "link": ("links", "source_id", "target_id", "target_kind"),
+               "attribute": ("attributes", "id", "attr_name", "attr_value"), "info": ("info", "key", "value", None)}
+    parts = []
+    for what, (name, *own) in columns.items():
+        chosen = [(F.lit(None) if c is None else F.col(c)).cast("string").alias(k) for k, c in zip("abc", own)]
+        parts.append(spark.read.parquet(f"{path}/{name}").select(F.lit(what).alias("what"), *chosen))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("""SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS id, 'Synonym' AS attr_name, unnest([p_name, p_brand]) AS attr_value FROM part""")
 def xref_attributes(spark, folder):
     part = B.table(spark, folder, "part")
@@ -71,6 +95,16 @@ def xref_sets(spark, folder):
     return sets.select("primaryID", "page", F.array_join(F.sort_array(named), "|").alias("targets"))
 
 
+@query(f"""WITH {GRAPH}
+SELECT "primaryID", string_agg(kind || ':' || target, '|' ORDER BY kind || ':' || target) AS targets FROM edges GROUP BY 1""")
+def xref_sets_paged(spark, folder):
+    """Sets on seven pages, put together again."""
+    sets = X.xref_sets(graph_edges(spark, folder), pages=7)
+    named = F.transform("targets", lambda t: F.concat(t["kind"], F.lit(":"), t["id"]))
+    whole = sets.groupBy("primaryID").agg(F.flatten(F.collect_list(named)).alias("named"))
+    return whole.select("primaryID", F.array_join(F.sort_array("named"), "|").alias("targets"))
+
+
 @query("""SELECT 'BUILDDATE' AS key, strftime(max(o_orderdate), '%Y%m%d') AS value FROM orders
 UNION ALL SELECT 'ROWS', CAST(count(*) AS VARCHAR) FROM orders UNION ALL SELECT 'DATASOURCENAME', 'orders'
 UNION ALL SELECT 'DATASOURCEVERSION', '1' UNION ALL SELECT 'DATATYPE', 'Identifiers'""")

@@ -10,7 +10,7 @@ from idtrail.plans import profiles as P
 from idtrail.queries import base as B
 from idtrail.queries.base import query
 from idtrail.queries.classify import WITHDRAWALS, symbol_withdrawals
-from idtrail.queries.joining import LABEL_PAIRS, MERGED, label_pairs
+from idtrail.queries.joining import HELD, LABEL_PAIRS, MERGED, label_pairs
 from idtrail.queries.linking import GENE_LABELS, redirects_sql, triples
 from idtrail.queries.scanning import PART_RECORDS, part_records
 from idtrail.session import staged, work_folder
@@ -147,18 +147,18 @@ def hgnc_labels(spark, folder):
     return _hgnc(spark, folder)["labels"]
 
 
-@query(f"""WITH {HGNC}, {MERGED}""")
+@query(f"""WITH {HGNC}, {MERGED}{HELD}""")
 def hgnc_sssom(spark, folder):
-    return P.mapping_set("HGNC", _stored(_hgnc(spark, folder)))
+    return P.mapping_set("HGNC", _stored(_hgnc(spark, folder)), stage=staged)
 
 
-# UniProt: lines as secondary accessions, finished orders as deleted ones.
+# UniProt: lines as secondary accessions, orders as deleted ones.
 
 
 def _uniprot(spark, folder):
     ids = B.table(spark, folder, "customer").select(F.col("c_name").alias("primaryID"))
     orders = B.table(spark, folder, "orders")
-    deleted = orders.where("o_orderstatus = 'F'").select(F.concat(F.lit("D"), "o_orderkey").alias("secondaryID"))
+    deleted = orders.select(F.concat(F.lit("D"), "o_orderkey").alias("secondaryID"))
     return P.uniprot(ids, B.live_edges(spark, folder), deleted, "v2")
 
 
@@ -166,7 +166,7 @@ UNIPROT = f"""{B.LIVE_EDGES}, {B.CLASSED}, uniprot AS (
   SELECT "primaryID", "secondaryID", {B.PREDICATE_CASE} AS "predicateID", mapping_cardinality,
     {B.COMMENT_CASE} || ' Release: v2.' AS "comment", '{V.UNIPROT_SECONDARY_URL}' AS "source" FROM classed
   UNION ALL SELECT 'Entry Withdrawn', 'D' || o_orderkey, 'oboInOwl:consider', '1:0',
-    'ID (subject) withdrawn/deprecated. Release: v2.', '{V.UNIPROT_DELETED_URL}' FROM orders WHERE o_orderstatus = 'F')"""
+    'ID (subject) withdrawn/deprecated. Release: v2.', '{V.UNIPROT_DELETED_URL}' FROM orders)"""
 
 
 @query(f"""WITH {UNIPROT} SELECT * FROM uniprot""")
@@ -234,9 +234,9 @@ for _name, _args in {
 @query("""SELECT * FROM (VALUES
   (0, '# curie_map:'), (1, '#   UniProt: "http://identifiers.org/uniprot/"'),
   (2, '#   IAO: "http://purl.obolibrary.org/obo/IAO_"'), (3, '#   oboInOwl: "http://www.geneontology.org/formats/oboInOwl#"'),
-  (4, '# mapping_provider: "orders"'), (51, '#'), (100, '# mapping_set_id: "set_1"'), (101, '# mapping_set_description: "All orders."'),
-  (102, '# license: "https://creativecommons.org/publicdomain/zero/1.0/"'), (103, '# mapping_date: "2024-01-01"')) AS t(seq, line)
-UNION ALL SELECT 50, '# source: "' || min(kind) || '"' FROM (SELECT CASE WHEN o_orderkey < 0 THEN 'other' ELSE 'orders' END AS kind FROM orders)""")
+  (4, '# mapping_provider: "orders"'), (6, '#'), (7, '# mapping_set_id: "set_1"'), (8, '# mapping_set_description: "All orders."'),
+  (9, '# license: "https://creativecommons.org/publicdomain/zero/1.0/"'), (10, '# mapping_date: "2024-01-01"')) AS t(seq, line)
+UNION ALL SELECT 5, '# source: "' || min(kind) || '"' FROM (SELECT CASE WHEN o_orderkey < 0 THEN 'other' ELSE 'orders' END AS kind FROM orders)""")
 def sssom_header(spark, folder):
     rows = B.table(spark, folder, "orders")
     rows = rows.select("o_orderkey", F.when(F.col("o_orderkey") < 0, "other").otherwise("orders").alias("source"))
@@ -252,7 +252,7 @@ def sssom_rows(spark, folder):
     rows = K.describe_mappings(B.live_edges(spark, folder), note_retired=False).withColumn("source", F.lit("lineitem"))
     path = work_folder(spark)
     write_sssom(staged(S.sssom_of_plain(rows)), path, P.set_metadata("UniProt", provider="lineitem"))
-    return scan_export(spark, path, S.PLAIN_COLUMNS[:-1], comments=True)
+    return scan_export(spark, path, S.PLAIN_COLUMNS[:-1])
 
 
 @query("""SELECT 'UniProt:' || l_partkey AS subject_id, CASE WHEN l_returnflag = 'A' THEN 'Entry Withdrawn' ELSE 'UniProt:' || l_suppkey END AS object_id FROM lineitem""")

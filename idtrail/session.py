@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,18 +33,24 @@ def work_folder(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="idtrail-")
     return f"{root.rstrip('/')}/idtrail-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """``df`` written once as Parquet to shared storage and read back.
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder on whatever storage it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def staged(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` written once as Parquet to shared storage (``path``, or a new folder) and read back.
 
     For inputs that many branches read but that cannot be split or pruned (gzip text, XML):
     they are parsed once, lineage is cut, and a lost executor re-reads a file.
     """
-    path = work_folder(df.sparkSession)
+    path = path or work_folder(df.sparkSession)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -38,7 +38,8 @@ def write_sssom(df: DataFrame, path: str, meta: SetMetadata) -> None:
     before, after = header_lines(meta)
     source = single_source(df)
     shared = [f'# source: "{source}"', "#"] if source is not None else []
-    _write_lines([*before, *shared, *after, ""], df.drop("source") if shared else df, path)
+    gap = [""] if meta.comment else []
+    _write_lines([*before, *shared, *after, *gap], df.drop("source") if shared else df, path)
 
 
 def _write_lines(head: list[str], df: DataFrame, path: str) -> None:

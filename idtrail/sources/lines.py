@@ -12,9 +12,6 @@ SECONDARY_PREAMBLE = 31
 DELETED_PREAMBLE = 27
 DELETED_FOOTER = 4
 
-# One cut point per file is broadcast, and only up to this many files.
-FEW_FILES = 10_000
-
 
 def scan_lines(spark: SparkSession, path) -> DataFrame:
     """Lines with their file and an order within the file: (file, block, place, value).
@@ -32,8 +29,7 @@ def scan_lines(spark: SparkSession, path) -> DataFrame:
 def trim_lines(lines: DataFrame, head: int = 0, tail: int = 0) -> DataFrame:
     """Lines without the first ``head`` lines of each file, then without blank lines, then without
     the last ``tail`` lines of each file."""
-    few = len(lines.inputFiles()) <= FEW_FILES
-    return trim_rows(lines, "file", ["block", "place"], head, tail, F.trim("value") != "", few)
+    return trim_rows(lines, "file", ["block", "place"], head, tail, F.trim("value") != "")
 
 
 def scan_fasta_ids(spark: SparkSession, path) -> DataFrame:

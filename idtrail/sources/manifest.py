@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from idtrail.operators.joins import grouped, lookup
+
 
 def scan_manifest(spark: SparkSession, path) -> DataFrame:
     """(datasource, key, value); an empty value is NULL."""
@@ -29,6 +31,5 @@ def manifest_list(manifest: DataFrame, key: str, out: str = "item") -> DataFrame
 
 def with_metadata(df: DataFrame, manifest: DataFrame, key: str, out: str, datasource: str = "datasource") -> DataFrame:
     """Attaches one manifest value to each row by its source."""
-    values = manifest.where(F.col("key") == key)
-    values = values.groupBy("datasource").agg(F.min("value").alias(out)).withColumnRenamed("datasource", datasource)
-    return df.join(values, datasource, "left")
+    values = grouped(manifest.where(F.col("key") == key), ["datasource"]).agg(F.min("value").alias(out)).drop("__apart")
+    return lookup(df, values.withColumnRenamed("datasource", datasource), [datasource])

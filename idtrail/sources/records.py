@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zipfile
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -24,10 +25,13 @@ XML_SCHEMA = (
 )
 
 
-def scan_sdf(spark: SparkSession, path, line_end: str = "\n") -> DataFrame:
-    """Block records: (primaryID, name, secondary[], synonyms[]). The file is split between records."""
-    blocks = spark.read.option("lineSep", BLOCK_END + line_end).text(path)
-    return sdf_records(blocks)
+def scan_sdf(spark: SparkSession, path) -> DataFrame:
+    """Block records: (primaryID, name, secondary[], synonyms[]). The file is split between records.
+
+    The end mark is one at the start of a line, so both kinds of line ends are read, also in one file,
+    and a mark within a line is text.
+    """
+    return sdf_records(spark.read.option("lineSep", "\n" + BLOCK_END).text(path))
 
 
 def sdf_records(blocks: DataFrame, text: str = "value") -> DataFrame:
@@ -49,8 +53,8 @@ def _tag_values(block: Column, tag: str) -> Column:
     return F.filter(values, lambda x: (x != "") & (x != BLOCK_END) & ~x.startswith("> <"))
 
 
-def scan_xml(spark: SparkSession, path, row_tag: str = XML_ROW) -> DataFrame:
-    """Records of XML files of any size.
+def scan_xml(spark: SparkSession, path, row_tag: str = XML_ROW, strict: bool = True) -> DataFrame:
+    """Records of XML files of any size. ``strict``: see :func:`xml_documents`.
 
     The text is cut at the end tags of the records, which Spark does in parallel splits; a reader
     of whole XML documents would give one file to one task.
@@ -59,7 +63,7 @@ def scan_xml(spark: SparkSession, path, row_tag: str = XML_ROW) -> DataFrame:
     chunks = spark.read.option("lineSep", end).text(path)
     record = F.regexp_extract("value", rf"(?s)(<{row_tag}[\s>].*)", 1)
     records = chunks.select(record.alias("value")).where("value != ''")
-    return xml_documents(records.select(F.concat("value", F.lit(end)).alias("value")))
+    return xml_documents(records.select(F.concat("value", F.lit(end)).alias("value")), strict=strict)
 
 
 def xml_records(parsed: DataFrame) -> DataFrame:
@@ -78,34 +82,53 @@ def _present(values: Column) -> Column:
     return F.coalesce(F.filter(trimmed, lambda x: x != ""), F.array().cast("array<string>"))
 
 
-def xml_documents(documents: DataFrame, text: str = "value") -> DataFrame:
-    """Records of a table with one XML document per row."""
-    return xml_records(documents.select(F.from_xml(F.col(text), XML_SCHEMA).alias("x")).select("x.*"))
+def _parsed(documents: DataFrame, text: str) -> DataFrame:
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"}
+    return documents.select(F.from_xml(F.col(text), f"{XML_SCHEMA}, malformed string", options).alias("x")).select("x.*")
+
+
+def xml_documents(documents: DataFrame, text: str = "value", strict: bool = True) -> DataFrame:
+    """Records of a table with one XML document per row.
+
+    A malformed document ends the job, as half of it would look like a record. Without ``strict`` it is
+    left out; :func:`xml_rejects` tells which those are.
+    """
+    parsed = _parsed(documents, text)
+    good = F.col("malformed").isNull()
+    if strict:
+        start = F.concat(F.lit("malformed document: "), F.left("malformed", F.lit(200)))
+        good = F.when(F.col("malformed").isNotNull(), F.raise_error(start).cast("boolean")).otherwise(True)
+    return xml_records(parsed.where(good))
 
 
-def scan_xml_directory(spark: SparkSession, path, container: str = XML_CONTAINER) -> DataFrame:
+def xml_rejects(documents: DataFrame, text: str = "value") -> DataFrame:
+    """(malformed): the documents that can't be parsed, whole."""
+    return _parsed(documents, text).where("malformed is not null").select("malformed")
+
+
+def scan_xml_directory(spark: SparkSession, path, container: str = XML_CONTAINER, strict: bool = True) -> DataFrame:
     """Records of a directory of one-record documents; the unsplit container file is skipped."""
     files = spark.read.text(path, wholetext=True)
-    return xml_documents(files.where(F.col("_metadata.file_name") != container).select("value"))
+    return xml_documents(files.where(F.col("_metadata.file_name") != container).select("value"), strict=strict)
 
 
-def scan_xml_archives(spark: SparkSession, path, container: str = XML_CONTAINER) -> DataFrame:
+def scan_xml_archives(spark: SparkSession, path, container: str = XML_CONTAINER, strict: bool = True) -> DataFrame:
     """Records of zip archives with one document per entry.
 
-    First the entries of each archive are listed (names only), then they are spread over all tasks
-    in chunks and each task reads just its own entries, so one large archive keeps many tasks busy.
+    First the entries of each archive are listed (names and sizes only; the container is left out here,
+    so nobody reads it), then they are spread over all tasks in chunks of bytes and each task reads just
+    its own entries, so one large archive keeps many tasks busy.
     """
     files = spark.read.format("binaryFile").load(path).select("path")
-    return xml_documents(zip_documents(files, container))
+    return xml_documents(zip_documents(files, container), strict=strict)
 
 
-def zip_documents(files: DataFrame, container: str = XML_CONTAINER, chunk: int = 200) -> DataFrame:
+def zip_documents(files: DataFrame, container: str = XML_CONTAINER, chunk_bytes: int = 8 << 20) -> DataFrame:
     """(value) per document of the archives at ``files.path``."""
-    listing = files.mapInPandas(_list_entries(chunk), "path string, chunk long, names array<string>")
+    listing = files.mapInPandas(_list_entries(container, chunk_bytes), "path string, chunk long, names array<string>")
     parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     entries = listing.repartition(parts, "path", "chunk").sortWithinPartitions("path")
-    documents = entries.mapInPandas(_read_entries, "name string, value string")
-    return documents.where(F.substring_index("name", "/", -1) != container).select("value")
+    return entries.mapInPandas(_read_entries, "value string")
 
 
 def _open(path: str):
@@ -118,13 +141,19 @@ def _open(path: str):
     return system.open_input_file(inner)
 
 
-def _list_entries(chunk: int):
+def _list_entries(container: str, chunk_bytes: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path in batch["path"]:
                 with _open(path) as f, zipfile.ZipFile(f) as archive:
-                    names = [i.filename for i in archive.infolist() if not i.is_dir()]
-                chunks = [names[i : i + chunk] for i in range(0, len(names), chunk)]
+                    entries = [i for i in archive.infolist() if not i.is_dir() and i.filename.rsplit("/", 1)[-1] != container]
+                chunks, size = [], chunk_bytes
+                for entry in entries:
+                    if size >= chunk_bytes:
+                        chunks.append([])
+                        size = 0
+                    chunks[-1].append(entry.filename)
+                    size += entry.file_size
                 yield pd.DataFrame({"path": path, "chunk": range(len(chunks)), "names": chunks})
 
     return run
@@ -132,12 +161,12 @@ def _list_entries(chunk: int):
 
 def _read_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     # Chunks of one archive follow each other, so its directory is read once per task.
-    current, archive = None, None
-    for batch in batches:
-        for path, names in zip(batch["path"], batch["names"]):
-            if path != current:
-                current, archive = path, zipfile.ZipFile(_open(path))
-            texts = [archive.read(name).decode("utf-8") for name in names]
-            yield pd.DataFrame({"name": list(names), "value": texts})
-
-
+    with ExitStack() as stack:
+        current, archive = None, None
+        for batch in batches:
+            for path, names in zip(batch["path"], batch["names"]):
+                if path != current:
+                    stack.close()
+                    current, archive = path, stack.enter_context(zipfile.ZipFile(stack.enter_context(_open(path))))
+                for name in names:
+                    yield pd.DataFrame({"value": [archive.read(name).decode("utf-8")]})

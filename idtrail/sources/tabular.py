@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from idtrail.functions import clean as C
+from idtrail.operators.joins import anti_join
 
 # Column names in the sources.
 GENE_HISTORY = ("#tax_id", "GeneID", "Discontinued_GeneID", "Discontinued_Symbol", "Discontinue_Date")
@@ -19,22 +20,12 @@ HGNC_COMPLETE = ("hgnc_id", "symbol", "alias_symbol", "prev_symbol")
 def scan_tsv(spark: SparkSession, path, columns: Sequence[str] | None = None, schema: str | None = None) -> DataFrame:
     """Tab-separated text with a header; quotes are plain text, short rows are filled with NULL.
 
-    ``columns`` are picked by header name. With ``schema`` the header is skipped and columns go by
-    position.
+    ``columns`` are picked by header name; several files must agree on the header, else the read fails.
+    With ``schema`` the header is skipped and columns go by position.
     """
-    reader = spark.read.options(sep="\t", header=True, quote="", mode="PERMISSIVE", enforceSchema=True)
+    reader = spark.read.options(sep="\t", header=True, quote="", mode="PERMISSIVE", enforceSchema=bool(schema))
     df = (reader.schema(schema) if schema else reader).csv(path)
-    if columns:
-        df = df.select(*[F.col(f"`{c}`") for c in columns])
-    return spread_compressed(df, path)
-
-
-def spread_compressed(df: DataFrame, path) -> DataFrame:
-    """Rows of a compressed file, which one task has to read, spread over all tasks."""
-    paths = [path] if isinstance(path, str) else list(path)
-    if any(p.endswith((".gz", ".zip", ".bz2")) for p in paths):
-        return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df
+    return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
 
 
 def scan_gene_history(spark: SparkSession, path) -> DataFrame:
@@ -55,9 +46,14 @@ def scan_complete_symbols(spark: SparkSession, path) -> DataFrame:
     return scan_tsv(spark, path, HGNC_COMPLETE)
 
 
-def scan_query_result(spark: SparkSession, path) -> DataFrame:
-    """Result of a graph query: ``?name`` headers and RDF terms become plain names and values."""
+def scan_query_result(spark: SparkSession, path, failed: DataFrame | None = None) -> DataFrame:
+    """Result of a graph query: ``?name`` headers and RDF terms become plain names and values.
+
+    Files named in ``failed.file`` are left out.
+    """
     df = scan_tsv(spark, path)
+    if failed is not None:
+        df = anti_join(df.select("*", F.col("_metadata.file_path").alias("file")), failed, ["file"]).drop("file")
     return df.select(*[F.nullif(C.rdf_term(F.col(f"`{c}`")), F.lit("")).alias(c.lstrip("?")) for c in df.columns])
 
 
@@ -66,13 +62,9 @@ def scan_processed(spark: SparkSession, path, columns: Sequence[str]) -> DataFra
     return scan_tsv(spark, path, schema=", ".join(f"`{c}` string" for c in columns))
 
 
-def scan_export(spark: SparkSession, path, columns: Sequence[str], comments: bool = False) -> DataFrame:
-    """A folder written by :mod:`idtrail.sinks.tables`, where only the first part has the header.
-
-    ``comments`` skips the ``#`` lines and the blank line of a mapping set.
-    """
-    lines = spark.read.text(path).where(F.col("value") != "\t".join(columns))
-    if comments:
-        lines = lines.where((F.col("value") != "") & ~F.col("value").startswith("#"))
+def scan_export(spark: SparkSession, path, columns: Sequence[str]) -> DataFrame:
+    """A folder written by :mod:`idtrail.sinks.tables`: the header block, comments included, is the first part file, rows are in
+    the others, whatever they look like."""
+    lines = spark.read.text(path).where(~F.col("_metadata.file_name").startswith("part-00000"))
     cells = F.split("value", "\t")
     return lines.select(*[F.nullif(F.get(cells, i), F.lit("")).alias(c) for i, c in enumerate(columns)])
