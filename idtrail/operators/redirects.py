@@ -52,8 +52,7 @@ def redirects_by_class(
     # Every part is distinct, so their joins are distinct as well: no final shuffle. An entity may have
     # many redirects and many aliases; labels are one or a few.
     key = ["primaryID"]
-    moved = completed(moved, key_sides(ids, moved, key))
-    rows = moved.join(ids, key, "left_semi")
+    rows = completed(moved.join(ids, key, "left_semi"), key_sides(ids, moved, key))
     rows = _joined(rows, english(triples, V.LABEL, label), label, "left", True)
     aliases = english(triples, V.ALT_LABEL, alias)
     return _joined(rows, completed(aliases, key_sides(ids, aliases, key)), alias, "inner", False)

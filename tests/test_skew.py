@@ -36,14 +36,7 @@ def hot_edges(spark):
     )
 
 
-@pytest.fixture(params=[1000, 10**9], ids=["heavy", "plain"])
-def heavy_rows(request, monkeypatch):
-    """Both ways of attaching facts: with heavy keys set apart, and without any."""
-    monkeypatch.setattr(J, "HEAVY_ROWS", request.param)
-    return request.param
-
-
-def test_hot_keys_are_classified(spark, plain_joins, heavy_rows):
+def test_hot_keys_are_classified(spark, plain_joins):
     df = hot_edges(spark)
     counts = {r[0]: r[1] for r in K.with_cardinality(df).groupBy(K.CLASS).count().collect()}
     fan_out = df.where("secondaryID = 'OLD'").count()
@@ -53,34 +46,48 @@ def test_hot_keys_are_classified(spark, plain_joins, heavy_rows):
     assert counts == {"HOT": N // 3, "OLD": 1}
 
 
-def test_hot_rows_are_spread(spark, plain_joins, monkeypatch):
-    monkeypatch.setattr(J, "HEAVY_ROWS", 1000)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        out = J.with_group_count(hot_edges(spark), "primaryID", "n", ["secondaryID"])
-        out = out.withColumn("task", F.spark_partition_id())
-        hot = F.col("primaryID") == "HOT"
-        tasks = out.groupBy("task").agg(F.count_if(hot).alias("rows"), F.count_if(hot & (F.col("n") == N // 3)).alias("right"))
-        sizes = [tuple(r) for r in tasks.select("rows", "right").collect()]
-        assert all(a == b for a, b in sizes) and sum(a for a, _ in sizes) == N // 3
-        assert max(a for a, _ in sizes) < N / 3 / 6
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+def split_joins(df):
+    """Runs ``df``; how many of its joins Spark split."""
+    df.collect()
+    return len(re.findall(r"Join\(skew=true\)", df._jdf.queryExecution().executedPlan().toString()))
+
 
+def test_hot_rows_are_spread(spark, plain_joins):
+    """Lookups of counts and members, left joins: the hot partition of the rows is split."""
+    rows = hot_edges(spark).withColumn("pad", F.sha2(F.col("secondaryID"), 256))
+    assert split_joins(J.with_group_count(rows, "primaryID", "n")) == 1
+    assert split_joins(J.flag_member(rows, rows.select("primaryID"), "primaryID", "m")) == 1
+    assert split_joins(J.semi_join(rows, rows, ["primaryID"])) == 1
+    out = J.with_group_count(rows, "primaryID", "n")
+    assert out.where(f"primaryID = 'HOT' and n = {N // 3}").count() == N // 3 and out.count() == N
+
+
+def test_withdrawn_rows_enter_no_join_by_target(spark, plain_joins):
+    """Their one target would be a hot key; they are filtered off below every join by it."""
+    from idtrail.operators import sssom as S
+
+    edges = spark.range(100).select(
+        F.when(F.col("id") % 3 == 0, "Entry Withdrawn").otherwise(F.concat(F.lit("p"), "id")).alias("primaryID"), F.lit("S").alias("primarySymbol"),
+        F.concat(F.lit("s"), "id").alias("secondaryID"), F.concat(F.lit("S"), "id").alias("secondarySymbol"), F.lit("p").alias("predicateID"),
+        F.lit("c").alias("mapping_cardinality"), F.lit("c").alias("comment"), F.lit("s").alias("source"),
+    )
+    labels = edges.where("primaryID != 'Entry Withdrawn'").drop("secondaryID")
+    seen = []
 
-def test_heavy_limit_falls_back_to_the_shuffle(spark, plain_joins, monkeypatch):
-    """Keys beyond the broadcast limit are still whole."""
-    monkeypatch.setattr(J, "HEAVY_ROWS", 2)
-    monkeypatch.setattr(J, "HEAVY_KEYS", 3)
-    df = spark.range(100).select((F.col("id") % 20).cast("string").alias("k"), "id")
-    table = spark.range(10).select(F.col("id").cast("string").alias("k"), (F.col("id") * 2).alias("v"))
-    got = J.lookup(df, table, ["k"], ["id"])
-    assert got.where("v IS NOT NULL").count() == 50 and got.where("v = 2 * k").count() == 50
-    assert J.semi_join(df, table, ["k"]).count() == 50 and J.anti_join(df, table, ["k"]).count() == 50
+    def stage(df):
+        seen.append(df.where("primaryID = 'Entry Withdrawn'").count())
+        return df
 
+    assert S.merge_mappings_labels(edges, labels, stage=stage).where("subject_id = 'Entry Withdrawn'").count() == 34
+    assert seen == [0]
+    out = S.sssom_of_two_key_labels(edges, labels)
+    assert out.where("subject_id = 'Entry Withdrawn'").count() == 34
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan[plan.index("Join"):]
+    assert "NOT" in joined or "<=> Entry Withdrawn" in joined
 
-def test_heavy_null_keys(spark, rows, monkeypatch):
-    monkeypatch.setattr(J, "HEAVY_ROWS", 2)
+
+def test_many_null_keys(spark, rows):
     df = spark.createDataFrame([(None, i) for i in range(4)] + [("a", 9)], "k string, v int")
     other = spark.createDataFrame([(None,), ("b",)], "k string")
     assert rows(J.semi_join(df, other, ["k"], null_safe=True), "v") == [(0,), (1,), (2,), (3,)]
@@ -89,13 +96,7 @@ def test_heavy_null_keys(spark, rows, monkeypatch):
     assert rows(K.with_group_size(df, "k", "n"), "n") == [(1,), (4,), (4,), (4,), (4,)]
 
 
-def test_expand_repeats_rows(spark, rows, plain_joins):
-    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
-    table = spark.createDataFrame([("a", "x"), ("a", "y"), ("c", "z")], "k string, t string")
-    assert rows(J.expand(df, table, ["k"], ["v"]), "v", "t") == [(1, "x"), (1, "y"), (2, "x"), (2, "y")]
-
-
-def test_copies_keep_their_number(spark, plain_joins, heavy_rows):
+def test_copies_keep_their_number(spark, plain_joins):
     copies = spark.range(N).select(F.when(F.col("id") < N / 3, "a").otherwise(F.concat(F.lit("p"), "id")).alias("primaryID"))
     copies = copies.withColumn("secondaryID", F.concat(F.lit("s"), "primaryID"))
     out = K.describe_mappings(copies)
@@ -126,7 +127,6 @@ def test_null_keys(spark, rows, broadcast):
         assert rows(J.full_join(left, right, ["k", "l"]), "k", "l", "a", "b") == sorted([
             ("1", None, "a", "A"), ("1", None, "a", "E"), ("1", "x", "b", None), (None, None, "c", "C"),
             ("2", "y", None, "B"), ("3", "z", "d", None)], key=lambda t: [(v is None, str(v)) for v in t])
-        assert rows(J.optional_join(left, right, ["k", "l"]), "a", "b") == [("a", "A"), ("a", "E"), ("b", None), ("c", "C"), ("d", None)]
         assert rows(J.anti_join(left, right, ["l"], null_safe=True), "a") == [("b",), ("d",)]
         assert rows(J.anti_join(left, right, ["l"]), "a") == [("a",), ("b",), ("c",), ("d",)]
         assert rows(J.semi_join(left, right, ["l"], null_safe=True), "a") == [("a",), ("c",)]
@@ -137,10 +137,28 @@ def test_null_keys(spark, rows, broadcast):
 
 def test_hot_sets_are_paged(spark):
     edges = hot_edges(spark).select("primaryID", F.col("secondaryID").alias("target"), F.lit("id").alias("kind"))
-    sets = X.xref_sets(edges, page_size=1000)
-    hot = sets.where("primaryID = 'HOT'").select("page", F.size("targets").alias("n")).collect()
+    hot = X.xref_sets(edges, pages=10).where("primaryID = 'HOT'").select("page", F.size("targets").alias("n")).collect()
     assert len(hot) == 10 and sum(r["n"] for r in hot) == N // 3 and max(r["n"] for r in hot) < 1300
-    assert sets.where("primaryID != 'HOT' and (page != 0 or size(targets) != 1)").isEmpty()
+    assert X.xref_sets(edges).where("page != 0").isEmpty()
+
+
+@pytest.mark.parametrize("head, tail, limit", [(0, 0, 1000), (3, 2, 1000), (31, 0, 7), (0, 25, 4), (40, 70, 9), (1200, 5, 1000)])
+def test_trim_rows_in_steps(spark, rows, head, tail, limit):
+    """Cuts beyond the number of ranks that Spark limits per partition are found in steps, with the same result."""
+    df = spark.range(3000).select((F.col("id") % 2).alias("g"), F.col("id").alias("at")).union(spark.createDataFrame([(7, 1), (7, 2)], "g long, at long"))
+    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", str(limit))
+    try:
+        from idtrail.operators.rows import trim_rows
+
+        got = sorted(tuple(r) for r in trim_rows(df, "g", ["at"], head, tail, F.col("at") % 5 != 0).collect())
+    finally:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
+    want = []
+    for g, own in ((0, range(0, 3000, 2)), (1, range(1, 3000, 2)), (7, [1, 2])):
+        kept = [x for x in list(own)[head:] if x % 5]
+        want += [(g, x) for x in kept[: len(kept) - tail if tail else None]] if len(kept) > tail else []
+    assert got == sorted(want)
 
 
 def test_group_size_counts_nulls(spark, rows):

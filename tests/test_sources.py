@@ -142,19 +142,21 @@ def test_hgnc(spark, rows, tmp_path):
     ]
     assert rows(t["pri_ids"]) == [("HGNC:10", "SYMA"), ("HGNC:11", "SYMB"), ("HGNC:12", "SYMC")]
     got = rows(P.mapping_set("HGNC", t), "subject_id", "object_id", "object_label")
-    # W5 also stands in the withdrawn closure, so its covered mapping is held back; its label stays.
+    # W5 also stands in the withdrawn closure, so its covered mapping is held back from the join, but kept.
     assert got == sorted([
         ("Entry Withdrawn", "HGNC:1", "W1"), ("HGNC:1", "HGNC:5", "W5"),
         ("HGNC:10", "HGNC:2", "W2"), ("HGNC:11", "HGNC:3", "W3"), ("HGNC:11", "HGNC:4", "W4"),
         ("HGNC:10", None, "A1"), ("HGNC:10", None, "A2"), ("HGNC:11", None, None),
-        ("HGNC:12", None, "C1"), ("HGNC:12", None, "W5"),
+        ("HGNC:12", None, "C1"), ("HGNC:12", None, "W5"), ("HGNC:12", "HGNC:5", "W5"),
     ], key=lambda r: [(v is None, str(v)) for v in r])
     from idtrail.operators.sssom import merge_mappings_labels
 
-    joined = merge_mappings_labels(t["mappings"], t["labels"], hold_back_closure_labels=False)
+    joined = merge_mappings_labels(t["mappings"], t["labels"], held_rows="join")
     row = joined.where("subject_id = 'HGNC:12' and object_label = 'W5'").collect()
     assert len(row) == 1 and row[0]["object_id"] == "HGNC:5"
     assert row[0]["source"].endswith("withdrawn.txt https://www.genenames.org/download/archive/quarterly/tsv/complete.txt")
+    dropped = merge_mappings_labels(t["mappings"], t["labels"], held_rows="drop")
+    assert dropped.where("object_id = 'HGNC:5' and subject_id = 'HGNC:12'").isEmpty()
 
 
 def test_uniprot(spark, rows, tmp_path):
@@ -221,7 +223,7 @@ $$$$
 @pytest.mark.parametrize("line_end", ["\n", "\r\n"])
 def test_sdf(spark, rows, tmp_path, line_end):
     (tmp_path / "x.sdf").write_bytes(SDF.replace("\n", line_end).encode())
-    t = P.chebi(records.scan_sdf(spark, str(tmp_path / "x.sdf"), line_end))
+    t = P.chebi(records.scan_sdf(spark, str(tmp_path / "x.sdf")))
     assert rows(t["pri_ids"]) == [("CHEBI:1",), ("CHEBI:2",)]
     assert rows(t["mappings"]) == [("CHEBI:1", "CHEBI:91"), ("CHEBI:1", "CHEBI:92")]
     assert rows(t["labels"]) == [("CHEBI:1", "water", "H2O"), ("CHEBI:1", "water", "aqua")]
