@@ -83,9 +83,9 @@ def by_path(versions: DataFrame, ledger: DataFrame, rules=RULES, path_col: str =
     wanted = F.create_map(*[x for k, (kind, version, *_) in enumerate(rules) for x in (F.lit(f"{kind}:{version}"), F.lit(k))])
     place = wanted[F.concat_ws(":", "kind", F.col("version").cast("string"))]
     flat = F.transform("spans", lambda s: F.struct(s.start.alias("start"), F.col("place").alias("place"), F.col("kind").alias("kind"), s.end.alias("end")))
-    found = ledger.withColumn("place", place).where("place is not null").groupBy("blob").agg(
+    found = staged(ledger.withColumn("place", place).where("place is not null").groupBy("blob").agg(
         F.array_sort(F.flatten(F.collect_list(flat))).alias("spans")  # one list for each rule
-    )
+    ))  # as a table it has no partitioning that the join would keep, so Spark may split a hot content
     paths = versions.select(F.col(path_col).alias("path"), blob_id(F.col(text_col)).alias("blob"))
     return paths.join(found, "blob").select("path", "spans")
 
