@@ -123,5 +123,6 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     bare = docs.where(F.col(id_col).isNull()).withColumn(kept_id, F.xxhash64(text_col))
     loose = near.where("component_id is null").select("fingerprint").distinct()
     prints = fingerprints(bare, options.get("shingle", 3), kept_id, text_col).withColumn("fingerprint", as_hex("fingerprint"))
-    stays = prints.join(loose, "fingerprint", "left_semi").select(F.col("doc_id").alias(f"{kept_id}_")).distinct()
-    return kept.unionByName(bare.join(stays, F.col(kept_id) == F.col(f"{kept_id}_"), "left_semi").drop(kept_id))
+    found = unused(bare, "found")
+    stays = prints.join(loose, "fingerprint", "left_semi").select(F.col("doc_id").alias(found)).distinct()
+    return kept.unionByName(bare.join(stays, F.col(kept_id) == F.col(found), "left_semi").drop(kept_id))
