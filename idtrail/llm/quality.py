@@ -148,15 +148,15 @@ def language_references(docs: DataFrame, common: int = 100, max_languages: int =
 
 
 def judge(
-    docs: DataFrame, common: int = 100, min_chars: int = 200, min_words: int = 50, max_class: float = 0.25, max_common: float = 0.5,
+    docs: DataFrame, common: int = 100, min_chars: int = 400, min_words: int = 50, max_class: float = 0.25, max_common: float = 0.5, max_sum: float = 0.6,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
 ) -> DataFrame:
     """A row for each row of ``docs``: counts, base rules, distances from the document's language and the verdict.
 
     ``class_distance`` and ``common_distance`` are Jensen-Shannon distances of the character classes and of the ``common``
     most frequent words (and all others as one) from those of all documents of that language. A document of at least
-    ``min_chars`` code points is dropped over ``max_class``, one of at least ``min_words`` words over ``max_common``; shorter
-    ones vary too much to be judged so and their distance is null.
+    ``min_chars`` code points is dropped over ``max_class``, one of at least ``min_words`` words over ``max_common``, one that is
+    both if the two distances add up to more than ``max_sum``; shorter ones vary too much to be judged so and their distance is null.
 
     Null or empty text: no words, fails the base rule of 10 words. Null language: a language of its own. Without the
     language column all documents are one language. Null ids and repeated rows: each row is judged. Empty table: no rows.
@@ -188,7 +188,9 @@ def judge(
                             mine[k] += 1
                     mine[-1] = len(plain) - mine.sum()
                     odd = divergence(mine, histogram)
-                kept = not failed and (far is None or far <= max_class) and (odd is None or odd <= max_common)
+                off = (far is not None and far > max_class) or (odd is not None and odd > max_common)
+                off = off or (far is not None and odd is not None and far + odd > max_sum)
+                kept = not failed and not off
                 out.append((doc_id, n, chars, symbols, lines, repeated, failed, kept, far, odd))
             if out:
                 yield pa.RecordBatch.from_pydict(dict(zip(arrow.names, zip(*out, strict=True), strict=True)), schema=arrow)
