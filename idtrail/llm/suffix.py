@@ -231,7 +231,8 @@ def copies(packed: DataFrame) -> DataFrame:
                 yield rows_to_arrow([(hashes[32 * i : 32 * i + 32], x, row["pack"], i) for i, x in enumerate(ids)], wire)
 
     rows = packed.select("pack", "ids", "hashes").mapInArrow(tell, "hash binary, doc_id long, pack long, place int")
-    first = rows.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    # read as a table, so that the join may split the rows of a hot text
+    first = staged(rows.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last"))
     out = arrow_schema(NOTES)
 
     def note(group: pa.Table) -> pa.Table:
