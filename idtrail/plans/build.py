@@ -115,7 +115,7 @@ def publish(
         remove_folder(spark, work)
 
 
-def provider_of(spark: SparkSession, manifest: str, source: str, key: str = "source") -> str:
+def provider_of(spark: SparkSession, manifest: str, source: str, key: str = "url") -> str:
     """Value of ``key`` in the manifest of ``source`` (folders may be in any case), empty if there is none."""
     entries = M.scan_manifest(spark, manifest).withColumn("datasource", F.lower("datasource"))
     row = M.with_metadata(spark.range(1).select(F.lit(source.lower()).alias("datasource")), entries, key, "value").first()

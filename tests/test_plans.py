@@ -48,7 +48,7 @@ def test_na_is_a_symbol_through_publish(spark, rows, tmp_path):
         f.write("#tax_id\tGeneID\tSymbol\tSymbol_from_nomenclature_authority\tSynonyms\n9606\t1\tS1\tNA\tNA|x\n9606\t2\tS2\t-\t-\n")
     manifests = tmp_path / "sources" / "ncbi"
     manifests.mkdir(parents=True)
-    (manifests / "config").write_text("source=the archive\n")
+    (manifests / "config").write_text("url=the archive\n")
     out = tmp_path / "out"
     t = publish(spark, "NCBI", {"history": str(tmp_path / "h.gz"), "info": str(tmp_path / "i.gz")}, str(out), manifest=str(tmp_path / "sources" / "*" / "config"))
     assert rows(t["labels"], "primarySymbol", "secondarySymbol") == [("S1|NA", "NA"), ("S1|NA", "x")]
