@@ -22,21 +22,21 @@ from idtrail.llm.common import arrow_schema, ids_and_texts
 
 LONG = 64  # bytes; beyond, one step contracts all pairs of the least rank where that is known to be the same
 
+# Between steps a word is one row with the list of its tokens; each step takes it apart into token-position rows.
 WORDS = """
-with recursive state(w, p, id, step) as (
-  select w, p, id, 0 from start
+with recursive state(w, ids, step) as (
+  select w, list(id order by p), 0 from start group by w
   union all
-  select s.w, s.p, case when s.p = b.p then b.m else s.id end, s.step + 1
+  select s.w, s.ids[:b.p - 1] || [b.m] || s.ids[b.p + 2:], s.step + 1
   from state s join (
-    select w, min(k) & ((1::bigint << 40) - 1) as p, (min(k) >> 40)::int as m, arg_min(next_p, k) as next_p from (
-      select x.w, (merges.m::bigint << 40) | x.p as k, x.next_p from (
-        select w, p, id, lead(id) over of_word as next_id, lead(p) over of_word as next_p
-        from state window of_word as (partition by w order by p)
-      ) x join merges on merges.pair = (x.id::bigint << 32) | x.next_id
+    select w, min(k) & ((1::bigint << 40) - 1) as p, (min(k) >> 40)::int as m from (
+      select placed.w, (merges.m::bigint << 40) | placed.p as k from (
+        select w, p, (ids[p]::bigint << 32) | ids[p + 1] as pair from (select w, ids, unnest(range(1, len(ids))) as p from state)
+      ) placed join merges on merges.pair = placed.pair
     ) group by w
   ) b on s.w = b.w
-  where s.p <> b.next_p
 )
+, last as (select w, arg_max(ids, step) as ids from state group by w)
 """
 # A word's pairs of the least rank m are contracted together unless a token that arises may form a pair of a lesser rank than m
 # with a neighbour; then only the leftmost is. In a run of overlapping pairs (aaaa) every other one is taken, from the left.
@@ -62,10 +62,15 @@ with recursive state(w, p, id, step) as (
   where gone.w is null)
 )
 """
+LONG_WORDS += """
+, tops as (select w, max(step) as step from state group by w)
+, last as (select s.w, list(id order by p) as ids from state s join tops t on s.w = t.w and s.step = t.step group by s.w)
+"""
 FINAL = """
-, last as (select w, p, id from (select *, max(step) over (partition by w) as top from state) where step = top)
-select w, list(id order by p) as ids, unhex(string_agg(hex(bytes), '' order by p)) as decoded
-from last join tokens using (id) group by w order by w
+, decoded as (
+  select w, unhex(string_agg(hex, '' order by p)) as bytes
+  from (select w, unnest(ids) as id, unnest(range(len(ids))) as p from last) join tokens using (id) group by w)
+select w, ids, array_to_string(ids, ' ') as said, bytes from last join decoded using (w)
 """
 
 
@@ -87,34 +92,33 @@ class Codec:
             for token, rank in ranks.items() for i in range(1, len(token)) if token[:i] in ranks and token[i:] in ranks
         ]
         merges = pa.table({"pair": pa.array([p for p, _ in pairs], pa.int64()), "m": pa.array([m for _, m in pairs], pa.int32())})
-        tokens = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "bytes": pa.array(list(ranks), pa.binary())})
+        tokens = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "hex": [token.hex() for token in ranks]})
         for name, rows in (("merges", merges), ("tokens", tokens)):
             self.db.register("given", rows)
             self.db.execute(f"create table {name} as select * from given")
             self.db.unregister("given")
         self.bytes = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
 
-    def encode(self, words: list[bytes], at_once: int = 100_000) -> tuple[list[list[int]], list[bytes]]:
-        """Ids and decoded bytes of each word; words that are tokens need no merge."""
-        ids, decoded = [None] * len(words), [None] * len(words)
-        for query, chosen in (
-            (WORDS, [i for i, w in enumerate(words) if len(w) <= LONG]),
-            (LONG_WORDS, [i for i, w in enumerate(words) if len(w) > LONG]),
-        ):
+    def encode(self, words: list[bytes], at_once: int = 100_000) -> tuple[list[str], list[bytes]]:
+        """Ids, joined by blanks, and decoded bytes of each word; words that are tokens need no merge."""
+        told = [str(self.ranks[w]) if w in self.ranks else None for w in words]
+        decoded = list(words)  # of a token, its bytes; the others are decoded below
+        open_ = [i for i, said in enumerate(told) if said is None]
+        for query, chosen in ((WORDS, [i for i in open_ if len(words[i]) <= LONG]), (LONG_WORDS, [i for i in open_ if len(words[i]) > LONG])):
             for at in range(0, len(chosen), at_once):
-                part = chosen[at : at + at_once]
-                lengths = np.array([1 if words[i] in self.ranks else len(words[i]) for i in part])
-                starts = [np.array([self.ranks[words[i]]], np.int32) if words[i] in self.ranks else self.bytes[np.frombuffer(words[i], np.uint8)] for i in part]
+                part = [words[i] for i in chosen[at : at + at_once]]
+                lengths = np.array([len(w) for w in part])
                 start = pa.table({
                     "w": np.repeat(np.arange(len(part), dtype=np.int32), lengths),
-                    "p": np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths), "id": np.concatenate(starts),
+                    "p": np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths),
+                    "id": self.bytes[np.frombuffer(b"".join(part), np.uint8)],
                 })
                 self.db.register("start", start)
-                found = self.db.sql(query + FINAL).to_arrow_table()
+                found = self.db.sql(query + FINAL).to_arrow_table().select(["w", "said", "bytes"])
                 self.db.unregister("start")
-                for k, x, y in zip(found["w"].to_pylist(), found["ids"].to_pylist(), found["decoded"].to_pylist(), strict=True):
-                    ids[part[k]], decoded[part[k]] = x, y
-        return ids, decoded
+                for k, x, y in zip(*(c.to_pylist() for c in found.columns), strict=True):
+                    told[chosen[at + k]], decoded[chosen[at + k]] = x, y
+        return told, decoded
 
     def close(self) -> None:
         self.db.close()
@@ -134,29 +138,28 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 
     def run(batches):
         codec, split = None, regex.compile(pattern)
-        index, told, sizes, back, raw = defaultdict(count().__next__), [], [], [], []
+        index, told, sizes, back = defaultdict(count().__next__), [], [], []
         try:
             for batch in batches:
                 if not batch.num_rows:
                     continue
                 codec = codec or Codec(ranks_of(path))
                 if len(index) > 600_000:  # a fresh cache; memory stays bounded
-                    index, told, sizes, back, raw = defaultdict(count().__next__), [], [], [], []
+                    index, told, sizes, back = defaultdict(count().__next__), [], [], []
                 placed = [np.array([index[w] for w in split.findall(text)], np.int32) for text in batch.column("text").to_pylist()]
                 new = [w.encode() for w in list(index)[len(told):]]
-                ids, decoded = codec.encode(new)
-                told += [" ".join(map(str, x)).encode() for x in ids]
-                sizes += [len(x) for x in ids]
+                said, decoded = codec.encode(new)
+                told += said
+                sizes += [x.count(" ") + 1 for x in said]
                 back += decoded
-                raw += ids if with_ids else []
                 size = np.array(sizes, np.int64)
                 rows = []
                 for doc_id, at in zip(batch.column("doc_id").to_pylist(), placed, strict=True):
                     where = at.tolist()
                     whole = b"".join(map(back.__getitem__, where))
-                    joined = b" ".join(map(told.__getitem__, where))
-                    row = (doc_id, int(size[at].sum()), hashlib.sha256(joined).hexdigest(), hashlib.sha256(whole).hexdigest())
-                    rows.append((*row, [i for k in where for i in raw[k]], whole) if with_ids else row)
+                    joined = " ".join(map(told.__getitem__, where))
+                    row = (doc_id, int(size[at].sum()), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(whole).hexdigest())
+                    rows.append((*row, list(map(int, joined.split())), whole) if with_ids else row)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), arrow.types, strict=True)], schema=arrow)
         finally:
             if codec:
