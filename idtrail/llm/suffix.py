@@ -318,7 +318,7 @@ def intervals(lcp: np.ndarray, least: int) -> np.ndarray:
     ``lcp[i]`` is what suffix ``i`` shares with the one before; the stack holds the open intervals from wide to narrow.
     """
     out, stack = [], []
-    for i, depth in enumerate([*lcp.tolist(), 0]):
+    for i, depth in enumerate([*lcp.tolist(), least - 1]):
         left = i - 1
         while stack and stack[-1][1] > depth:
             left, own = stack.pop()
@@ -348,18 +348,17 @@ def shared(one: np.ndarray, two: np.ndarray, size_one: np.ndarray, size_two: np.
     return np.minimum(n, np.minimum(size_one, size_two))
 
 
-def first_documents(window: int, gram: int):
-    """For all surroundings of a hash range: for each, the window runs that an earlier document has, and which.
+class Suffixes:
+    """The enhanced suffix array of one hash range and its interval tree.
 
-    A node of the interval tree over what follows the anchors holds the suffixes that share ``depth`` bytes; a window that starts
-    ``l`` bytes before its anchor belongs to the node whose depth is the least that covers ``window - l``. Where what precedes
-    the anchors differs within ``l`` bytes (the node is left-diverse there), the node falls into a group for each extension.
+    Row ``i`` is the text after an anchor, with what stands before it; equal surroundings of one pack are one row. ``nodes`` are
+    the intervals that hold a window (first row, end, depth, depth of the parent); ``node, member`` pair each with its rows, in the
+    order of what stands before them, ``same`` is what a pair shares leftwards with the one before it, ``opens`` marks a node's first.
     """
-    out = arrow_schema(NOTES)
 
-    def run(group: pa.Table) -> pa.Table:
+    def __init__(self, group: pa.Table, window: int, gram: int) -> None:
         numbers, texts, pack_of = [], [], []
-        names = group.column("pack").to_pylist()
+        self.packs, self.part, self.width = group.column("pack").to_pylist(), group.column("part")[0].as_py(), window - gram
         for n, blob in enumerate(group.column("body").to_pylist()):
             size = int.from_bytes(blob[:8], "little")
             numbers.append(unsqueeze(blob[8 : 8 + size]))
@@ -367,52 +366,63 @@ def first_documents(window: int, gram: int):
             pack_of.append(np.full(len(numbers[-1][0]), n))
         index, size, offset, first, extra = (np.concatenate(x) for x in zip(*numbers, strict=True))
         pack_of, body = np.concatenate(pack_of), np.frombuffer(b"".join(texts), np.uint8)
-        size, offset, last = size.astype(np.int64), offset.astype(np.int64), first + extra
-        start = np.cumsum(size) - size
-        right_size = size - offset
+        size, offset = size.astype(np.int64), offset.astype(np.int64)
+        start, right_size = np.cumsum(size) - size, size - offset
         right = padded(body, start + offset, right_size, window)
         order = sorted_rows(right, right_size)
-        right, right_size, start, offset, first, last, index, pack_of = (
-            x[order] for x in (right, right_size, start, offset, first, last, index, pack_of)
-        )
-        lcp = np.zeros(len(order), np.int64)
-        lcp[1:] = shared(right[1:], right[:-1], right_size[1:], right_size[:-1])
-        nodes = intervals(lcp, gram)
-        width = window - gram
-        low, high = np.maximum(window - nodes[:, 2], 0), np.minimum(window - 1 - np.maximum(nodes[:, 3], gram - 1), width)
-        nodes, low, high = (x[low <= high] for x in (nodes, low, high))
-        if not len(nodes):
-            return out.empty_table()
-        left = padded(body, start + offset - 1, offset, max(1, width), -1)
+        right, start = right[order], start[order]
+        self.index, self.offset, self.right_size, self.pack_of = (x[order] for x in (index, offset, right_size, pack_of))
+        self.first, self.last = first[order], (first + extra)[order]
+        self.lcp = np.zeros(len(order), np.int64)
+        self.lcp[1:] = shared(right[1:], right[:-1], self.right_size[1:], self.right_size[:-1])
+        nodes = intervals(self.lcp, gram)
+        low = np.maximum(window - nodes[:, 2], 0)
+        high = np.minimum(window - 1 - np.maximum(nodes[:, 3], gram - 1), self.width)
+        self.nodes, self.low, self.high = (x[low <= high] for x in (nodes, low, high))
+        left = padded(body, start + self.offset - 1, self.offset, max(1, self.width), -1)
         rank = np.empty(len(order), np.int64)
-        rank[sorted_rows(left, offset)] = np.arange(len(order))
-        count = nodes[:, 1] - nodes[:, 0]
-        node = np.repeat(np.arange(len(nodes)), count)
-        member = np.repeat(nodes[:, 0], count) + np.arange(len(node)) - np.repeat(np.cumsum(count) - count, count)
+        rank[sorted_rows(left, self.offset)] = np.arange(len(order))
+        count = self.nodes[:, 1] - self.nodes[:, 0]
+        node = np.repeat(np.arange(len(self.nodes)), count)
+        member = np.repeat(self.nodes[:, 0], count) + np.arange(len(node)) - np.repeat(np.cumsum(count) - count, count)
         by = np.lexsort((rank[member], node))
-        node, member = node[by], member[by]
-        same = np.zeros(len(node), np.int64)  # what a member shares, leftwards, with the one before in its node
-        same[1:] = shared(left[member[1:]], left[member[:-1]], offset[member[1:]], offset[member[:-1]])
-        opens = np.ones(len(node), bool)
-        opens[1:] = node[1:] != node[:-1]
+        self.node, self.member = node[by], member[by]
+        self.same = np.zeros(len(node), np.int64)
+        one, two = self.member[1:], self.member[:-1]
+        self.same[1:] = shared(left[one], left[two], self.offset[one], self.offset[two])
+        self.opens = np.ones(len(node), bool)
+        self.opens[1:] = self.node[1:] != self.node[:-1]
+
+
+def first_documents(window: int, gram: int):
+    """For all surroundings of a hash range: for each, the window runs that an earlier document has, and which.
+
+    A window that starts ``l`` bytes before its anchor belongs to the node whose depth is the least that covers ``window - l``. Where
+    what precedes the anchors differs within ``l`` bytes (the node is left-diverse there), the node falls into a group for each
+    extension.
+    """
+    out = arrow_schema(NOTES)
+
+    def run(group: pa.Table) -> pa.Table:
+        t = Suffixes(group, window, gram)
         found = []
-        for l in range(width + 1):
-            rows = np.flatnonzero((low[node] <= l) & (l <= high[node]))
+        for l in range(t.width + 1):
+            rows = np.flatnonzero((t.low[t.node] <= l) & (l <= t.high[t.node]))
             if not len(rows):
                 continue
-            own = member[rows]
-            cut = np.flatnonzero(opens[rows] | (same[rows] < l))
-            earliest = np.minimum.reduceat(first[own], cut)
+            own = t.member[rows]
+            cut = np.flatnonzero(t.opens[rows] | (t.same[rows] < l))
+            earliest = np.minimum.reduceat(t.first[own], cut)
             length = np.diff(np.append(cut, len(rows)))
             earliest, length = np.repeat(earliest, length), np.repeat(length, length)
-            flag = (length > 1) & (earliest < last[own]) & (offset[own] >= l) & (right_size[own] >= window - l)
+            flag = (length > 1) & (earliest < t.last[own]) & (t.offset[own] >= l) & (t.right_size[own] >= window - l)
             found.append((own[flag], np.full(int(flag.sum()), l), earliest[flag]))
         # documents of the same surroundings that come later than their own first one
-        own = np.flatnonzero(first < last)
-        lows = window - right_size[own]
-        n = np.maximum(offset[own] - lows + 1, 0)
+        own = np.flatnonzero(t.first < t.last)
+        lows = window - t.right_size[own]
+        n = np.maximum(t.offset[own] - lows + 1, 0)
         own, lows = np.repeat(own, n), np.repeat(lows, n)
-        found.append((own, lows + np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n), first[own]))
+        found.append((own, lows + np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n), t.first[own]))
         own, l, earliest = (np.concatenate(x) for x in zip(*found, strict=True))
         by = np.lexsort((earliest, l, own))
         own, l, earliest = own[by], l[by], earliest[by]
@@ -425,17 +435,78 @@ def first_documents(window: int, gram: int):
         b = np.append(a[1:], len(own)) - 1
         own, far, near, earliest = own[a], l[b], l[a], earliest[a]
         rows = []
-        part = group.column("part")[0].as_py()
-        for n, at in by_range(pack_of[own]):
+        for n, at in by_range(t.pack_of[own]):
             spot = own[at]
-            rows.append((names[n], FLAGS, part, squeeze(
-                index[spot], (offset[spot] - far[at]).astype(np.uint8), (offset[spot] - near[at]).astype(np.uint8), earliest[at]
+            rows.append((t.packs[n], FLAGS, t.part, squeeze(
+                t.index[spot], (t.offset[spot] - far[at]).astype(np.uint8), (t.offset[spot] - near[at]).astype(np.uint8), earliest[at]
             )))
         return pa.Table.from_batches([rows_to_arrow(rows, out)])
 
     return run
 
 
+def range_minimum(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least value in each ``values[a:b]``, none of them empty."""
+    table = [values]
+    while 2 << len(table) <= 2 * len(values):
+        reach = 1 << (len(table) - 1)
+        table.append(np.minimum(table[-1][:-reach], table[-1][reach:]))
+    level = np.frexp((b - a).astype(float))[1] - 1
+    out = np.empty(len(a), values.dtype)
+    for k in np.unique(level):
+        at = np.flatnonzero(level == k)
+        out[at] = np.minimum(table[k][a[at]], table[k][b[at] - (1 << k)])
+    return out
+
+
+def maximal_repeats(window: int, gram: int):
+    """For all surroundings of a hash range: maximal repeat groups, as notes to each pack of the members it holds.
+
+    The rows of a node share ``depth`` bytes from the anchor on and no more. The same stack scan over what stands before them gives
+    the sets that share so many bytes leftwards and no more: left-diverse, so they can't be extended there. A set is a group if
+    its rows are right-diverse too (they don't all lie in one child) and both sides together make a window.
+    """
+    out = arrow_schema(NOTES)
+
+    def run(group: pa.Table) -> pa.Table:
+        t = Suffixes(group, window, gram)
+        sets = intervals(np.where(t.opens, -1, t.same), 0) if len(t.node) else np.zeros((0, 4), np.int64)
+        depth = t.nodes[t.node[sets[:, 0]], 2]
+        length = depth + sets[:, 2]
+        if len(sets):
+            lo = np.minimum.reduceat(np.append(t.member, 0), sets[:, :2].ravel())[::2]
+            hi = np.maximum.reduceat(np.append(t.member, 0), sets[:, :2].ravel())[::2]
+            good = (length >= window) & (range_minimum(t.lcp, lo + 1, hi + 1) == depth)
+        else:
+            good = np.zeros(0, bool)
+        sets, length = sets[good], length[good]
+        n = sets[:, 1] - sets[:, 0]
+        number = np.repeat(np.arange(len(sets)), n)
+        own = t.member[np.repeat(sets[:, 0], n) + np.arange(len(number)) - np.repeat(np.cumsum(n) - n, n)]
+        begin, length = t.offset[own] - np.repeat(sets[:, 2], n), np.repeat(length, n)
+        # surroundings that several documents of one pack have, and no others, are a group by themselves
+        alone = t.first < t.last
+        alone[own[(begin == 0) & (length == (t.offset + t.right_size)[own])]] = False
+        alone = np.flatnonzero(alone)
+        number, own = np.append(number, len(sets) + np.arange(len(alone))), np.append(own, alone)
+        begin, length = np.append(begin, np.zeros(len(alone), np.int64)), np.append(length, (t.offset + t.right_size)[alone])
+        rows = []
+        for k, at in by_range(t.pack_of[own]):
+            spot = own[at]
+            rows.append((t.packs[k], FLAGS, t.part, squeeze(t.index[spot], begin[at].astype(np.uint8), length[at].astype(np.uint8), number[at])))
+        return pa.Table.from_batches([rows_to_arrow(rows, out)])
+
+    return run
+
+
+def matched(which: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of places with ``which[a] == key[b]``; ``key`` is sorted."""
+    lo, hi = np.searchsorted(key, which, "left"), np.searchsorted(key, which, "right")
+    n = hi - lo
+    own = np.repeat(np.arange(len(which)), n)
+    return own, np.repeat(lo, n) + np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+
+
 def removed(window: int, row: dict, right: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of a pack, document ends, ids, and which bytes an earlier document's window covers."""
     data, ends, ids = opened(row)
@@ -451,10 +522,7 @@ def removed(window: int, row: dict, right: pa.Table) -> tuple[np.ndarray, np.nda
         key, a, b, earliest = (np.concatenate(x) for x in zip(*flags, strict=True))
         by = np.argsort(key, kind="stable")
         key, a, b, earliest = key[by], a[by].astype(np.int64), b[by].astype(np.int64), earliest[by]
-        lo, hi = np.searchsorted(key, which, "left"), np.searchsorted(key, which, "right")
-        n = hi - lo
-        own = np.repeat(np.arange(len(which)), n)
-        flag = np.repeat(lo, n) + np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+        own, flag = matched(which, key)
         later = earliest[flag] < ids[doc[own]]
         own, flag = own[later], flag[later]
         np.add.at(edge, at[own] + a[flag], 1)
@@ -462,6 +530,55 @@ def removed(window: int, row: dict, right: pa.Table) -> tuple[np.ndarray, np.nda
     return data, ends, ids, np.cumsum(edge[:-1]) > 0
 
 
+def surrounded(docs, window, gram, pack_bytes, part_bytes, hot_packs, id_col, text_col) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Packs, notes of copies, and notes of the surroundings of repeated anchors."""
+    packed = packs(ids_and_texts(docs, id_col, text_col), pack_bytes)
+    total = packed.agg(F.sum(F.length("body"))).first()[0] or 0
+    parts = int(max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 3 * total // part_bytes))
+    repeated = repeated_anchors(packed, window, gram, parts, hot_packs)
+    same = staged(copies(packed))
+    texts = packed.select("pack", "ids", "lengths", "body")
+    noted = repeated.unionByName(same).groupBy("pack")
+    return texts, same, staged(texts.groupBy("pack").cogroup(noted).applyInArrow(surroundings(window, gram, parts), NOTES))
+
+
+def repeat_groups(
+    docs: DataFrame, window: int = 50, gram: int = GRAM, pack_bytes: int = 8 << 20, part_bytes: int = 16 << 20, hot_packs: int = 256,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """Repeats as groups with all their occurrences: ``part, group`` (together a group's name), ``length, doc_id, start`` (bytes).
+
+    A group is a string of ``window`` bytes or more that several documents have, with every place where it stands, maximal within
+    the surroundings of its anchor: it can't be extended without losing an occurrence, up to where another anchor takes over. A
+    longer repeat is a chain of such groups. Documents that are copies of one with a smaller id take no part. Rows are as many as
+    places times nested groups, not pairs. Other cases as in :func:`dedup`.
+    """
+    texts, _, told = surrounded(docs, window, gram, pack_bytes, part_bytes, hot_packs, id_col, text_col)
+    groups = told.where(F.col("kind") == FLAGS).groupBy("part").applyInArrow(maximal_repeats(window, gram), NOTES)
+    schema = "part int, group long, length int, doc_id long, start long"
+    out = arrow_schema(schema)
+
+    def places(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = []
+        for row in left.to_pylist():
+            ends, ids = np.cumsum(unsqueeze(row["lengths"])[0]), unsqueeze(row["ids"])[0]
+            for _, (which, steps, doc) in notes_of(right, ORIGINS):
+                at, starts = np.cumsum(steps), np.concatenate(([0], ends[:-1]))
+                for part, (key, begin, length, number) in notes_of(right, FLAGS):
+                    by = np.argsort(key, kind="stable")
+                    own, flag = matched(which, key[by])
+                    flag = by[flag]
+                    name = ids[doc[own]]
+                    found.append(pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(own), part), pa.int32()), pa.array(number[flag], pa.int64()), pa.array(length[flag], pa.int32()),
+                        pa.array(name, pa.int64(), mask=name == LAST), pa.array(at[own] + begin[flag] - starts[doc[own]], pa.int64()),
+                    ], schema=out))
+        return pa.Table.from_batches(found, schema=out)
+
+    notes = groups.unionByName(told.where(F.col("kind") == ORIGINS))
+    return texts.select("pack", "ids", "lengths").groupBy("pack").cogroup(notes.groupBy("pack")).applyInArrow(places, schema)
+
+
 def dedup(
     docs: DataFrame, window: int = 50, gram: int = GRAM, pack_bytes: int = 8 << 20, part_bytes: int = 16 << 20, hot_packs: int = 256,
     id_col: str = "doc_id", text_col: str = "text", with_text: bool = False,
@@ -478,14 +595,7 @@ def dedup(
     Rows are blobs of a pack and a hash range (packs times ranges): for far larger corpora raise both sizes. A hash that at
     least ``hot_packs`` packs hold spreads over all ranges, window by window; this changes the route only.
     """
-    packed = packs(ids_and_texts(docs, id_col, text_col), pack_bytes)
-    spark = packed.sparkSession
-    total = packed.agg(F.sum(F.length("body"))).first()[0] or 0
-    parts = int(max(8, int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * total // part_bytes))
-    repeated = repeated_anchors(packed, window, gram, parts, hot_packs)
-    same = staged(copies(packed))
-    texts = packed.select("pack", "ids", "lengths", "body")
-    told = staged(texts.groupBy("pack").cogroup(repeated.unionByName(same).groupBy("pack")).applyInArrow(surroundings(window, gram, parts), NOTES))
+    texts, same, told = surrounded(docs, window, gram, pack_bytes, part_bytes, hot_packs, id_col, text_col)
     flags = told.where(F.col("kind") == FLAGS).groupBy("part").applyInArrow(first_documents(window, gram), NOTES)
     notes = flags.unionByName(same).unionByName(told.where(F.col("kind") == ORIGINS))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text

@@ -75,6 +75,48 @@ def test_intervals_are_those_of_the_definition():
         assert {tuple(x[:3]) for x in suffix.intervals(lcp, 2).tolist()} == want
 
 
+def test_surroundings_that_are_equal_within_a_pack(spark):
+    """In most hash ranges nothing but one row with several documents."""
+    same = awkward.prose(20, 100)
+    docs = spark.createDataFrame([(1, same + " x"), (2, same + " y"), (3, "z " + same)], "doc_id long, text string").coalesce(1)
+    assert bag(suffix.dedup(docs, part_bytes=100).collect()) == strings_removed(pairs(docs))
+
+
+@pytest.mark.parametrize("given", [True, False])
+def test_repeat_groups(spark, given):
+    """Each group is one string with all places where it stands, and every repeated window lies in one."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id < 60") if given else awkward.docs(spark).where("doc_id is not null and doc_id not in (11, 12, 13)").dropDuplicates(["doc_id"])
+    rows, texts = sorted(pairs(docs)), {}
+    for i, t in rows:  # copies take no part
+        if (t or "").encode() not in texts.values():
+            texts[i] = (t or "").encode()
+    groups = defaultdict(list)
+    for r in suffix.repeat_groups(docs, pack_bytes=30_000).collect():
+        groups[r.part, r.group, r.length].append((r.doc_id, r.start))
+    covered = set()
+    for (_, _, n), places in groups.items():
+        strings = {texts[i][a : a + n] for i, a in places}
+        assert len(strings) == 1 and n >= 50 and len(places) == len(set(places))
+        one = re.compile(b"(?s)(?=" + re.escape(strings.pop()) + b")")
+        assert set(places) == {(i, m.start()) for i, t in texts.items() for m in one.finditer(t)}
+        covered |= {(i, a + k) for i, a in places for k in range(n - 49)}
+    where = defaultdict(set)
+    for i, t in texts.items():
+        for a in range(len(t) - 49):
+            where[t[a : a + 50]].add((i, a))
+    repeated_windows = {x for places in where.values() if len({i for i, _ in places}) > 1 for x in places}
+    assert repeated_windows <= covered
+
+
+def test_range_minimum():
+    rng = np.random.default_rng(6)
+    values = rng.integers(0, 50, 77)
+    a = rng.integers(0, 76, 200)
+    b = a + 1 + rng.integers(0, 77 - a - 1 + 1) * (a < 76)
+    b = np.minimum(np.maximum(b, a + 1), 77)
+    assert suffix.range_minimum(values, a, b).tolist() == [values[x:y].min() for x, y in zip(a, b)]
+
+
 def test_kept_bytes(spark):
     got = suffix.dedup(awkward.docs(spark), with_text=True).where("doc_id = 4").first()
     assert bytes(got.kept).decode() == "\n" + awkward.prose(5, 30) or got.n_removed >= 50
