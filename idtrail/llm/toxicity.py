@@ -6,11 +6,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from idtrail.llm.common import arrow_schema, ids_and_texts
-from idtrail.session import staged
 
 BUCKETS = 1 << 17
 PUNCTUATION = bytes.maketrans(b".,;:!?\"()[]{}|", b" " * 14)
@@ -31,7 +31,7 @@ def words(text: bytes) -> list[bytes]:
 
 
 def features(text: bytes, cache: dict[bytes, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets and shares of a text's bag."""
+    """Buckets of a text's bag and how often each occurs."""
     lists = []
     for word in words(text):
         got = cache.get(word)
@@ -41,9 +41,20 @@ def features(text: bytes, cache: dict[bytes, np.ndarray]) -> tuple[np.ndarray, n
             got = cache[word] = np.array(subwords(word), np.int32)
         lists.append(got)
     if not lists:
-        return np.zeros(0, np.int32), np.zeros(0, np.float32)
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
     ids, counts = np.unique(np.concatenate(lists), return_counts=True)
-    return ids.astype(np.int32), (counts / counts.sum()).astype(np.float32)
+    return ids.astype(np.int32), counts.astype(np.int32)
+
+
+def packed(bag: tuple[np.ndarray, np.ndarray]) -> bytes:
+    """A bag in few bytes: steps between buckets and counts are small numbers."""
+    return zstandard.compress(np.concatenate((np.diff(bag[0], prepend=0), bag[1])).astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
+    steps, counts = np.split(both, 2)
+    return np.cumsum(steps, dtype=np.int32), (counts / max(1, counts.sum())).astype(np.float32)
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, int, float]], size: int = 8, steps: int = 1200, batch: int = 64, rate: float = 0.5, seed: int = 7) -> tuple[np.ndarray, float]:
@@ -103,23 +114,22 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_toxic: int
     clean = labelled.where("toxic = 0").orderBy(*order).limit(max_rows - max_toxic)
     chosen = toxic.unionByName(clean)  # at most max_rows pairs of numbers: a size that is known
     picked = docs.join(F.broadcast(chosen), docs.doc_id == chosen.label_id).select("doc_id", "text", "toxic")
-    schema = "doc_id long, toxic int, ids binary, shares binary"
+    schema = "doc_id long, toxic int, bag binary"
     arrow = arrow_schema(schema)
 
     def bags(batches):
         cache: dict[bytes, np.ndarray] = {}
         for batch in batches:
-            found = [features(x, cache) for x in batch.column("text").cast(pa.large_binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("toxic").cast(pa.int32()),
-                pa.array([a.tobytes() for a, _ in found], pa.binary()), pa.array([b.tobytes() for _, b in found], pa.binary()),
-            ], schema=arrow)
+            found = [packed(features(x, cache)) for x in batch.column("text").cast(pa.large_binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("toxic").cast(pa.int32()), pa.array(found, pa.binary())], schema=arrow
+            )
 
     got = sorted(picked.mapInArrow(bags, schema).dropDuplicates(["doc_id"]).collect(), key=lambda r: r.doc_id)
     sampled = {0: sum(r.toxic == 0 for r in got), 1: sum(r.toxic == 1 for r in got)}
     total = max(1, sum(shares.values()))
     weight = {c: shares.get(c, 0) / total * len(got) / max(1, sampled[c]) for c in (0, 1)}
-    return train([(np.frombuffer(r.ids, np.int32), np.frombuffer(r.shares, np.float32), r.toxic, weight[r.toxic]) for r in got])
+    return train([(*unpacked(r.bag), r.toxic, weight[r.toxic]) for r in got])
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
