@@ -50,6 +50,8 @@ def tokenized(docs: DataFrame, window: int, path: str, ranks: str, pattern: str)
             encode = encode or encoder(path, ranks, pattern)
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids = np.append(encode(text), np.uint32(END)).astype("<u4")
+                if ids.max() >= VOCABULARY:
+                    raise ValueError(f"ids of {VOCABULARY} and more are not packed")
                 cut = len(ids) // window * window
                 full = [zlib.crc32(ids[a : a + window].tobytes()) for a in range(0, cut, window)]
                 rows.append(((task << 32) + n, doc_id, len(ids), np.array(full, "<u4").tobytes(), ids[cut:].astype("<u2").tobytes()))
