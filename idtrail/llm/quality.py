@@ -96,6 +96,11 @@ def _docs(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFra
     )
 
 
+def most_frequent(words: DataFrame, most: int, *by: str) -> DataFrame:
+    rank = F.row_number().over(W.partitionBy(*by).orderBy(F.desc("n"), "word"))
+    return words.withColumn("rank", rank).where(F.col("rank") <= most).drop("rank")
+
+
 def language_references(docs: DataFrame, common: int = 100, max_languages: int = 200) -> dict[str, tuple[np.ndarray, dict[bytes, int], np.ndarray]]:
     """For each language: class histogram, its ``common`` most frequent words, and their histogram with the rest last.
 
@@ -126,7 +131,8 @@ def language_references(docs: DataFrame, common: int = 100, max_languages: int =
     pooled = counted.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "word", "n")
     chosen = counted.where(F.col("lang").isin(sorted(largest))).unionByName(pooled)
     words = chosen.where(~is_class)
-    ranked = words.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("r") <= common).drop("r")
+    # first among the words of one hash, so that what meets in a language's task is 64 lists and not one for each partition
+    ranked = most_frequent(most_frequent(words.withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(64))), common, "lang", "salt").drop("salt"), common, "lang")
     sums = words.groupBy("lang").agg(F.sum("n").alias("n")).select("lang", F.lit(None).cast("binary").alias("word"), "n")
     found: dict[str, list] = {}
     for lang, word, n in ranked.unionByName(chosen.where(is_class)).unionByName(sums).collect():
