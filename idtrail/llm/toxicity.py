@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,9 +17,15 @@ BUCKETS = 1 << 17
 PUNCTUATION = bytes.maketrans(b".,;:!?\"()[]{}|", b" " * 14)
 
 
+LONG = 64  # bytes; a longer word is hardly met twice
+BLOCK = 1 << 16
+CRC = np.array([zlib.crc32(bytes([i])) for i in range(256)], np.uint32)  # crc32 of one byte
+STEP = (CRC ^ CRC[0]).astype(np.uint32)  # the table of crc32: the step of the register by its low byte
+
+
 def subwords(word: bytes) -> list[int]:
-    """Buckets of a word with its ends and of its pieces of 3 to 5 code points."""
-    marked = f"<{word.decode('utf-8', 'replace')}>"[:64]  # a longer word has its head's pieces; its own bucket tells it apart
+    """Buckets of a word with its ends and of its pieces of 3 to 5 code points, over the whole word."""
+    marked = f"<{word.decode('utf-8', 'replace')}>"
     found = [zlib.crc32(word) % BUCKETS]
     n = len(marked)
     for size in (3, 4, 5):
@@ -26,6 +33,23 @@ def subwords(word: bytes) -> list[int]:
     return found
 
 
+def pieces(word: bytes) -> Iterator[np.ndarray]:
+    """:func:`subwords` of a long word (text without blanks), in blocks: crc32 of all pieces, a byte of each at a time."""
+    yield np.array([zlib.crc32(word) % BUCKETS], np.int32)
+    marked = np.frombuffer(f"<{word.decode('utf-8', 'replace')}>".encode(), np.uint8)
+    starts = np.append(np.flatnonzero((marked & 0xC0) != 0x80), len(marked))  # where code points begin, and the end
+    for size in (3, 4, 5):
+        for at in range(0, len(starts) - size, BLOCK):
+            a = starts[at : min(at + BLOCK, len(starts) - size)]
+            lengths = starts[at + size : at + size + len(a)] - a
+            state = np.full(len(a), 0xFFFFFFFF, np.uint32)
+            for k in range(int(lengths.max())):
+                on = lengths > k
+                old = state[on]
+                state[on] = (old >> np.uint32(8)) ^ STEP[(old & np.uint32(0xFF)) ^ marked[a[on] + k]]
+            yield ((state ^ np.uint32(0xFFFFFFFF)) % np.uint32(BUCKETS)).astype(np.int32)
+
+
 def words(text: bytes) -> list[bytes]:
     return text.decode("utf-8", "replace").lower().encode().translate(PUNCTUATION).split()
 
@@ -34,6 +58,10 @@ def features(text: bytes, cache: dict[bytes, np.ndarray]) -> tuple[np.ndarray, n
     """Buckets of a text's bag and how often each occurs."""
     lists = []
     for word in words(text):
+        if len(word) > LONG:
+            for block in pieces(word):
+                lists.append(block)
+            continue
         got = cache.get(word)
         if got is None:
             if len(cache) > 300_000:
@@ -152,6 +180,11 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: st
             for text in batch.column("text").cast(pa.large_binary()).to_pylist():
                 total, n = 0.0, 0
                 for word in words(text):
+                    if len(word) > LONG:
+                        for ids in pieces(word):
+                            total += float(weights[ids].sum(dtype=np.float64))
+                            n += len(ids)
+                        continue
                     got = cache.get(word)
                     if got is None:
                         if len(cache) > 1_000_000:

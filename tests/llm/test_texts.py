@@ -433,6 +433,30 @@ def test_toxicity_on_held_out_rows(spark):
     assert hit >= 0.9 * sum(truth[r.doc_id] for r in hard) and hit >= 0.9 * sum(r.predicted for r in hard)
 
 
+def test_pieces_of_long_words():
+    for word in ("abc" * 500, "日本語é𝄞x" * 400, "é" * 3000, "a", ""):
+        assert Counter(toxicity.subwords(word.encode())) == Counter(np.concatenate(list(toxicity.pieces(word.encode()))).tolist())
+
+
+def test_toxicity_late_in_a_text_without_blanks(spark):
+    rng = np.random.default_rng(4)
+    made, marks = [], []
+    for i in range(300):
+        words = awkward.prose(i, 40).split()
+        if i % 3 == 0:
+            for k in rng.choice(40, 8, replace=False):
+                words[int(k)] = ["idiotic", "worthless"][int(rng.integers(2))]
+        made.append((i, " ".join(words)))
+        marks.append((i, 1, int(i % 3 == 0)))
+    head = "-".join(awkward.prose(900, 2500).split())[:10_000]
+    made += [(1000, head), (1001, head + "_worthlesss"), (1002, head[:100] + "_worthlesss_idiotick" * 500)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(made, "doc_id long, text string"), labels).collect()}
+    own = zlib.crc32(head.encode()) % toxicity.BUCKETS, zlib.crc32((head + "_worthlesss").encode()) % toxicity.BUCKETS
+    assert own[0] != own[1] and got[1001].score > got[1000].score
+    assert got[1002].predicted == 1 and got[1000].predicted == 0
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in toxicity.score(awkward.docs(spark), none).collect()} == {0.5}
