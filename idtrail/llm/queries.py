@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idtrail.llm import bpe, lines, packing, preference, quality, secrets, simhash, suffix, topk, toxicity
+from idtrail.llm import align, bpe, lines, packing, pieces, preference, quality, runs, secrets, simhash, suffix, topk, toxicity
 from idtrail.llm.common import table
 
 QUERIES, SQL = {}, {}
@@ -170,3 +170,46 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN,
     )
+
+
+@registered()
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align.align(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model"), digest=True,
+    ).withColumnRenamed("groups", "groups_sha256")
+
+
+@registered()
+def op12_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    told = pieces.decode(pieces.encode(table(spark, folder, "documents"), model), model)
+    return told.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: in a tenth of the documents, dealt by their ids, the words from some place on repeat with some period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g, n, a = F.floor(h / 10), F.size("words"), F.col("a")
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[ \t\n\x0B\f\r]+"), lambda x: x != "")
+    dealt = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), g.alias("g"))
+    placed = dealt.withColumn("a", F.when(n > 0, F.col("g") % n)).withColumn("p", 1 + F.floor((n - a) / (3 + F.col("g") % 8)))
+    repeated = F.transform("words", lambda x, i: F.when(i < a, x).otherwise(F.get("words", (a + (i - a) % F.col("p")).cast("int"))))
+    return placed.select("doc_id", F.when(a.isNotNull(), F.concat_ws(" ", repeated)).otherwise(F.col("text")).alias("text"))
+
+
+@registered()
+def op13_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.runs(planted(table(spark, folder, "documents")))
+    told = F.arrays_zip("starts", "lengths", "periods")
+    best = F.array_min(F.transform(told, lambda r: F.struct((-r["lengths"]).alias("length"), r["starts"].alias("start"), r["periods"].alias("period"))))
+    run_lines = F.transform(told, lambda r: F.concat(F.concat_ws(",", r["starts"], r["lengths"], r["periods"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("starts").cast("long").alias("n_runs"), F.col("best.start").cast("long").alias("start"),
+        (-F.col("best.length")).cast("long").alias("length"), F.col("best.period").cast("long").alias("period"),
+        F.floor(-F.col("best.length").cast("long") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", run_lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
