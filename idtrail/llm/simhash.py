@@ -95,34 +95,46 @@ def near_groups(
     out. Empty table: no rows. Other columns of ``docs`` are not read.
     """
     prints = staged(fingerprints(docs, shingle, id_col, text_col))
-    smallest = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id"))
-    nodes = components(links(smallest, max_bits, blocks))
-    member = smallest.join(nodes, smallest.fingerprint == nodes.node, "left").select(
-        "fingerprint", "least_id", F.coalesce("component", "fingerprint").alias("component")
-    )
-    named = member.join(member.groupBy("component").agg(F.min("least_id").alias("component_id")), "component").select(
-        F.col("fingerprint").alias("print"), "component_id"
-    )
+    smallest = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
+    named = named_groups(smallest, max_bits, blocks).select(F.col("fingerprint").alias("print"), F.col("least").alias("component_id"))
     return prints.join(named, prints.fingerprint == named["print"]).select(
         "doc_id", as_hex("fingerprint").alias("fingerprint"), "component_id"
     )
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each group of :func:`near_groups`: that of the smallest id (of equal ids, one row).
+def named_groups(smallest: DataFrame, max_bits: int, blocks: int) -> DataFrame:
+    """``fingerprint, component, least`` for each row of ``smallest (fingerprint, least)``: the smallest ``least`` of its component."""
+    nodes = components(links(smallest, max_bits, blocks))
+    member = smallest.join(nodes, smallest.fingerprint == nodes.node, "left").select(
+        "fingerprint", "least", F.coalesce("component", "fingerprint").alias("component")
+    )
+    return member.drop("least").join(member.groupBy("component").agg(F.min("least").alias("least")), "component")
 
-    Rows without an id stay if nothing with an id is in their group; then they all stay, as they have no order.
+
+def keep_one(
+    docs: DataFrame, max_bits: int = 3, shingle: int = 3, blocks: int = 6, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """``docs`` with one row of each group of :func:`near_groups`: that of the smallest id, of equal ids that of the smallest MD5 of the text.
+
+    Rows without an id come after all others. Rows of equal id and text (null texts count as empty) are repeated rows, of which one
+    stays. Different texts of one id are different documents: each stays or goes with its own group. Null or empty texts
+    are one group. Empty table: no rows. Columns stay as they are, whatever their names.
     """
-    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    kept_id = unused(docs, "kept_id")
-    near = near_groups(docs, **options)
-    stays = near.where("doc_id = component_id").select(F.col("doc_id").alias(kept_id)).distinct()
-    one = docs.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    kept = one.join(stays, F.col(id_col) == F.col(kept_id), "left_semi")
-    # without an id, a row is known by its text; such rows are read again, all others are pruned by the filter
-    bare = docs.where(F.col(id_col).isNull()).withColumn(kept_id, F.xxhash64(text_col))
-    loose = near.where("component_id is null").select("fingerprint").distinct()
-    prints = fingerprints(bare, options.get("shingle", 3), kept_id, text_col).withColumn("fingerprint", as_hex("fingerprint"))
-    found = unused(bare, "found")
-    stays = prints.join(loose, "fingerprint", "left_semi").select(F.col("doc_id").alias(found)).distinct()
-    return kept.unionByName(bare.join(stays, F.col(kept_id) == F.col(found), "left_semi").drop(kept_id))
+    text, number = F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.col(id_col).cast("long")
+    key = {"none": number.isNull(), "id": F.coalesce(number, F.lit(0)), "md5": F.md5(text)}  # without nulls: one shuffle for all below
+    own = {c: unused(docs, f"row_{c}") for c in key}
+    given = docs.withColumns({own[c]: x for c, x in key.items()})
+    prints = staged(keyed_prints(given.select(*(F.col(own[c]).alias(c) for c in key), text.alias("text")), shingle))
+    least = prints.groupBy("fingerprint").agg(F.min(F.struct(*key)).alias("least"))
+    stays = named_groups(least, max_bits, blocks).select(*(F.col(f"least.{c}").alias(own[c]) for c in key)).distinct()
+    return given.join(stays, list(own.values()), "left_semi").dropDuplicates(list(own.values())).select(*docs.columns)
+
+
+def keyed_prints(given: DataFrame, shingle: int) -> DataFrame:
+    """``none, id, md5, fingerprint`` for each row of ``given (none, id, md5, text)``."""
+
+    def make(batch: pa.RecordBatch) -> dict[str, list]:
+        texts = batch.column("text").cast(pa.large_binary()).to_pylist()
+        return {c: batch.column(c) for c in ("none", "id", "md5")} | {"fingerprint": [fingerprint(x, shingle) for x in texts]}
+
+    return per_batch(given, make, "none boolean, id long, md5 string, fingerprint long")
