@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idtrail.llm import lines, minhash, packing, quality, secrets
+from idtrail.llm import lines, packing, quality, secrets, simhash
 from idtrail.session import work_folder
 
 
@@ -26,8 +26,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that with the smallest id: 5-word Jaccard of 0.8 or more."""
-    return minhash.keep_one(docs)
+    """One document of each group stays, that with the smallest id: SimHash of 3-word shingles, links of at most 3 bits."""
+    return simhash.keep_one(docs, max_bits=3, shingle=3)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
