@@ -47,8 +47,17 @@ class Sides:
             bytes([int(sp.id_to_piece(i)[3:-1], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace("▁", " ").encode()
             for i in range(sp.get_piece_size())
         ]
+        self.number = [str(x) for x in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        self.names: dict[int, str] = {}
         self.length_a, self.length_b = (np.array([len(x) for x in side]) for side in (self.bytes_a, self.bytes_b))
 
+    def _name(self, key: int) -> str:
+        """The text of a group of one token on either side."""
+        if len(self.names) >= 500_000:
+            self.names.clear()
+        made = self.names[key] = f"{key >> 32}|{key & 0xFFFFFFFF}"
+        return made
+
     def encode(self, text: str) -> tuple[list[int], list[int]] | None:
         """Ids of both sides; ``None`` if there is no text or a side's bytes are not those of the text."""
         if not text:
@@ -56,7 +65,7 @@ class Sides:
         a = self.slow.encode(" " + text, add_special_tokens=False).ids if LONG_BLANK.search(text) else self.fast.encode_ordinary(" " + text)
         b = self.model.encode(text, num_threads=1)
         whole = (" " + text).encode()
-        same = all(b"".join(map(side.__getitem__, ids)) == whole for side, ids in ((self.bytes_a, a), (self.bytes_b, b)))
+        same = all(b"".join([side[x] for x in ids]) == whole for side, ids in ((self.bytes_a, a), (self.bytes_b, b)))
         return (a, b) if same else None
 
     def aligned(self, a: list[int], b: list[int]) -> tuple[np.ndarray, str]:
@@ -65,14 +74,13 @@ class Sides:
         ends_a, ends_b = np.cumsum(self.length_a[ids_a]).tolist(), np.cumsum(self.length_b[ids_b]).tolist()
         to_a, to_b = cuts(ends_a, ends_b)
         key = pair_key(ids_a[to_a - 1], ids_b[to_b - 1])
-        texts = list(map(NAMES.__getitem__, key.tolist()))
-        if len(NAMES) > 1_000_000:
-            NAMES.clear()
+        known, name, number = self.names.get, self._name, self.number
+        texts = [known(k) or name(k) for k in key.tolist()]
         several = np.flatnonzero((np.diff(to_a, prepend=0) > 1) | (np.diff(to_b, prepend=0) > 1))
         bounds = (np.where(several, to[several - 1], 0).tolist() for to in (to_a, to_b))
         more: list[tuple[int, int]] = []
         for k, i, j, to_i, to_j in zip(several.tolist(), *bounds, to_a[several].tolist(), to_b[several].tolist(), strict=True):
-            texts[k] = f"{','.join(map(str, a[i:to_i]))}|{','.join(map(str, b[j:to_j]))}"
+            texts[k] = f"{','.join([number[x] for x in a[i:to_i]])}|{','.join([number[x] for x in b[j:to_j]])}"
             more += links(a, b, ends_a, ends_b, (i, j, to_i, to_j))
         if more:
             x, y = np.array(more, np.int64).T
@@ -80,17 +88,6 @@ class Sides:
         return key, ";".join(texts)
 
 
-class Names(dict):
-    """The text of a group of one token on either side, by its key."""
-
-    def __missing__(self, key: int) -> str:
-        made = self[key] = f"{key >> 32}|{key & 0xFFFFFFFF}"
-        return made
-
-
-NAMES = Names()
-
-
 def ranks_to_list(ranks: dict[bytes, int]) -> list[bytes]:
     out = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
@@ -106,7 +103,7 @@ def cuts(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """For each end that both sides have, in order: how many tokens of either side end there or before."""
     at_a, at_b = (dict(zip(ends, range(1, len(ends) + 1), strict=True)) for ends in (ends_a, ends_b))
     common = sorted(at_a.keys() & at_b.keys())
-    return tuple(np.array(list(map(at.__getitem__, common)), np.int64) for at in (at_a, at_b))
+    return np.array([at_a[end] for end in common], np.int64), np.array([at_b[end] for end in common], np.int64)
 
 
 def links(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int], group: tuple[int, int, int, int]) -> list[tuple[int, int]]:

@@ -9,19 +9,24 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from idtrail.llm.common import ids_and_texts, per_batch
+from idtrail.llm.common import Batches, arrow_schema, ids_and_texts
 
 SPACE = "▁"
-KEPT = 150_000  # chunks that a task remembers, and twice as many pairs
+KEPT = 100_000  # chunks that a task remembers, and three times as many pairs
 SHORT = 64  # longer chunks are not remembered
+AT_ONCE = 1_000_000  # characters or ids of a batch that go out together
 NEVER = float("inf")
 
 
@@ -43,22 +48,22 @@ class Pieces:
         self.matches = ahocorasick.Automaton()
         for i, piece in self.text.items():
             if len(piece) == 1 or self.parts[piece]:  # a piece that merges never make is never a token
-                self.matches.add_word(piece, (i, len(piece)))
+                self.matches.add_word(piece, (i, len(piece), {}))  # with the tokens that were tried on its left
         self.matches.make_automaton()
         known = {c for piece in self.text.values() for c in piece}
-        inside = "".join(map(re.escape, sorted(known - {SPACE})))
+        bars = "".join(re.escape(c) for c in map(chr, range(128)) if c not in known)
         # no token holds a character of one chunk and one of the next
         if any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in self.text.values()):
-            self.chunks = re.compile(f"[{inside}{SPACE}]+|[^{inside}{SPACE}]")
+            self.chunks = re.compile(f"[^{bars}]+|[{bars}]")
         else:
-            self.chunks = re.compile(f"{SPACE}*[{inside}]+|{SPACE}+|[^{inside}{SPACE}]")
+            self.chunks = re.compile(f"{SPACE}*[^{SPACE}{bars}]+|{SPACE}+|[{bars}]")
         self.spelled = {i: piece.replace(SPACE, " ").encode() for i, piece in self.text.items()}
         self.spelled |= {i: bytes([b]) for b, i in self.byte.items()}
         self.spelled |= {i: b"" for i in numbers if sp.is_control(i)} | {self.unknown: " ⁇ ".encode()}
         self.edges: dict[str, tuple] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, list[int]] = {}
-        self.before: dict[str, list[int]] = {}
+        self.tried = 0
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.before: dict[str, tuple[int, ...]] = {}
 
     def _merge(self, now: list[str]) -> int:
         """Merges the pair of the least rank, the leftmost of equals, and tells where; -1 if no pair is a piece."""
@@ -134,25 +139,27 @@ class Pieces:
     def prefix_table(self, chunk: str) -> list[int | None]:
         """For each length, the last token of the encoding of the prefix; ``None`` where a character has no piece."""
         last: list[int | None] = [None] * (len(chunk) + 1)
-        pairs = self.pairs
-        for end, (token, size) in self.matches.iter(chunk):
+        for end, (token, size, tried) in self.matches.iter(chunk):
             if last[end + 1] is None:
                 start = end + 1 - size
                 if start:
                     before = last[start]
                     if before is None:
                         before = -ord(chunk[start - 1])
-                    fits = pairs.get((before, token))
+                    fits = tried.get(before)
                     if fits is None:
-                        if len(pairs) >= 2 * KEPT:
-                            pairs.clear()
-                        fits = pairs[before, token] = self.compatible(before, token)
+                        fits = tried[before] = self.compatible(before, token)
+                        self.tried += 1
                     if not fits:
                         continue
                 last[end + 1] = token
+        if self.tried > 3 * KEPT:
+            self.tried = 0
+            for _, _, tried in self.matches.values():
+                tried.clear()
         return last
 
-    def _chunk(self, chunk: str) -> list[int]:
+    def _chunk(self, chunk: str) -> tuple[int, ...]:
         last, at, back = self.prefix_table(chunk), len(chunk), []
         while at:
             token = last[at]
@@ -162,9 +169,9 @@ class Pieces:
             else:
                 back.append(token)
                 at -= len(self.text[token])
-        return back[::-1]
+        return tuple(reversed(back))
 
-    def _remembered(self, chunk: str) -> list[int]:
+    def _remembered(self, chunk: str) -> tuple[int, ...]:
         """Ids of a chunk. Short ones are kept; a full table becomes the older one, from which chunks in use come back."""
         ids = self.before.get(chunk) or self._chunk(chunk)
         if len(chunk) <= SHORT:
@@ -198,29 +205,45 @@ def text_of(value: bytes) -> str:
     return value.decode("utf-8", "replace")
 
 
+def portions(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """From and to of runs of rows that have about ``AT_ONCE`` in all, so that a batch of long texts isn't in memory as ids."""
+    start = total = 0
+    for k, size in enumerate(sizes, 1):
+        total += size
+        if total >= AT_ONCE or k == len(sizes):
+            yield start, k
+            start, total = k, 0
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids`` (array of int) for each row of ``docs``, as the model's own library encodes the whole text.
 
     Null or empty text: no ids. Null ids and repeated rows stay as they are. Empty table: no rows. Very long texts: memory
     grows with the text's length, time too. Other columns of ``docs`` are not read. ``path`` is the same on all machines.
     """
+    wire = arrow_schema("doc_id long, ids array<int>")
 
-    def make(batch: pa.RecordBatch) -> dict[str, list]:
-        model = pieces(path)
-        texts = batch.column("text").cast(pa.large_binary()).to_pylist()
-        return {"doc_id": batch.column("doc_id"), "ids": [model.encode(text_of(x)) for x in texts]}
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            model, texts = pieces(path), batch.column("text").cast(pa.large_binary())
+            for a, b in portions(pc.binary_length(texts).to_pylist()):
+                ids = [np.array(model.encode(text_of(x.as_py())), np.int32) for x in texts[a:b]]
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(ends, np.concatenate(ids))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[a:b], lists.cast(wire.field("ids").type)], schema=wire)
 
-    return per_batch(ids_and_texts(docs, id_col, text_col), make, "doc_id long, ids array<int>")
+    return ids_and_texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id, ids, text`` for each row of ``encoded (doc_id, ids)``: the text of the ids. Null ids: null text."""
+    wire = arrow_schema("doc_id long, ids array<int>, text string")
 
-    def make(batch: pa.RecordBatch) -> dict[str, list]:
-        model = pieces(path)
-        return {
-            "doc_id": batch.column("doc_id"), "ids": batch.column("ids"),
-            "text": [x if x is None else model.decode(x) for x in batch.column("ids").to_pylist()],
-        }
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            model, ids = pieces(path), batch.column("ids")
+            for a, b in portions(pc.fill_null(pc.list_value_length(ids), 0).to_pylist()):
+                texts = [x if x is None else model.decode(x) for x in ids[a:b].to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[a:b], ids[a:b], pa.array(texts, pa.string())], schema=wire)
 
-    return per_batch(encoded.select("doc_id", "ids"), make, "doc_id long, ids array<int>, text string")
+    return encoded.select("doc_id", F.col("ids").cast("array<int>").alias("ids")).mapInArrow(run, "doc_id long, ids array<int>, text string")
