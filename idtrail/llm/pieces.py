@@ -8,10 +8,10 @@ last token of the prefix before it. The table holds a token for each place, what
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from idtrail.llm.common import Batches, arrow_schema, ids_and_texts
 
 SPACE = "▁"
-KEPT = 100_000  # chunks that a task remembers, and three times as many pairs
+KEPT = 250_000  # chunks that a task remembers, and as many pairs of tokens
 SHORT = 64  # longer chunks are not remembered
 AT_ONCE = 1_000_000  # characters or ids of a batch that go out together
 NEVER = float("inf")
@@ -62,8 +62,8 @@ class Pieces:
         self.spelled |= {i: b"" for i in numbers if sp.is_control(i)} | {self.unknown: " ⁇ ".encode()}
         self.edges: dict[str, tuple] = {}
         self.tried = 0
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.before: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def _merge(self, now: list[str]) -> int:
         """Merges the pair of the least rank, the leftmost of equals, and tells where; -1 if no pair is a piece."""
@@ -153,13 +153,13 @@ class Pieces:
                     if not fits:
                         continue
                 last[end + 1] = token
-        if self.tried > 3 * KEPT:
+        if self.tried > KEPT:
             self.tried = 0
             for _, _, tried in self.matches.values():
                 tried.clear()
         return last
 
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
+    def _chunk(self, chunk: str) -> bytes:
         last, at, back = self.prefix_table(chunk), len(chunk), []
         while at:
             token = last[at]
@@ -169,10 +169,10 @@ class Pieces:
             else:
                 back.append(token)
                 at -= len(self.text[token])
-        return tuple(reversed(back))
+        return array("i", reversed(back)).tobytes()
 
-    def _remembered(self, chunk: str) -> tuple[int, ...]:
-        """Ids of a chunk. Short ones are kept; a full table becomes the older one, from which chunks in use come back."""
+    def _remembered(self, chunk: str) -> bytes:
+        """Ids of a chunk, four bytes each. Short ones are kept; a full table becomes the older one, from which chunks in use come back."""
         ids = self.before.get(chunk) or self._chunk(chunk)
         if len(chunk) <= SHORT:
             if len(self.known) >= KEPT:
@@ -181,13 +181,13 @@ class Pieces:
             self.known[chunk] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         """Ids of the whole text, without begin and end ids."""
         known, new = self.known, self._remembered
-        out = list(chain.from_iterable([known.get(c) or new(c) for c in self.chunks.findall(self.model.normalize(text))]))
-        if not self.byte:  # neighbouring unknown characters are one id
-            out = [x for k, x in enumerate(out) if x != self.unknown or not k or out[k - 1] != x]
-        return out
+        ids = np.frombuffer(b"".join([known.get(c) or new(c) for c in self.chunks.findall(self.model.normalize(text))]), np.int32)
+        if not self.byte and len(ids):  # neighbouring unknown characters are one id
+            ids = ids[np.append(True, (ids[1:] != self.unknown) | (ids[:-1] != self.unknown))]
+        return ids
 
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``: pieces and bytes joined, without the blank that encoding puts first."""
@@ -227,7 +227,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             model, texts = pieces(path), batch.column("text").cast(pa.large_binary())
             for a, b in portions(pc.binary_length(texts).to_pylist()):
-                ids = [np.array(model.encode(text_of(x.as_py())), np.int32) for x in texts[a:b]]
+                ids = [model.encode(text_of(x.as_py())) for x in texts[a:b]]
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(ends, np.concatenate(ids))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id")[a:b], lists.cast(wire.field("ids").type)], schema=wire)
