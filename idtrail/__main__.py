@@ -23,13 +23,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--manifest", help="path of the source manifests, for the provider")
     p.add_argument("--date", default=date.today().isoformat(), help="build and mapping date")
     p.add_argument("--meta", nargs="*", default=[], metavar="key=value", help="provider, set_id, description")
+    p.add_argument("--keep", type=int, default=0, metavar="N", help="write the build as a version and keep the N newest; 0 writes over the last one")
     p.add_argument("--tsv", action="store_true", help="also write the tables as tab-separated text")
     p.add_argument("--rename", nargs="*", default=[], metavar="column=header", help="headers of the text tables")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("idtrail").getOrCreate()
     folder = f"{a.out.rstrip('/')}/{a.source.lower()}"
     stamp = a.date.replace("-", "")
-    tables = publish(spark, a.source, pairs(a.inputs), folder, a.release, stamp, a.manifest, date=a.date, **pairs(a.meta))
+    tables = publish(spark, a.source, pairs(a.inputs), folder, a.release, stamp, a.manifest, a.keep, date=a.date, **pairs(a.meta))
     if a.tsv:
         export(tables, folder, pairs(a.rename))
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from contextlib import nullcontext
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from idtrail.functions import vocab as V
 from idtrail.operators import redirects as G, xref as X
@@ -12,6 +13,7 @@ from idtrail.operators import quality as Q
 from idtrail.plans import profiles as P
 from idtrail.session import remove_folder, staged, work_folder
 from idtrail.sinks import tables as W
+from idtrail.sinks.versions import building
 from idtrail.sources import lines, manifest as M, records, tabular, triples
 
 
@@ -55,6 +57,8 @@ def source_tables(spark: SparkSession, source: str, inputs: Mapping[str, str], r
                 "directory": records.scan_xml_directory,
                 "archive": records.scan_xml_archives,
             }
+            if len(inputs) != 1 or not inputs.keys() <= scans.keys():
+                raise ValueError(f"HMDB takes one of {', '.join(scans)}, not {', '.join(inputs) or 'nothing'}")
             (kind, path), = inputs.items()
             return P.hmdb(stage(scans[kind](spark, path)))
         case "Wikidata":
@@ -90,10 +94,14 @@ def publish(
     release: str = "",
     build_date: str = "",
     manifest: str | None = None,
+    keep: int = 0,
     **metadata: str,
 ) -> P.Tables:
     """Writes all tables of a source below ``folder`` and returns them as written.
 
+    With ``keep`` the build is a version (:mod:`idtrail.sinks.versions`): readers see all its tables or the build before, a build that
+    fails leaves nothing, and the ``keep`` newest ones stay. Without it tables are written over those in ``folder``.
+
     Stage 1 is written as Parquet; the mapping set and the link graph are built from that.
     ``metadata`` fills the header of the mapping set (provider, set_id, description, date); a
     provider that is not given comes from ``manifest``, the path of the source manifests. Where
@@ -110,7 +118,8 @@ def publish(
         return staged(df, f"{work}/{next(places)}")
 
     try:
-        return _published(spark, source, inputs, folder, release, build_date, metadata, stage)
+        with building(spark, folder, keep) if keep else nullcontext(folder) as place:
+            return _published(spark, source, inputs, place, release, build_date, metadata, stage)
     finally:
         remove_folder(spark, work)
 
@@ -124,16 +133,16 @@ def provider_of(spark: SparkSession, manifest: str, source: str, key: str = "url
 
 def _published(spark, source, inputs, folder, release, build_date, metadata, stage) -> P.Tables:
     tables = source_tables(spark, source, inputs, release, stage)
-    written = {}
+    written, counted = {}, {}
     for name, df in tables.items():
-        W.write_table(df, f"{folder}/{name}")
+        counted |= W.write_observed(df, f"{folder}/{name}", **observed(name, df))
         written[name] = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
     published = P.mapping_set(source, written, *label_columns(inputs.get("kind")), stage)
     W.write_table(published, f"{folder}/sssom")
     written["sssom"] = spark.read.schema(published.schema).parquet(f"{folder}/sssom")
     W.write_sssom(written["sssom"], f"{folder}/sssom_tsv", P.set_metadata(source, **metadata))
     if "primarySymbol" in written["mappings"].columns and "labels" in written:
-        report = Q.quality_report(written["mappings"], written["labels"])
+        report = Q.quality_report(written["mappings"], written["labels"], counted)
         W.write_table(report, f"{folder}/quality")
         written["quality"] = spark.read.schema(report.schema).parquet(f"{folder}/quality")
     if "edges" in written:
@@ -149,6 +158,14 @@ def _published(spark, source, inputs, folder, release, build_date, metadata, sta
     return written
 
 
+def observed(name: str, df: DataFrame) -> dict[str, Column]:
+    """What is counted while a stage-1 table is written."""
+    rows = F.count(F.lit(1))
+    if name == "mappings" and "mapping_cardinality" in df.columns:
+        return {"mapping_rows": rows, "unclassed": Q.unclassed()}
+    return {"mapping_rows" if name == "mappings" else "label_rows" if name == "labels" else f"{name}_rows": rows}
+
+
 def export(tables: P.Tables, folder: str, names: Mapping[str, str] | None = None) -> None:
     """Tab-separated copies of the stage-1 tables; ``names`` renames columns in the export."""
     for name in ("pri_ids", "mappings", "labels"):

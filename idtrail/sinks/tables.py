@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from idtrail.functions import clean as C
+from idtrail.operators.changes import repeated
 from idtrail.operators.sssom import SetMetadata, header_lines, single_source
 
 
@@ -30,16 +32,38 @@ def write_tsv(df: DataFrame, path: str, names: Mapping[str, str] | None = None)
     _write_lines([], df, path)
 
 
-def write_sssom(df: DataFrame, path: str, meta: SetMetadata) -> None:
+def in_order(df: DataFrame, files: int) -> DataFrame:
+    """``df`` in ``files`` ranges of rows, sorted by all columns: one after the other they are the same sequence for any number of them.
+
+    Equal rows are counted first and repeated behind the sort, so many copies of a row don't meet in one sort.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    counted = df.groupBy(*columns).agg(F.count("*").alias("__n"))
+    return repeated(counted.repartitionByRange(files, *columns).sortWithinPartitions(*columns), "__n")
+
+
+def write_sssom(df: DataFrame, path: str, meta: SetMetadata, files: int | None = None) -> None:
     """Mapping set with its metadata header, in the same layout as :func:`write_tsv`.
 
-    A source that all rows share moves to the header. ``df`` is read twice; hand it a stored table.
+    A source that all rows share moves to the header. ``df`` is read twice; hand it a stored table. With ``files`` the rows are
+    sorted into at most so many part files: part files joined in name order are the same bytes for any number of them.
     """
     before, after = header_lines(meta)
     source = single_source(df)
     shared = [f'# source: "{source}"', "#"] if source is not None else []
     gap = [""] if meta.comment else []
-    _write_lines([*before, *shared, *after, *gap], df.drop("source") if shared else df, path)
+    rows = df.drop("source") if shared else df
+    _write_lines([*before, *shared, *after, *gap], in_order(rows, files) if files else rows, path)
+
+
+def write_observed(df: DataFrame, path: str, **counts: Column) -> dict[str, int]:
+    """Writes ``df`` as a table and returns the values of the aggregates ``counts``, taken from the rows as they were written.
+
+    They are observed in the tasks that write, each of which counts once however often it is tried; nothing is read again.
+    """
+    seen = Observation(f"write-{uuid.uuid4().hex}")
+    write_table(df.observe(seen, *[c.alias(name) for name, c in counts.items()]), path)
+    return seen.get
 
 
 def _write_lines(head: list[str], df: DataFrame, path: str) -> None:
