@@ -101,12 +101,11 @@ def most_frequent(words: DataFrame, most: int, *by: str) -> DataFrame:
     return words.withColumn("rank", rank).where(F.col("rank") <= most).drop("rank")
 
 
-def language_references(docs: DataFrame, common: int = 100, max_languages: int = 200) -> dict[str, tuple[np.ndarray, dict[bytes, int], np.ndarray]]:
-    """For each language: class histogram, its ``common`` most frequent words, and their histogram with the rest last.
+def language_references(docs: DataFrame, common: int = 100) -> DataFrame:
+    """``lang, classes, words, counts`` for each language, whatever their number: its class histogram, its ``common`` most frequent words,
+    and how often each occurs, with all other words last.
 
-    Counted over the whole of ``docs`` (``doc_id, text, lang``). What reaches the driver is bounded: the ``max_languages``
-    languages with most code points and a pooled one (key ``None``, all documents), ``common`` words each. A document in any
-    further language is held against the pooled one.
+    Counted over the whole of ``docs`` (``doc_id, text, lang``) and written once; nothing is sent to the driver.
     """
     out = arrow_schema("lang string, word binary, n long")
 
@@ -126,31 +125,24 @@ def language_references(docs: DataFrame, common: int = 100, max_languages: int =
     counted = docs.mapInArrow(count, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counted = staged(counted)
     is_class = F.col("word").cast("string").startswith(" ")
-    totals = counted.where(is_class).groupBy("lang").agg(F.sum("n").alias("total"))
-    largest = {r.lang for r in totals.orderBy(F.desc("total"), "lang").limit(max_languages).collect()}
-    pooled = counted.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "word", "n")
-    chosen = counted.where(F.col("lang").isin(sorted(largest))).unionByName(pooled)
-    words = chosen.where(~is_class)
+    words = counted.where(~is_class)
     # first among the words of one hash, so that what meets in a language's task is 64 lists and not one for each partition
     ranked = most_frequent(most_frequent(words.withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(64))), common, "lang", "salt").drop("salt"), common, "lang")
-    sums = words.groupBy("lang").agg(F.sum("n").alias("n")).select("lang", F.lit(None).cast("binary").alias("word"), "n")
-    found: dict[str, list] = {}
-    for lang, word, n in ranked.unionByName(chosen.where(is_class)).unionByName(sums).collect():
-        found.setdefault(lang, []).append((None if word is None else bytes(word), n))
-    references = {}
-    for lang, rows in found.items():
-        classes, total, top = np.zeros(len(CLASSES)), 0, []
-        for word, n in rows:
-            if word is None:
-                total = n
-            elif word[:1] == b" ":
-                classes[int(word)] = n
-            else:
-                top.append((-n, word))
-        top.sort()
-        histogram = np.array([-n for n, _ in top] + [total + sum(n for n, _ in top)], float)
-        references[lang] = classes, {w: k for k, (_, w) in enumerate(top)}, histogram
-    return references
+    top = ranked.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("less"), "word"))).alias("top"))
+    classes = counted.where(is_class).groupBy("lang").agg(
+        F.sort_array(F.collect_list(F.struct(F.trim(F.col("word").cast("string")).cast("int").alias("k"), "n"))).alias("classes"),
+    )
+    sums = words.groupBy("lang").agg(F.sum("n").alias("total"))
+    told = classes.join(top, "lang", "left").join(sums, "lang", "left")  # a language without words has classes only
+    counts = F.transform(F.coalesce("top", F.array()), lambda x: -x["less"])
+    rest = F.coalesce("total", F.lit(0)) - F.aggregate(counts, F.lit(0).cast("long"), lambda x, y: x + y)
+    return staged(told.select(
+        "lang", F.transform("classes", lambda x: x["n"]).alias("classes"), F.transform(F.coalesce("top", F.array()), lambda x: x["word"]).alias("words"),
+        F.concat(counts, F.array(rest)).alias("counts"),
+    ))
+
+
+REFERENCES = 1_000  # languages whose references a task keeps
 
 
 def judge(
@@ -168,7 +160,8 @@ def judge(
     language column all documents are one language. Null ids and repeated rows: each row is judged. Empty table: no rows.
     """
     rows = _docs(docs, id_col, text_col, lang_col)
-    references = language_references(rows, common)
+    # few languages: Spark broadcasts the stored table by its size; many: a join that it can split at a frequent language
+    rows = rows.join(language_references(rows, common), "lang")
     schema = (
         "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
         "base_failed boolean, kept boolean, class_distance double, common_distance double"
@@ -176,13 +169,20 @@ def judge(
     arrow = arrow_schema(schema)
 
     def score(batches):
+        references: dict[str, tuple[np.ndarray, dict[bytes, int], np.ndarray]] = {}
         for batch in batches:
             out = []
+            columns = [batch.column(c) for c in ("classes", "words", "counts")]
             ids, texts, langs = (batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist(), batch.column("lang").to_pylist())
-            for doc_id, text, lang in zip(ids, texts, langs, strict=True):
+            for at, (doc_id, text, lang) in enumerate(zip(ids, texts, langs, strict=True)):
+                if lang not in references:
+                    if len(references) >= REFERENCES:
+                        references.clear()
+                    classes, top, counts = (c[at].as_py() for c in columns)
+                    references[lang] = np.array(classes, float), {w: k for k, w in enumerate(top)}, np.array(counts, float)
                 n, chars, symbols, lines, repeated, words = base_counts(text)
                 failed = n < 10 or 100 * repeated > 20 * n
-                classes, ranks, histogram = references.get(lang) or references[None]
+                classes, ranks, histogram = references[lang]
                 counts = class_counts(text)
                 far = divergence(counts, classes) if counts.sum() >= min_chars else None
                 odd = None

@@ -210,6 +210,31 @@ def test_quality_distances(spark):
     assert got[7].class_distance == pytest.approx(((kl(p) + kl(q)) / 2) ** 0.5)
     kept = quality.drop_rejected(docs)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.kept}
+    # the most frequent words and all others as one; ties go to the word that sorts first
+    plain = [re.findall(r"[a-z]+", t.lower()) for _, t, _ in made]
+    counted = Counter(w for x in plain for w in x)
+    top = [w for w, _ in sorted(counted.items(), key=lambda x: (-x[1], x[0].encode()))[:100]]
+    counts = lambda x: np.array([Counter(x)[w] for w in top] + [sum(w not in top for w in x)])
+    for i in (7, 30, 59):
+        p, q = counts(plain[i]) / len(plain[i]), counts([w for x in plain for w in x]) / counted.total()
+        m = (p + q) / 2
+        assert got[i].common_distance == pytest.approx(((kl(p) + kl(q)) / 2) ** 0.5)
+        assert got[i].kept == (not got[i].base_failed and got[i].class_distance <= 0.25 and got[i].common_distance <= 0.5 and got[i].class_distance + got[i].common_distance <= 0.6)
+
+
+def test_languages_are_judged_alone(spark):
+    """Any number of languages: the verdict on a document depends on its own language only."""
+    made = [(1000 * k + i, awkward.prose(1000 * k + i, 70) if i < 3 else "#$%& " * 90 + awkward.prose(i, 12), f"l{k}") for k in range(300) for i in range(4)]
+    docs = spark.createDataFrame(made + [(5, "", "empty"), (6, None, None)], "doc_id long, text string, lang string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r.doc_id: r for r in quality.judge(docs).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(got) == 1202
+    for k in (0, 150, 299):
+        alone = quality.judge(docs.where(f"lang = 'l{k}'")).collect()
+        assert [tuple(got[r.doc_id]) for r in alone] == [tuple(r) for r in alone]
 
 
 # ---- BPE
