@@ -65,7 +65,8 @@ class Sides:
         a = self.slow.encode(" " + text, add_special_tokens=False).ids if LONG_BLANK.search(text) else self.fast.encode_ordinary(" " + text)
         b = self.model.encode(text, num_threads=1)
         whole = (" " + text).encode()
-        same = all(b"".join([side[x] for x in ids]) == whole for side, ids in ((self.bytes_a, a), (self.bytes_b, b)))
+        # byte-level tokens are pieces of the text's own bytes: their lengths tell; the other side's pieces may spell something else
+        same = sum([len(self.bytes_a[x]) for x in a]) == len(whole) and b"".join([self.bytes_b[x] for x in b]) == whole
         return (a, b) if same else None
 
     def aligned(self, a: list[int], b: list[int]) -> tuple[np.ndarray, str]:
@@ -76,15 +77,25 @@ class Sides:
         key = pair_key(ids_a[to_a - 1], ids_b[to_b - 1])
         known, name, number = self.names.get, self._name, self.number
         texts = [known(k) or name(k) for k in key.tolist()]
-        several = np.flatnonzero((np.diff(to_a, prepend=0) > 1) | (np.diff(to_b, prepend=0) > 1))
+        several = np.flatnonzero((to_a - np.append(0, to_a[:-1]) > 1) | (to_b - np.append(0, to_b[:-1]) > 1))
         bounds = (np.where(several, to[several - 1], 0).tolist() for to in (to_a, to_b))
-        more: list[tuple[int, int]] = []
+        more_a: list[int] = []
+        more_b: list[int] = []
         for k, i, j, to_i, to_j in zip(several.tolist(), *bounds, to_a[several].tolist(), to_b[several].tolist(), strict=True):
-            texts[k] = f"{','.join([number[x] for x in a[i:to_i]])}|{','.join([number[x] for x in b[j:to_j]])}"
-            more += links(a, b, ends_a, ends_b, (i, j, to_i, to_j))
-        if more:
-            x, y = np.array(more, np.int64).T
-            key = np.concatenate((np.delete(key, several), pair_key(x, y)))
+            own_a, own_b = a[i:to_i], b[j:to_j]
+            texts[k] = f"{','.join([number[x] for x in own_a])}|{','.join([number[x] for x in own_b])}"
+            if len(own_a) == 1:
+                more_a += own_a * len(own_b)
+                more_b += own_b
+            elif len(own_b) == 1:
+                more_a += own_a
+                more_b += own_b * len(own_a)
+            else:
+                for x, y in links(a, b, ends_a, ends_b, (i, j, to_i, to_j)):
+                    more_a.append(x)
+                    more_b.append(y)
+        if more_a:
+            key = np.concatenate((np.delete(key, several), pair_key(np.array(more_a, np.int64), np.array(more_b, np.int64))))
         return key, ";".join(texts)
 
 
