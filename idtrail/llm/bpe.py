@@ -10,7 +10,7 @@ import base64
 import hashlib
 from collections import defaultdict
 from functools import lru_cache
-from itertools import count
+from itertools import accumulate, count
 
 import duckdb
 import numpy as np
@@ -20,14 +20,16 @@ from pyspark.sql import DataFrame
 
 from idtrail.llm.common import arrow_schema, ids_and_texts
 
-LONG = 64  # bytes; beyond, one step contracts all pairs of the least rank where that is known to be the same
+HALVES = (48, 144, 720, 5040, 55440)  # bytes; longer words are encoded in overlapping pieces of twice as many
+BYTES = 1 << 20  # of words in one query
 
-# Between steps a word is one row with the list of its tokens; each step takes it apart into token-position rows.
+# A word is one row with the list of its tokens, replaced at each step (only the newest row of a word is held); a step takes it
+# apart into token-position rows.
 WORDS = """
-with recursive state(w, ids, step) as (
-  select w, list(id order by p), 0 from start group by w
+with recursive state(w, ids) using key (w) as (
+  select w, list(id order by p) from start group by w
   union all
-  select s.w, s.ids[:b.p - 1] || [b.m] || s.ids[b.p + 2:], s.step + 1
+  select s.w, s.ids[:b.p - 1] || [b.m] || s.ids[b.p + 2:]
   from state s join (
     select w, min(k) & ((1::bigint << 40) - 1) as p, (min(k) >> 40)::int as m from (
       select placed.w, (merges.m::bigint << 40) | placed.p as k from (
@@ -36,41 +38,12 @@ with recursive state(w, ids, step) as (
     ) group by w
   ) b on s.w = b.w
 )
-, last as (select w, arg_max(ids, step) as ids from state group by w)
+select w, ids from state
 """
-# A word's pairs of the least rank m are contracted together unless a token that arises may form a pair of a lesser rank than m
-# with a neighbour; then only the leftmost is. In a run of overlapping pairs (aaaa) every other one is taken, from the left.
-LONG_WORDS = """
-with recursive state(w, p, id, step) as (
-  select w, p, id, 0 from start
-  union all
-  (with seen as (
-    select w, p, id, lag(id) over of_word as before, lead(id) over of_word as next_id, lead(p) over of_word as next_p,
-           lead(id, 2) over of_word as after, step from state window of_word as (partition by w order by p)),
-  paired as (select s.*, m, min(m) over (partition by w) as least from seen s join merges on merges.pair = (s.id::bigint << 32) | s.next_id),
-  best as (select *, lag(next_p) over (partition by w order by p) is distinct from p as opens from paired where m = least),
-  runs as (select *, sum(opens::int) over (partition by w order by p) as run, min(p) over (partition by w) as leftmost from best),
-  taken as (select *, row_number() over (partition by w, run order by p) % 2 = 1 as odd from runs),
-  risky as (
-    select distinct t.w from taken t join merges on merges.m < t.m and merges.pair in (
-      (t.before::bigint << 32) | t.m, (t.m::bigint << 32) | t.after, (t.m::bigint << 32) | t.m) where odd),
-  done as (select t.* from taken t left join risky r on t.w = r.w where odd and (r.w is null or p = leftmost))
-  select s.w, s.p, coalesce(d.m, s.id), s.step + 1 from seen s
-  join (select distinct w from done) live on s.w = live.w
-  left join done d on s.w = d.w and s.p = d.p
-  left join done gone on s.w = gone.w and s.p = gone.next_p
-  where gone.w is null)
-)
-"""
-LONG_WORDS += """
-, tops as (select w, max(step) as step from state group by w)
-, last as (select s.w, list(id order by p) as ids from state s join tops t on s.w = t.w and s.step = t.step group by s.w)
-"""
-FINAL = """
-, decoded as (
+DECODED = """
+select w, array_to_string(ids, ' ') as said, bytes from found join (
   select w, unhex(string_agg(hex, '' order by p)) as bytes
-  from (select w, unnest(ids) as id, unnest(range(len(ids))) as p from last) join tokens using (id) group by w)
-select w, ids, array_to_string(ids, ' ') as said, bytes from last join decoded using (w)
+  from (select w, unnest(ids) as id, unnest(range(len(ids))) as p from found) join tokens using (id) group by w) using (w)
 """
 
 
@@ -81,12 +54,26 @@ def ranks_of(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
+def parts(items: list, most: int = BYTES, size=len):
+    """``items`` in lists of at most ``most`` bytes together, or of one item."""
+    part, held = [], 0
+    for item in items:
+        n = size(item)
+        if part and held + n > most:
+            yield part
+            part, held = [], 0
+        part.append(item)
+        held += n
+    if part:
+        yield part
+
+
 class Codec:
     """Encodes and decodes words (matches of the split pattern) with one private in-memory database."""
 
     def __init__(self, ranks: dict[bytes, int], memory: str = "250MB") -> None:
-        self.ranks = ranks
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": memory})
+        self.ranks, self.token = ranks, {rank: token for token, rank in ranks.items()}
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": memory, "temp_directory": ""})
         pairs = [
             (ranks[token[:i]] << 32 | ranks[token[i:]], rank)
             for token, rank in ranks.items() for i in range(1, len(token)) if token[:i] in ranks and token[i:] in ranks
@@ -99,26 +86,78 @@ class Codec:
             self.db.unregister("given")
         self.bytes = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
 
-    def encode(self, words: list[bytes], at_once: int = 100_000) -> tuple[list[str], list[bytes]]:
+    def _ask(self, query: str, **tables: pa.Table) -> pa.Table:
+        for name, rows in tables.items():
+            self.db.register(name, rows)
+        told = self.db.sql(query).to_arrow_table()
+        for name in tables:
+            self.db.unregister(name)
+        return told
+
+    def _contracted(self, words: list[bytes]) -> pa.Table:
+        """``w, ids`` of each word, by the recursion."""
+        lengths = np.array([len(w) for w in words])
+        return self._ask(WORDS, start=pa.table({
+            "w": np.repeat(np.arange(len(words), dtype=np.int32), lengths),
+            "p": np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths),
+            "id": self.bytes[np.frombuffer(b"".join(words), np.uint8)],
+        }))
+
+    def _stitched(self, words: list[bytes], half: int) -> list[list[int] | None]:
+        """Ids of each word from pieces of ``2 * half`` bytes, each of which begins in the middle of the one before.
+
+        Two pieces that hold the same token at the same place are joined at it. A list of tokens is the encoding of its bytes if any
+        two neighbours are that of theirs: the first merge over a border between two tokens would be one of the two alone as well. All
+        neighbours here are neighbours in the encoding of a piece. None where two pieces share no token.
+        """
+        cuts = [[w[at : at + 2 * half] for at in range(0, max(1, len(w) - half), half)] for w in words]
+        known = dict.fromkeys(piece for pieces in cuts for piece in pieces)
+        for part in parts(list(known)):
+            rows = self._contracted(part)
+            known.update(zip([part[k] for k in rows["w"].to_pylist()], rows["ids"].to_pylist(), strict=True))
+        told = []
+        for pieces in cuts:
+            ids, begins = [], []  # tokens so far and where they begin
+            for k, piece in enumerate(pieces):
+                own = known[piece]
+                places = list(accumulate((len(self.token[i]) for i in own[:-1]), initial=k * half))
+                if not k:
+                    ids, begins = list(own), places
+                    continue
+                here = dict(zip(places, range(len(own))))
+                last = (k + 1) * half
+                j = len(ids) - 1
+                while j >= 0 and begins[j] >= k * half and (begins[j] >= last or begins[j] not in here or own[here[begins[j]]] != ids[j]):
+                    j -= 1
+                if j < 0 or begins[j] < k * half:
+                    ids = None
+                    break
+                at = here[begins[j]]
+                del ids[j:], begins[j:]
+                ids += own[at:]
+                begins += places[at:]
+            told.append(ids)
+        return told
+
+    def encode(self, words: list[bytes], at_once: int = BYTES) -> tuple[list[str], list[bytes]]:
         """Ids, joined by blanks, and decoded bytes of each word; words that are tokens need no merge."""
         told = [str(self.ranks[w]) if w in self.ranks else None for w in words]
-        decoded = list(words)  # of a token, its bytes; the others are decoded below
-        open_ = [i for i, said in enumerate(told) if said is None]
-        for query, chosen in ((WORDS, [i for i in open_ if len(words[i]) <= LONG]), (LONG_WORDS, [i for i in open_ if len(words[i]) > LONG])):
-            for at in range(0, len(chosen), at_once):
-                part = [words[i] for i in chosen[at : at + at_once]]
-                lengths = np.array([len(w) for w in part])
-                start = pa.table({
-                    "w": np.repeat(np.arange(len(part), dtype=np.int32), lengths),
-                    "p": np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths),
-                    "id": self.bytes[np.frombuffer(b"".join(part), np.uint8)],
-                })
-                self.db.register("start", start)
-                found = self.db.sql(query + FINAL).to_arrow_table().select(["w", "said", "bytes"])
-                self.db.unregister("start")
-                for k, x, y in zip(*(c.to_pylist() for c in found.columns), strict=True):
-                    told[chosen[at + k]], decoded[chosen[at + k]] = x, y
-        return told, decoded
+        decoded = [self.token[self.ranks[w]] if w in self.ranks else b"" for w in words]
+        open_ = [i for i, said in enumerate(told) if said is None and words[i]]
+        short, long = ([i for i in open_ if (len(words[i]) > 2 * HALVES[0]) == big] for big in (False, True))
+        done = [(part, self._contracted([words[i] for i in part])) for part in parts(short, at_once, lambda i: len(words[i]))]
+        for half in HALVES:
+            ids = self._stitched([words[i] for i in long], half)
+            whole = [(i, x) for i, x in zip(long, ids, strict=True) if x is not None]
+            done += [([i], pa.table({"w": pa.array([0], pa.int32()), "ids": pa.array([x], pa.list_(pa.int32()))})) for i, x in whole]
+            long = [i for i, x in zip(long, ids, strict=True) if x is None]
+        for i in long:  # no two pieces of any length agree: the word as a whole
+            done.append(([i], self._contracted([words[i]])))
+        for part, found in done:
+            rows = self._ask(DECODED, found=found)
+            for k, said, whole in zip(*(rows[c].to_pylist() for c in ("w", "said", "bytes")), strict=True):
+                told[part[k]], decoded[part[k]] = said, whole
+        return ["" if said is None else said for said in told], decoded
 
     def close(self) -> None:
         self.db.close()
@@ -130,8 +169,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     ``path``: a rank file (base64 token and rank a line) with all 256 bytes in it; ``pattern``: what splits a text into words. No
     special tokens: their strings are ordinary text. Each word of a partition is worked out once; nothing is shuffled.
 
-    Null or empty text: no tokens, digests of nothing. Null ids and repeated rows each come out. Very long words take as many
-    steps as they have distinct ranks to contract, not as they have bytes. Empty table: no rows. Other columns are not read.
+    Null or empty text: no tokens, digests of nothing. Null ids and repeated rows each come out. Words of any
+    length are encoded in bounded pieces (see :meth:`Codec._stitched`). Empty table: no rows. Other columns are not read.
     """
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded binary" * with_ids
     arrow = arrow_schema(schema)

@@ -262,6 +262,29 @@ def test_bpe_words():
     assert ids == [" ".join(map(str, encoding._encode_single_piece(w))) for w in words]
 
 
+def test_bpe_long_words():
+    """Pieces that share tokens, periods that never fall in step with a piece, and words far beyond any real one."""
+    ranks = bpe.ranks_of(RANKS)
+    encoding = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = np.random.default_rng(6)
+
+    def drawn(letters, n):
+        return bytes(rng.choice(list(letters), int(n)).astype(np.uint8))
+
+    letters = b"abcdefghijklmnopqrstuvwxyz"
+    words = [b"-" * 5000, b"=-" * 777, "日本語".encode() * 300, *[drawn(letters, n) for n in (96, 97, 144, 145, 5000, 200_000)]]
+    words += [drawn(b"abcdehlo", rng.integers(2, 23)) * int(rng.integers(10, 200)) for _ in range(100)]
+    words += [drawn(range(256), rng.integers(90, 900)) for _ in range(50)]
+    codec = bpe.Codec(ranks)
+    ids, back = codec.encode(words)
+    assert back == words
+    assert ids == [" ".join(map(str, encoding._encode_single_piece(w))) for w in words]
+    # without pieces that agree, the whole word is contracted
+    found = codec._stitched([b"the" * 40], 1)
+    assert found == [None] or " ".join(map(str, found[0])) == " ".join(map(str, encoding._encode_single_piece(b"the" * 40)))
+    codec.close()
+
+
 # ---- lines
 
 
