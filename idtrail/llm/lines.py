@@ -1,4 +1,4 @@
-"""Line dedup by winnowing: guaranteed fingerprints of runs of lines, matched and extended to whole repeated runs."""
+"""Line dedup by winnowing: minima of windows of line hashes as fingerprints, joined, extended both ways, later runs deleted."""
 
 from __future__ import annotations
 
@@ -17,83 +17,116 @@ def _lines(text: Column) -> Column:
     return F.filter(placed, lambda s: s.line != "")
 
 
-def windows(docs: DataFrame, run: int = 2, long_words: int = 25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, body, fingerprint, content, at, places`` for each window of ``docs``.
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once for each row, however many lambdas read it."""
+    return F.get(F.transform(F.array(value), use), 0)
 
-    A window is ``run`` lines in a row, or one line of at least ``long_words`` words. Its ``fingerprint`` is the least line hash in
-    it, so equal windows share it and neighbouring windows mostly do; ``content`` is the digest of its lines, ``at`` its first
-    line, ``places`` its lines among all lines of the text.
+
+def fingerprints(docs: DataFrame, run: int = 2, alone: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, body, hash, n, first, around, at`` for each line of ``docs`` that is the minimum of some window.
+
+    A window is ``run`` lines in a row, or a line of at least ``alone`` words by itself. Lines that hold more than blanks are numbered
+    from 1; ``n`` is the line's number, ``at`` the numbers of the windows that it is the (leftmost) minimum of, 0 for the window of one
+    line. ``around`` holds the hashes from line ``first`` on, of the line and of up to ``run - 1`` lines on both sides.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lined = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("body"), _lines(text).alias("lines"))
-    lined = lined.withColumn("hashes", F.transform("lines", lambda s: F.xxhash64(s.line)))
+    hashes = F.transform("lines", lambda s: F.unhex(F.md5(s.line)))
+    enough = F.transform("lines", lambda s: F.size(F.split(s.line, f"[{BLANK}]+")) >= alone)
+    none = F.array().cast("array<int>")
+
+    def of_line(hashes: Column, single: Column, i: Column) -> Column:
+        n, last = i + 1, F.size(hashes) - run + 1
+        low, high = F.greatest(F.lit(1), n - run + 1), F.least(n, last)
 
-    def window(first: Column, length: Column) -> Column:
-        own = F.slice("lines", first, length)
+        def chosen(k: Column) -> Column:
+            window = F.slice(hashes, k, run)
+            return F.array_position(window, F.array_min(window)) == n - k + 1
+
+        windows = F.filter(F.when(low <= high, F.sequence(low, high)).otherwise(none), chosen)
         return F.struct(
-            F.array_min(F.slice("hashes", first, length)).alias("fingerprint"),
-            F.unhex(F.md5(F.array_join(F.transform(own, lambda s: s.line), "\n"))).alias("content"),
-            own[0]["at"].alias("at"), F.transform(own, lambda s: s.at).alias("places"),
+            F.get(hashes, i).alias("hash"), n.alias("n"), low.alias("first"), F.slice(hashes, low, n - low + run).alias("around"),
+            F.concat(F.when(single, F.array(F.lit(0))).otherwise(none), windows).alias("at"),
         )
 
-    starts = F.when(F.size("lines") >= run, F.sequence(F.lit(1), F.size("lines") - run + 1)).otherwise(F.array().cast("array<int>"))
-    runs = F.transform(starts, lambda i: window(i, F.lit(run)))
-    long = F.transform(
-        F.filter(F.transform("lines", lambda s, i: F.when(F.size(F.split(s.line, f"[{BLANK}]+")) >= long_words, i + 1)), lambda i: i.isNotNull()),
-        lambda i: window(i, F.lit(1)),
-    )
-    return lined.select("doc_id", "body", F.explode(F.concat(runs, long)).alias("w")).select("doc_id", "body", "w.*")
+    minima = _bound(hashes, lambda h: F.filter(F.transform(enough, lambda x, i: of_line(h, x, i)), lambda p: F.size(p["at"]) > 0))
+    return lined.select("doc_id", "body", F.explode(minima).alias("p")).select("doc_id", "body", "p.*")
 
 
-def repeats(docs: DataFrame, run: int = 2, long_words: int = 25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, body, places``: lines that a window covers which stands earlier as well. A row for each document that has some.
+def repeats(docs: DataFrame, run: int = 2, alone: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, body, runs``: maximal runs of lines (``start, length``, numbered from 1 among lines that hold more than blanks) that a
+    window covers which stands earlier as well. A row for each document that has some.
 
-    1. Fingerprints: those at one position only can't be part of a repeat; all other windows go by now.
-    2. Matches: windows of a shared fingerprint that are equal line by line. A match grows both ways by the windows next to it,
-       which match the same way, so the lines of all later windows are the maximal repeated runs.
-    3. Earlier is the smaller id, null last, then the smaller line. Counts and firsts combine before their shuffles; joins with
-       them read them as tables, so a run that a third of all documents holds can be split.
+    1. Fingerprints: two places with the same window have its minimum in common, so only minima are kept and joined by their hash;
+       those that stand at one place only go.
+    2. Extension: a shared fingerprint grows both ways by the line hashes around it to the windows that chose it. A window that an
+       earlier place has as well is a match.
+    3. Matches of a document that touch or overlap are one run.
+    4. Earlier is the smaller id, null last, then the smaller line. Counts and firsts combine before their shuffles; joins with
+       them read them as tables, so a line that a third of all documents holds can be split.
     """
-    found = windows(docs, run, long_words, id_col, text_col).withColumn("spot", F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "at"))
-    found = staged(found)
-    shared = staged(
-        found.groupBy("fingerprint").agg(F.min("spot").alias("a"), F.max("spot").alias("b")).where(~F.col("a").eqNullSafe(F.col("b"))).select("fingerprint")
+    spot = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "n")
+    found = staged(fingerprints(docs, run, alone, id_col, text_col))
+    shared = staged(found.groupBy("hash").agg(F.min(spot).alias("a"), F.max(spot).alias("b")).where(~F.col("a").eqNullSafe(F.col("b"))).select("hash"))
+    seeds = found.join(shared, "hash", "left_semi").select("doc_id", "body", "hash", "n", "first", "around", F.explode("at").alias("k"))
+    one = F.col("k") == 0
+    grown = seeds.select(
+        "doc_id", "body", F.when(one, F.col("n")).otherwise(F.col("k")).alias("n"), F.when(one, 1).otherwise(run).alias("length"),
+        F.when(one, F.col("hash")).otherwise(F.concat(*[F.get("around", F.col("k") - F.col("first") + j) for j in range(run)])).alias("window"),
     )
-    seeds = found.join(shared, "fingerprint", "left_semi")
-    first = staged(seeds.groupBy("content").agg(F.min("spot").alias("first"), F.max("spot").alias("last")).where("first < last").select("content", "first"))
-    later = seeds.join(first, "content").where(F.col("spot") > F.col("first"))
+    grown = staged(grown)
+    first = staged(grown.groupBy("window").agg(F.min(spot).alias("first"), F.max(spot).alias("last")).where("first < last").select("window", "first"))
+    later = grown.join(first, "window").where(spot > F.col("first"))
     # repeated rows of a document say the same
-    return later.groupBy("doc_id", "body").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
+    spans = later.groupBy("doc_id", "body").agg(F.sort_array(F.collect_set(F.struct("n", "length"))).alias("spans"))
+    return spans.select("doc_id", "body", _merged(F.col("spans")).alias("runs"))
+
 
+def _merged(spans: Column) -> Column:
+    """Spans as runs: those that touch or overlap become one. Time grows with the lines, not with their square."""
+    numbers = F.array_sort(F.array_distinct(F.flatten(F.transform(spans, lambda s: F.sequence(s["n"], s["n"] + s["length"] - 1)))))
 
-def dedup_lines(docs: DataFrame, run: int = 2, long_words: int = 25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def runs(n: Column) -> Column:
+        starts = F.filter(n, lambda x, i: F.coalesce(F.get(n, i - 1) < x - 1, F.lit(True)))
+        ends = F.filter(n, lambda x, i: F.coalesce(F.get(n, i + 1) > x + 1, F.lit(True)))
+        return F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), (b - a + 1).alias("length")))
+
+    return _bound(numbers, runs)
+
+
+def dedup_lines(docs: DataFrame, run: int = 2, alone: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every line deleted that lies in a repeated run and not in its first place; all rows and columns stay.
 
-    A repeated run is ``run`` or more lines in a row, or one line of ``long_words`` or more words, that also stands in a document
+    A repeated run is ``run`` or more lines in a row, or one line of ``alone`` or more words, that also stands in a document
     of a smaller id or earlier in the same one; judged on the input. Blank lines neither count nor go, blanks at a line's ends
     don't matter. Words are what blanks part.
 
-    Null text stays null. Null id: later than any id; rows without id don't take from each other (nor do rows of one id).
-    Repeated rows lose the same lines. Empty table: no rows. ``docs`` may hold columns of any other names.
+    Null text stays null. Null id: later than any id; rows without id don't take from each other (nor do rows of one id) unless
+    the run stands further down. Repeated rows lose the same lines. Empty table: no rows. ``docs`` may hold columns of any other names.
     """
-    gone_id, gone_body, places = (unused(docs, x) for x in ("gone_id", "gone_body", "places"))
-    gone = repeats(docs, run, long_words, id_col, text_col).select(
-        F.col("doc_id").alias(gone_id), F.col("body").alias(gone_body), F.col("places").alias(places)
+    gone_id, gone_body, runs = (unused(docs, x) for x in ("gone_id", "gone_body", "runs"))
+    gone = repeats(docs, run, alone, id_col, text_col).select(
+        F.col("doc_id").alias(gone_id), F.col("body").alias(gone_body), F.col("runs").alias(runs)
     )
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     joined = docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col(gone_id)) & (F.xxhash64(text) == F.col(gone_body)), "left")
-    kept = F.array_join(F.transform(
-        F.filter(F.transform(F.split(text, "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains(places, s.i)),
-        lambda s: s.x,
-    ), "\n")
+
+    def without(places: Column) -> Column:
+        return F.flatten(F.transform(F.col(runs), lambda r: F.slice(places, r["start"], r["length"])))
+
+    def left(parts: Column) -> Column:
+        lost = _bound(F.transform(_lines(text), lambda s: s["at"]), without)
+        return F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), lost), lambda i: F.get(parts, i)), "\n")
+
+    kept = _bound(F.split(text, "\n"), left)
     return joined.select(
-        *[F.when(F.col(places).isNull(), F.col(text_col)).otherwise(kept).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+        *[F.when(F.col(runs).isNull(), F.col(text_col)).otherwise(kept).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     )
 
 
-def digest(docs: DataFrame, run: int = 2, long_words: int = 25) -> DataFrame:
+def digest(docs: DataFrame, run: int = 2, alone: int = 5) -> DataFrame:
     """``doc_id, n_lines, n_removed`` (lines that are not blank) and ``kept_sha256`` for each row of ``docs``."""
-    both = dedup_lines(docs.select("doc_id", "text", F.col("text").alias("whole")), run, long_words)
+    both = dedup_lines(docs.select("doc_id", "text", F.col("text").alias("whole")), run, alone)
     n = F.size(_lines(F.coalesce("whole", F.lit("")))).cast("long")
     left = F.size(_lines(F.coalesce("text", F.lit("")))).cast("long")
     return both.select("doc_id", n.alias("n_lines"), (n - left).alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

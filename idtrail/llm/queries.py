@@ -73,7 +73,7 @@ with lined as (select doc_id, i, trim(line, chr(32) || chr(9) || chr(11) || chr(
   select doc_id, unnest(x) as line, generate_subscripts(x, 1) - 1 as i from (select doc_id, string_split(coalesce(text, ''), chr(10)) as x from documents))),
 said as (select *, row_number() over (partition by doc_id order by i) as n from lined where line <> ''),
 two as (select a.doc_id, a.i, b.i as j, a.line || chr(10) || b.line as content, a.n from said a join said b on a.doc_id = b.doc_id and b.n = a.n + 1),
-one as (select doc_id, i, i as j, line as content, n from said where len(regexp_split_to_array(line, '[ \t\x0B\f\r]+')) >= 25),
+one as (select doc_id, i, i as j, line as content, n from said where len(regexp_split_to_array(line, '[ \t\x0B\f\r]+')) >= 5),
 windows as (select *, 2 as k from two union all select *, 1 as k from one),
 ranked as (select *, row_number() over (partition by k, content order by doc_id, i) as r from windows),
 gone as (select doc_id, i from ranked where r > 1 union select doc_id, j from ranked where r > 1),

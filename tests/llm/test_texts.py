@@ -288,15 +288,16 @@ def test_bpe_long_words():
 # ---- lines
 
 
-def lines_removed(rows, run=2, long_words=25):
+def lines_removed(rows, run=2, alone=5):
     seen, held = {}, []
     for i, t in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0)):
         said = [(k, x.strip(" \t\v\f\r")) for k, x in enumerate((t or "").split("\n"))]
         said = [(k, x) for k, x in said if x]
         found = [[*said[k : k + run]] for k in range(len(said) - run + 1)]
-        found += [[s] for s in said if len(re.split(r"[ \t\v\f\r]+", s[1])) >= long_words]
+        found += [[s] for s in said if len(re.split(r"[ \t\v\f\r]+", s[1])) >= alone]
+        number = {k: n for n, (k, _) in enumerate(said)}
         for w in found:
-            spot = (i is None, i or 0, w[0][0])
+            spot = (i is None, i or 0, number[w[0][0]])
             key = tuple(x for _, x in w)
             held.append((i, t, w, spot, key))
             seen[key] = min(seen.get(key, spot), spot)
@@ -323,6 +324,27 @@ def test_line_runs(spark):
     assert by_id[2] == "x\n\ny" and by_id[3] == "b\nq\nc" and by_id[4] == "" and by_id[6] == "z"
 
 
+@pytest.mark.parametrize("run, alone", [(1, 99), (2, 3), (3, 4), (5, 99)])
+def test_line_runs_of_any_window(spark, run, alone):
+    """Texts of few different lines, so that runs overlap, repeat in themselves and tie within a window."""
+    rng = np.random.default_rng(run)
+    said = ["a", "b", "c", "d d d", "e e e e", ""]
+    texts = [(int(i), "\n".join(rng.choice(said, int(rng.integers(0, 25))))) for i in range(60)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    assert bag(lines.dedup_lines(df, run, alone).collect()) == lines_removed(texts, run, alone)
+    for r in lines.repeats(df, run, alone).collect():
+        spans = [(x.start, x.start + x.length) for x in r.runs]
+        assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))  # maximal: no two touch
+
+
+def test_line_fingerprints(spark):
+    """Only minima of windows are kept, and every window has one."""
+    texts = [(1, "\n".join(f"l{k}" for k in range(300)))]
+    found = lines.fingerprints(spark.createDataFrame(texts, "doc_id long, text string"), run=5, alone=99).collect()
+    assert sorted(k for r in found for k in r["at"]) == list(range(1, 297))
+    assert len(found) < 150
+
+
 # ---- SimHash
 
 
