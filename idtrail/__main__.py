@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from idtrail.plans.build import export, publish
+from idtrail.plans.manifests import publish_all
 
 
 def pairs(values: list[str]) -> dict[str, str]:
@@ -16,8 +17,8 @@ def pairs(values: list[str]) -> dict[str, str]:
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="idtrail", description="Build the tables and the mapping set of one source.")
-    p.add_argument("source", choices=["NCBI", "HGNC", "UniProt", "ChEBI", "HMDB", "Wikidata"])
-    p.add_argument("inputs", nargs="+", metavar="name=path", help="input files, e.g. history=gene_history.gz")
+    p.add_argument("source", choices=["NCBI", "HGNC", "UniProt", "ChEBI", "HMDB", "Wikidata", "all"])
+    p.add_argument("inputs", nargs="+", metavar="name=path", help="input files, e.g. history=gene_history.gz; of all: manifests=folder")
     p.add_argument("--out", default="out", help="tables go to OUT/<source in lower case>")
     p.add_argument("--release", default="")
     p.add_argument("--manifest", help="path of the source manifests, for the provider")
@@ -29,6 +30,12 @@ def main(argv: list[str] | None = None) -> None:
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("idtrail").getOrCreate()
     folder = f"{a.out.rstrip('/')}/{a.source.lower()}"
+    if a.source == "all":
+        told = publish_all(spark, pairs(a.inputs)["manifests"], a.out, a.keep)
+        if a.tsv:
+            for source, tables in told.items():
+                export(tables, f"{a.out.rstrip('/')}/{source.lower()}", pairs(a.rename))
+        return
     stamp = a.date.replace("-", "")
     tables = publish(spark, a.source, pairs(a.inputs), folder, a.release, stamp, a.manifest, a.keep, date=a.date, **pairs(a.meta))
     if a.tsv:

@@ -33,3 +33,40 @@ def with_metadata(df: DataFrame, manifest: DataFrame, key: str, out: str, dataso
     """Attaches one manifest value to each row by its source."""
     values = grouped(manifest.where(F.col("key") == key), ["datasource"]).agg(F.min("value").alias(out)).drop("__apart")
     return lookup(df, values.withColumnRenamed("datasource", datasource), [datasource])
+
+
+def manifest_inputs(manifest: DataFrame, key: str = "inputs") -> DataFrame:
+    """(datasource, name, value) per element ``name:value`` of the list of inputs; an element without a colon has no value."""
+    parts = F.split("item", ":", 2)
+    rows = manifest_list(manifest, key)
+    value = F.nullif(F.trim(F.get(parts, 1)), F.lit(""))
+    return rows.select("datasource", F.trim(F.get(parts, 0)).alias("name"), value.alias("value")).where("name <> ''")
+
+
+def absent(manifest: DataFrame, files: DataFrame, keys=("date", "url", "inputs"), plain=()) -> DataFrame:
+    """(datasource, kind, item): what a build from the manifests would lack.
+
+    ``kind`` is ``key`` (one of ``keys`` without a value), ``value`` (an input named without one) or ``file`` (an input whose file is
+    not among ``files (datasource, file)``). Inputs named in ``plain`` are no files. A datasource is one that has any entry.
+    """
+    wanted = manifest.select("datasource").distinct().select("datasource", F.explode(F.array(*map(F.lit, keys))).alias("item"))
+    given = manifest.where("value is not null").select("datasource", F.col("key").alias("item"))
+    inputs = manifest_inputs(manifest)
+    named = inputs.where(F.col("value").isNotNull() & ~F.col("name").isin(*plain)).select("datasource", F.col("value").alias("item"))
+    there = files.select("datasource", F.col("file").alias("item"))
+    parts = {
+        "key": wanted.join(given, ["datasource", "item"], "left_anti"),
+        "value": inputs.where("value is null").select("datasource", F.col("name").alias("item")),
+        "file": named.join(there, ["datasource", "item"], "left_anti"),
+    }
+    told = [df.distinct().select("datasource", F.lit(kind).alias("kind"), "item") for kind, df in parts.items()]
+    return told[0].unionByName(told[1]).unionByName(told[2])
+
+
+def manifest_files(spark: SparkSession, root: str) -> DataFrame:
+    """(datasource, file): what lies in the folder ``data`` of each source; a folder in it counts by its name. Nothing is opened."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+    path = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+    inside = F.regexp_extract(path, "/([^/]+)/data/([^/]+)", 0)
+    parts = F.split(inside, "/")
+    return listed.where(inside != "").select(F.get(parts, 1).alias("datasource"), F.get(parts, 3).alias("file")).distinct()

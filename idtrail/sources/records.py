@@ -82,9 +82,16 @@ def _present(values: Column) -> Column:
     return F.coalesce(F.filter(trimmed, lambda x: x != ""), F.array().cast("array<string>"))
 
 
-def _parsed(documents: DataFrame, text: str) -> DataFrame:
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"}
-    return documents.select(F.from_xml(F.col(text), f"{XML_SCHEMA}, malformed string", options).alias("x")).select("x.*")
+def parsed_documents(documents: DataFrame, schema: str, text: str = "value", strict: bool = True, **options: str) -> DataFrame:
+    """``documents`` and ``__parsed``, a struct of ``schema``; malformed ones end the job or, without ``strict``, are left out."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"} | options
+    parsed = documents.withColumn("__parsed", F.from_xml(F.col(text), f"{schema}, malformed string", options))
+    malformed = F.col("__parsed.malformed")
+    good = malformed.isNull()
+    if strict:
+        start = F.concat(F.lit("malformed document: "), F.left(malformed, F.lit(200)))
+        good = F.when(malformed.isNotNull(), F.raise_error(start).cast("boolean")).otherwise(True)
+    return parsed.where(good)
 
 
 def xml_documents(documents: DataFrame, text: str = "value", strict: bool = True) -> DataFrame:
@@ -93,17 +100,14 @@ def xml_documents(documents: DataFrame, text: str = "value", strict: bool = True
     A malformed document ends the job, as half of it would look like a record. Without ``strict`` it is
     left out; :func:`xml_rejects` tells which those are.
     """
-    parsed = _parsed(documents, text)
-    good = F.col("malformed").isNull()
-    if strict:
-        start = F.concat(F.lit("malformed document: "), F.left("malformed", F.lit(200)))
-        good = F.when(F.col("malformed").isNotNull(), F.raise_error(start).cast("boolean")).otherwise(True)
-    return xml_records(parsed.where(good))
+    return xml_records(parsed_documents(documents, XML_SCHEMA, text, strict).select("__parsed.*"))
 
 
 def xml_rejects(documents: DataFrame, text: str = "value") -> DataFrame:
     """(malformed): the documents that can't be parsed, whole."""
-    return _parsed(documents, text).where("malformed is not null").select("malformed")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"}
+    parsed = documents.select(F.from_xml(F.col(text), f"{XML_SCHEMA}, malformed string", options).alias("x"))
+    return parsed.select("x.malformed").where("malformed is not null")
 
 
 def scan_xml_directory(spark: SparkSession, path, container: str = XML_CONTAINER, strict: bool = True) -> DataFrame:
