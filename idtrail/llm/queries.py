@@ -90,11 +90,10 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 PAIRS_SQL = """
 with said as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations),
-ends as (select conv_id, max(turn) as last from said where role = 'assistant' group by conv_id),
-chosen as (select s.* from said s join ends e on s.conv_id = e.conv_id and s.turn <= e.last),
-other as (select xor(e.conv_id, 1) as conv_id, s.role, s.text from said s join ends e on s.conv_id = e.conv_id and s.turn = e.last where s.role = 'assistant'),
-rejected as (select c.* from chosen c join ends e on c.conv_id = e.conv_id and c.turn < e.last
-             union all select o.conv_id, e.last, o.role, o.text from other o join ends e on o.conv_id = e.conv_id),
+chosen as (select * from said),
+other as (select xor(conv_id, 1) as conv_id, turn, min(text) as text from said where role = 'assistant' group by all),
+rejected as (select s.conv_id, s.turn, s.role, case when s.role = 'assistant' then coalesce(o.text, s.text) else s.text end as text
+             from said s left join other o on s.conv_id = o.conv_id and s.turn is not distinct from o.turn),
 turns as (select conv_id as pair_id, 'chosen' as side, turn, replace(role, '<|', '< |') as role, replace(text, '<|', '< |') as text from chosen
           union all select conv_id, 'rejected', turn, replace(role, '<|', '< |'), replace(text, '<|', '< |') from rejected),
 placed as (select *, row_number() over (partition by pair_id, side order by turn nulls first, role, text) as i from turns),
@@ -117,19 +116,17 @@ from cut c left join heads h on c.pair_id = h.pair_id left join told a on c.pair
 
 
 def conversation_pairs(said: DataFrame) -> DataFrame:
-    """Pairs from whole conversations: each up to its last assistant turn is ``chosen``; ``rejected`` is the same with that
-    turn replaced by the last assistant turn of the neighbour (ids 2n and 2n+1 are neighbours), without it if there is none."""
-    said = said.select("conv_id", "turn", "role", "text")
-    ends = said.where("role = 'assistant'").groupBy("conv_id").agg(F.max("turn").alias("last"))
-    known = said.join(ends, "conv_id")
-    chosen = known.where("turn <= last")
-    replies = known.where("turn = last and role = 'assistant'").select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), "role", "text")
-    rejected = chosen.where("turn < last").drop("last").unionByName(
-        replies.join(ends, "conv_id").select("conv_id", F.col("last").alias("turn"), "role", "text")
-    )
-    return chosen.drop("last").withColumn("side", F.lit("chosen")).unionByName(
-        rejected.withColumn("side", F.lit("rejected"))
-    ).withColumnRenamed("conv_id", "pair_id")
+    """Pairs from whole conversations: ``chosen`` is the conversation, ``rejected`` the same with each assistant turn replaced by the
+    assistant turn of that number in the neighbour (ids 2n and 2n+1 are neighbours), where it has one; of several the least text.
+
+    Every row of ``said`` is in both sides. Rows without id are one conversation, without a neighbour; turns without number meet.
+    """
+    said = said.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    replies = said.where("role = 'assistant'").groupBy(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("of"), F.col("turn").alias("at")).agg(F.min("text").alias("other"))
+    both = said.join(replies, (F.col("conv_id") == F.col("of")) & F.col("turn").eqNullSafe(F.col("at")), "left")
+    text = F.when(F.col("role") == "assistant", F.coalesce("other", "text")).otherwise(F.col("text"))
+    sides = F.array(F.struct(F.lit("chosen").alias("side"), F.col("text")), F.struct(F.lit("rejected").alias("side"), text.alias("text")))
+    return both.select(F.col("conv_id").alias("pair_id"), "turn", "role", F.explode(sides).alias("s")).select("pair_id", "turn", "role", "s.*")
 
 
 @registered(PAIRS_SQL)

@@ -7,7 +7,7 @@ import pytest
 
 import corpus_pipeline
 from idtrail.llm import preference, topk
-from idtrail.llm.queries import QUERIES, SQL
+from idtrail.llm.queries import QUERIES, SQL, conversation_pairs
 from idtrail.session import staged
 from tests.llm import awkward
 from tests.oracle import DATA, compare, database
@@ -101,6 +101,22 @@ def test_preferences(spark):
     assert preference.preferences(df.where("false")).isEmpty()
 
 
+def test_pairs_of_whole_conversations(spark):
+    said = [(2, 0, "user", "q"), (2, 1, "assistant", "a"), (2, 2, "assistant", "b"), (2, None, "assistant", "n"), (3, 0, "user", "r"), (3, 2, "assistant", "z"),
+            (3, 2, "assistant", "y"), (3, None, "assistant", None), (8, 0, "user", "only"), (None, 0, "assistant", "x"), (None, 0, "user", None)]
+    df = spark.createDataFrame(said, "conv_id long, turn long, role string, text string")
+    pairs = conversation_pairs(df)
+    assert pairs.count() == 2 * len(said)
+    rejected = {}
+    for i, turn, role, text in said:
+        other = sorted(t or "" for c, n, r, t in said if r == "assistant" and n == turn and i is not None and c == i ^ 1)
+        rejected.setdefault(i, []).append((turn, role, other[0] if role == "assistant" and other else text or ""))
+    for i, turns in rejected.items():
+        got = pairs.where(pairs.pair_id.eqNullSafe(i) & (pairs.side == "rejected")).select("turn", "role", "text").collect()
+        assert Counter(map(tuple, got)) == Counter(turns)
+    assert {r.pair_id: (r.n_prompt, r.differs) for r in preference.preferences(pairs).collect()} == {2: (0, True), 3: (0, True), 8: (1, False), None: (2, False)}
+
+
 @pytest.mark.parametrize("name", list(SQL))
 def test_query_against_sql(spark, name):
     compare(spark, database(FOLDER), name, QUERIES[name], SQL[name], FOLDER)
