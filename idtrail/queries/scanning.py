@@ -15,6 +15,8 @@ from idtrail.queries.base import query
 from idtrail.session import staged, work_folder
 from idtrail.sinks.tables import write_table, write_tsv
 from idtrail.sources import lines as N, manifest as M, records as D, tabular as T
+from idtrail.sources.nested import record_texts
+from idtrail.sources.paths import xml_columns
 
 
 def _written(df: DataFrame, value) -> str:
@@ -166,6 +168,29 @@ def _archiver(folder: str):
     return run
 
 
+@query("""SELECT p_partkey AS id, p_name AS name, p_brand || '</metabolite>' AS brand,
+  CASE WHEN p_size % 3 = 0 THEN (p_size + 1) || '|' || (p_size + 2) ELSE '' END AS inner_ids FROM part""")
+def xml_records_by_depth(spark, folder):
+    """Records with end tags in comments and character data, and with nested elements of the record's own name."""
+    part = B.table(spark, folder, "part")
+
+    def element(tag, *values):
+        return F.concat(F.lit(f"<{tag}>"), *values, F.lit(f"</{tag}>"))
+
+    size = F.col("p_size")
+    inner = [element("metabolite", element("id", size + n)) for n in (1, 2)]
+    text = F.concat(
+        F.lit("<!-- <metabolite><id>0</id> --><metabolite/>"),
+        F.lit("<metabolite a='/>'><!-- </metabolite><metabolite> -->"), element("id", F.col("p_partkey")), element("name", F.col("p_name")),
+        element("brand", F.lit("<![CDATA["), F.col("p_brand"), F.lit("</metabolite>]]>")),
+        F.when(size % 3 == 0, element("parts", *inner)).otherwise("<parts><metabolite b=\"1\"/></parts>"), F.lit("</metabolite>"),
+    )
+    found = xml_columns(record_texts(spark, _written(part, text)), {
+        "id": "id", "name": "name", "brand": "brand", "inner_ids": "parts/metabolite[]/id",
+    })
+    return found.select(F.col("id").cast("long").alias("id"), "name", "brand", F.array_join("inner_ids", "|").alias("inner_ids"))
+
+
 @query("""SELECT p_name AS malformed_name FROM part WHERE p_size > 45""")
 def xml_rejects(spark, folder):
     """Documents with a bare ampersand are told apart from the records, whole."""
