@@ -525,10 +525,59 @@ def test_packing_takes_lexical_neighbours():
     tails = [np.array(x * 10) for x in ([1, 2, 3], [50, 51, 52], [1, 2, 9], [60, 61, 62], [50, 51, 77])]
     counts = np.bincount(np.concatenate([np.unique(t) for t in tails]), minlength=packing.VOCABULARY)
     idf = np.log(1 + (len(tails) - counts + 0.5) / (counts + 0.5)).astype(np.float32)
-    found = list(packing.fill(tails, packing.Index(tails, idf, 30.0), 60, 48))
+    found = list(packing.fill(tails, packing.Index(tails, idf, 30.0), 60))
     assert [{k for k, _, _ in s} for s in found[:2]] == [{0, 2}, {1, 4}]
 
 
+def test_packing_scores_are_plain_bm25():
+    deal = np.random.default_rng(3)
+    tails = [deal.zipf(1.3, deal.integers(0, 80)) % 500 for _ in range(60)]
+    idf = deal.random(packing.VOCABULARY).astype(np.float32)
+    index = packing.Index(tails, idf, 25.0)
+    assert len(index.common) and len(index.doc)
+    for seed in range(60):
+        want = np.zeros(60)
+        for t in set(tails[seed].tolist()):
+            for i, tail in enumerate(tails):
+                tf = int((tail == t).sum())
+                want[i] += idf[t] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(tail) / 25.0))
+        assert np.allclose(index.scores(seed), want, rtol=1e-4, atol=1e-5)
+
+
+@pytest.mark.parametrize("first", [1, 5, 64])
+def test_packing_takes_the_best_first(first):
+    deal = np.random.default_rng(first)
+    scores = deal.integers(-1, 8, 200).astype(float)
+    assert list(packing.best_first(scores, first)) == [i for i in np.argsort(-scores, kind="stable").tolist() if scores[i] > 0]
+    assert list(packing.best_first(np.zeros(0), first)) == list(packing.best_first(-np.ones(9), first)) == []
+
+
+def test_packing_counts_whole_documents(docs):
+    told = packing.tokenized(packing.ids_and_texts(docs), 64, P.path("byte_bpe_50k.json"), RANKS, P.PATTERN)
+    tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    want = Counter(x for _, t in pairs(docs) for x in {*tokenizer.encode(t or "", add_special_tokens=False).ids, 1})
+    counts = packing.document_counts(told)
+    assert {int(i): int(counts[i]) for i in np.flatnonzero(counts)} == want
+
+
+def test_packing_deals_like_documents_together(spark):
+    deal = np.random.default_rng(5)
+    rows, topics = [], []
+    for i in deal.permutation(400).tolist():
+        own, all_ = 100 + 60 * (i % 8) + deal.integers(0, 60, 40), deal.integers(0, 100, 40)
+        rows.append((len(rows), i, 80, b"", np.concatenate([own, all_]).astype("<u2").tobytes()))
+        topics.append(i % 8)
+    rows += [(400, 400, 0, b"", b""), (401, 401, 0, b"", b"")]
+    table = spark.createDataFrame(rows, "place long, doc_id long, doc_tokens long, full binary, tail binary")
+    idf = np.ones(packing.VOCABULARY, np.float32)
+    idf[:100] = 0.1
+    got = packing.dealt(table, idf, len(rows), 200, depth=3).orderBy("leaf", "lead", "place").collect()
+    assert sorted(r.place for r in got) == list(range(402))
+    places = [r.place for r in got if r.place < 400]
+    assert sum(topics[a] == topics[b] for a, b in zip(places, places[1:])) > 300
+    assert {r.lead for r in got if r.place >= 400} == {-1}
+
+
 def test_special_token_in_a_text(spark):
     docs = spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id long, text string")
     got = packing.pack(docs, P.path("byte_bpe_50k.json"), RANKS, P.PATTERN).collect()
