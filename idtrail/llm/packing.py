@@ -59,7 +59,7 @@ def tokenized(docs: DataFrame, window: int, path: str, ranks: str, pattern: str)
                 ids = np.append(encode(text), np.uint32(END)).astype("<u4")
                 if ids.max() >= VOCABULARY:
                     raise ValueError(f"ids of {VOCABULARY} and more are not packed")
-                found[np.unique(ids)] += 1
+                found[ids] += np.uint32(1)  # an id that stands there twice is set to the same number twice
                 cut = len(ids) // window * window
                 full = [zlib.crc32(ids[a : a + window].tobytes()) for a in range(0, cut, window)]
                 rows.append(((task << 32) + n, doc_id, len(ids), np.array(full, "<u4").tobytes(), ids[cut:].astype("<u2").tobytes(), None))
@@ -101,6 +101,18 @@ def directions(size: int) -> np.ndarray:
     return np.random.default_rng(7).standard_normal((VOCABULARY, size), np.float32)
 
 
+@lru_cache(maxsize=1)
+def places() -> np.ndarray:
+    return np.zeros(VOCABULARY, np.int32)
+
+
+def distinct(ids: np.ndarray) -> np.ndarray:
+    """The different ids in ``ids``, without a sort: of each the place that was written last."""
+    last, at = places(), np.arange(len(ids), dtype=np.int32)
+    last[ids] = at
+    return ids[last[ids] == at]
+
+
 def vector(found: np.ndarray, weight: np.ndarray, size: int) -> np.ndarray:
     """Projection of the distinct ids of a tail; length one."""
     out = weight[found] @ directions(size)[found]
@@ -151,7 +163,7 @@ def dealt(rows: DataFrame, idf: np.ndarray, documents: int, sample: int, size: i
 
     def project(batches):
         for batch in batches:
-            told = [vector(np.unique(np.frombuffer(tail, "<u2")), weight, size).tobytes() for tail in batch.column("tail").to_pylist()]
+            told = [vector(distinct(np.frombuffer(tail, "<u2")), weight, size).tobytes() for tail in batch.column("tail").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(told, pa.binary())], schema=wire)
 
     chosen = rows.where(F.pmod(F.xxhash64("place"), F.lit(step)) == 0).select("tail").mapInArrow(project, "vector binary").collect()
@@ -161,7 +173,7 @@ def dealt(rows: DataFrame, idf: np.ndarray, documents: int, sample: int, size: i
 
     def deal(batches):
         for batch in batches:
-            ids = [np.unique(np.frombuffer(tail, "<u2")) for tail in batch.column("tail").to_pylist()]
+            ids = [distinct(np.frombuffer(tail, "<u2")) for tail in batch.column("tail").to_pylist()]
             leaves = pa.array([leaf_of(vector(found, weight, size), cuts, depth) for found in ids], pa.int32())
             leads = pa.array([int(found[np.argmin(draw[found])]) if len(found) else -1 for found in ids], pa.int32())
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], leaves, leads], schema=out)

@@ -544,6 +544,13 @@ def test_packing_scores_are_plain_bm25():
         assert np.allclose(index.scores(seed), want, rtol=1e-4, atol=1e-5)
 
 
+def test_packing_distinct_ids():
+    deal = np.random.default_rng(9)
+    for n in (0, 1, 50, 2000):
+        ids = deal.integers(0, 300, n).astype("<u2")
+        assert sorted(packing.distinct(ids).tolist()) == sorted(set(ids.tolist()))
+
+
 @pytest.mark.parametrize("first", [1, 5, 64])
 def test_packing_takes_the_best_first(first):
     deal = np.random.default_rng(first)
