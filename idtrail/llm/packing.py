@@ -113,6 +113,15 @@ def distinct(ids: np.ndarray) -> np.ndarray:
     return ids[last[ids] == at]
 
 
+def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids in ``ids`` and how often each stands there, likewise."""
+    last, at = places(), np.arange(len(ids), dtype=np.int32)
+    last[ids] = at
+    which = last[ids]
+    keep = which == at
+    return ids[keep], np.bincount(which, minlength=len(ids))[keep]
+
+
 def vector(found: np.ndarray, weight: np.ndarray, size: int) -> np.ndarray:
     """Projection of the distinct ids of a tail; length one."""
     out = weight[found] @ directions(size)[found]
@@ -188,7 +197,7 @@ class Index:
     """
 
     def __init__(self, tails: list[np.ndarray], idf: np.ndarray, mean: float, k1: float = 1.2, b: float = 0.75) -> None:
-        found = [np.unique(t, return_counts=True) for t in tails]
+        found = [counted(t) for t in tails]
         sizes = [len(x) for x, _ in found]
         n = len(tails)
         doc = np.repeat(np.arange(n, dtype=np.int32), sizes)

@@ -549,6 +549,7 @@ def test_packing_distinct_ids():
     for n in (0, 1, 50, 2000):
         ids = deal.integers(0, 300, n).astype("<u2")
         assert sorted(packing.distinct(ids).tolist()) == sorted(set(ids.tolist()))
+        assert dict(zip(*(x.tolist() for x in packing.counted(ids)))) == Counter(ids.tolist())
 
 
 @pytest.mark.parametrize("first", [1, 5, 64])
