@@ -113,12 +113,17 @@ def _place(folder: str):
     return system, inner
 
 
+def _for_files(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt to all tasks for writing a file each: few bytes, but each takes the time of a file."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 @query(f"WITH {PART_RECORDS} {FLAT}")
 def directory_documents(spark, folder):
     """One file per document in a directory; the container among them holds a record and is skipped by name."""
     path = work_folder(spark)
     documents = part_records(spark, folder).select("primaryID", _xml_text().alias("value"))
-    staged(documents.mapInPandas(_file_writer(path), "n long"))
+    staged(_for_files(documents, "primaryID").mapInPandas(_file_writer(path), "n long"))
     return _flat(D.scan_xml_directory(spark, path))
 
 
@@ -366,7 +371,7 @@ def manifest_scan(spark, folder):
     )
     path = work_folder(spark)
     rows = B.table(spark, folder, "customer").select(F.replace("c_name", F.lit("#"), F.lit("_")).alias("name"), text.alias("value"))
-    staged(rows.mapInPandas(_manifest_writer(path), "n long"))
+    staged(_for_files(rows, "name").mapInPandas(_manifest_writer(path), "n long"))
     manifest = staged(M.scan_manifest(spark, f"{path}/*/config"))
     items = M.manifest_list(manifest, "file_names")
     items = items.select("datasource", F.lit("item").alias("key"), F.lit(None).cast("string").alias("value"), "item")

@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from idtrail.operators.joins import grouped, lookup
+from idtrail.sources import files as W
 
 
 def scan_manifest(spark: SparkSession, path) -> DataFrame:
-    """(datasource, key, value); an empty value is NULL."""
-    lines = spark.read.text(path)
-    # file_path is URI-encoded
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    folder = F.regexp_extract(path, "([^/]+)/[^/]+$", 1)
+    """(datasource, key, value); an empty value is NULL. The files may be many: tasks find and read them."""
+    folder = F.regexp_extract("path", "([^/]+)/[^/]+$", 1)
+    if place := W.task_path(spark, path):
+        text = F.regexp_replace(F.col("content").cast("string"), "^\ufeff", "")
+        lines = W.read_files(spark, place).select("path", F.explode(F.split(text, "\r\n|\r|\n")).alias("value"))
+    else:
+        # file_path is URI-encoded
+        name = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        lines = spark.read.text(path).select(name.alias("path"), "value")
     return manifest_entries(lines.select(folder.alias("datasource"), "value"))
 
 
@@ -65,8 +70,11 @@ def absent(manifest: DataFrame, files: DataFrame, keys=("date", "url", "inputs")
 
 def manifest_files(spark: SparkSession, root: str) -> DataFrame:
     """(datasource, file): what lies in the folder ``data`` of each source; a folder in it counts by its name. Nothing is opened."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
-    path = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
-    inside = F.regexp_extract(path, "/([^/]+)/data/([^/]+)", 0)
+    if place := W.task_path(spark, f"{root.rstrip('/')}/*/data/*"):
+        listed, path, end = W.non_empty(W.matches(spark, place)), F.col("path"), "$"
+    else:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+        path, end = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), ""
+    inside = F.regexp_extract(path, f"/([^/]+)/data/([^/]+){end}", 0)
     parts = F.split(inside, "/")
     return listed.where(inside != "").select(F.get(parts, 1).alias("datasource"), F.get(parts, 3).alias("file")).distinct()
