@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from idtrail.plans.build import publish
 from idtrail.plans.profiles import Tables
+from idtrail.session import staged
 from idtrail.sinks.tables import write_table
 from idtrail.sources import manifest as M
 
@@ -26,7 +27,7 @@ NEEDED = {
 def lacking(spark: SparkSession, root: str) -> DataFrame:
     """(datasource, kind, item): what the builds of ``root`` lack (see :func:`~idtrail.sources.manifest.absent`); kind ``source`` is a
     folder of no known source, ``input`` an input that the source needs and the manifest doesn't name."""
-    entries = M.scan_manifest(spark, f"{root.rstrip('/')}/*/config")
+    entries = staged(M.scan_manifest(spark, f"{root.rstrip('/')}/*/config"))  # many branches read it
     unknown = entries.where(~F.lower("datasource").isin(*SOURCES)).select("datasource").distinct()
     told = unknown.select("datasource", F.lit("source").alias("kind"), F.col("datasource").alias("item"))
     needed = spark.createDataFrame([(of, item) for of, items in NEEDED.items() for item in items], "of string, item string")

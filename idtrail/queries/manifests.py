@@ -75,7 +75,7 @@ def manifest_absent(spark, folder):
     file = F.when(key % 7 != 0, F.concat(name, F.lit(" a+b.gz")))
     path = work_folder(spark)
     rows = B.table(spark, folder, "customer").select(name.alias("name"), config.alias("config"), file.alias("file"))
-    staged(rows.mapInPandas(_source_writer(path), "n long"))
+    staged(S._for_files(rows, "name").mapInPandas(_source_writer(path), "n long"))
     return lacking(spark, path).where("kind <> 'source'")
 
 
