@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from idtrail.functions import clean as C
+from idtrail.sources.files import read_files, task_path
 
 RECORD_COLUMNS = ("primaryID", "name", "secondary", "synonyms")
 
@@ -111,7 +112,13 @@ def xml_rejects(documents: DataFrame, text: str = "value") -> DataFrame:
 
 
 def scan_xml_directory(spark: SparkSession, path, container: str = XML_CONTAINER, strict: bool = True) -> DataFrame:
-    """Records of a directory of one-record documents; the unsplit container file is skipped."""
+    """Records of a directory of one-record documents; the unsplit container file is skipped.
+
+    The documents may be many and small: tasks list the directory and read them, each a share of the files.
+    """
+    if place := task_path(spark, path):
+        files = read_files(spark, place, skip=container)
+        return xml_documents(files.select(F.col("content").cast("string").alias("value")), strict=strict)
     files = spark.read.text(path, wholetext=True)
     return xml_documents(files.where(F.col("_metadata.file_name") != container).select("value"), strict=strict)
 
