@@ -41,16 +41,18 @@ def test_files_of_sources_are_found_by_tasks(spark, rows, tmp_path):
 
 def test_directory_is_read_by_tasks_as_spark_reads_it(spark, rows, tmp_path):
     one = "<metabolite><accession>{0}</accession><secondary_accessions/><name>ü {0}</name></metabolite>"
-    for name in ("a.xml", "b c.xml", "k=1/d.xml", "_f.xml", ".g.xml"):
+    for name in ("a.xml", "b c.xml", "below/e.xml", "_f.xml", ".g.xml"):
         _put(tmp_path, name, one.format(name).encode())
     _put(tmp_path, "z.xml.gz", gzip.compress(one.format("z").encode()))
     _put(tmp_path, "empty.xml", b"")
     _put(tmp_path, records.XML_CONTAINER, b"\xff")
     found = records.scan_xml_directory(spark, str(tmp_path))
     assert not _listed(found)
-    assert rows(found, "primaryID", "name") == [(n, f"ü {n}") for n in ("a.xml", "b c.xml", "k=1/d.xml", "z")]
+    assert rows(found, "primaryID", "name") == [(n, f"ü {n}") for n in ("a.xml", "b c.xml", "z")]
     old = spark.read.text(str(tmp_path), wholetext=True).where(f"_metadata.file_name <> '{records.XML_CONTAINER}'")
     assert rows(records.xml_documents(old.select("value")), "primaryID", "name") == rows(found, "primaryID", "name")
+    _put(tmp_path, "parts/k=1/d.xml", one.format("d").encode())
+    assert rows(records.scan_xml_directory(spark, str(tmp_path / "parts")), "primaryID") == [("d",)]
     for path in ("none", "none/*"):
         with pytest.raises(FileNotFoundError):
             records.scan_xml_directory(spark, str(tmp_path / path))
