@@ -13,7 +13,7 @@ from idtrail.queries.base import query
 from idtrail.queries.publishing import LABEL_PAIRS, label_pairs
 from idtrail.session import staged, work_folder
 from idtrail.sinks import versions as R
-from idtrail.sinks.tables import write_observed, write_sssom
+from idtrail.sinks.tables import FILE_ROWS, write_observed, write_sssom
 from idtrail.sources import tabular as T
 
 # ---- ragged rows
@@ -203,10 +203,10 @@ body AS (SELECT * FROM sorted_ UNION ALL SELECT 'subject_id' || chr(9) || 'predi
 blocks AS (SELECT n // {BLOCK} AS block, sha256(string_agg(value, chr(10) ORDER BY n)) AS d, min(n) AS first FROM body WHERE n // {BLOCK} > 0 GROUP BY 1)
 SELECT block::BIGINT AS block, d AS of_3, d AS of_17 FROM blocks""")
 def stable_export(spark, folder):
-    """Two exports of one mapping set, its rows dealt differently, in 3 and in 17 part files: digests of the same 500 lines of each."""
+    """Two exports of one mapping set, its rows dealt differently, in 3 and in 17 part files, or multiples of them: digests of the same 500 lines of each."""
     rows = K.describe_mappings(B.live_edges(spark, folder), note_retired=False).withColumn("source", F.lit("lineitem"))
     rows, told = staged(S.sssom_of_plain(rows)), []
-    for files, dealt in ((3, rows), (17, rows.repartition(5, "object_id"))):
+    for files, dealt in ((3, rows), (17, rows.repartition(max(5, rows.count() // FILE_ROWS), "object_id"))):
         path = work_folder(spark)
         write_sssom(dealt, path, P.set_metadata("UniProt", provider="lineitem"), files)
         told.append(_block_digests(numbered_lines(spark, path), f"of_{files}"))

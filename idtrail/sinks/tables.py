@@ -32,21 +32,26 @@ def write_tsv(df: DataFrame, path: str, names: Mapping[str, str] | None = None)
     _write_lines([], df, path)
 
 
+FILE_ROWS = 250_000
+
+
 def in_order(df: DataFrame, files: int) -> DataFrame:
     """``df`` in ``files`` ranges of rows, sorted by all columns: one after the other they are the same sequence for any number of them.
 
-    Equal rows are counted first and repeated behind the sort, so many copies of a row don't meet in one sort.
+    Ranges of more than some ``FILE_ROWS`` rows are cut further, all alike, so that no task sorts a fixed share of a large table. Equal rows are counted first and repeated behind the sort, so many copies of a row don't meet in one sort.
     """
     columns = [F.col(f"`{c}`") for c in df.columns]
     counted = df.groupBy(*columns).agg(F.count("*").alias("__n"))
-    return repeated(counted.repartitionByRange(files, *columns).sortWithinPartitions(*columns), "__n")
+    cuts = -(-df.count() // (files * FILE_ROWS))
+    return repeated(counted.repartitionByRange(files * max(cuts, 1), *columns).sortWithinPartitions(*columns), "__n")
 
 
 def write_sssom(df: DataFrame, path: str, meta: SetMetadata, files: int | None = None) -> None:
     """Mapping set with its metadata header, in the same layout as :func:`write_tsv`.
 
     A source that all rows share moves to the header. ``df`` is read twice; hand it a stored table. With ``files`` the rows are
-    sorted into at most so many part files: part files joined in name order are the same bytes for any number of them.
+    sorted into at most so many part files, or a multiple of it (see :func:`in_order`): part files joined in name order are the same
+    bytes for any number of them.
     """
     before, after = header_lines(meta)
     source = single_source(df)
