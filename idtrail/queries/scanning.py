@@ -151,21 +151,24 @@ def zip_documents(spark, folder):
     Each archive has a container, which holds a record that must not appear, and bytes that are no text."""
     path = work_folder(spark)
     documents = part_records(spark, folder).select("primaryID", _xml_text().alias("value"))
-    staged(documents.mapInPandas(_archiver(path), "path string"))
+    dealt = _for_files(documents, "primaryID").sortWithinPartitions("primaryID")
+    staged(dealt.mapInPandas(_archiver(path), "path string"))
     return _flat(D.scan_xml_archives(spark, path))
 
 
 def _archiver(folder: str):
     def run(batches):
+        from pyspark import TaskContext
+
         system, inner = _place(folder)
-        for batch in batches:
+        for k, batch in enumerate(batches):
             packed = io.BytesIO()
             with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
                 for name, text in zip(batch["primaryID"], batch["value"]):
                     archive.writestr(f"docs/{name.replace(':', '_')}.xml", text)
                 archive.writestr(f"docs/{D.XML_CONTAINER}", CONTAINED.encode() + b"\xff\xfe")
-            # The name depends on the rows only: a task that runs again replaces its own archive.
-            target = f"{inner}/{batch['primaryID'].iloc[0].replace(':', '_')}.zip"
+            # The rows are sorted and the name is the place of the batch: a task that runs again replaces its own archives.
+            target = f"{inner}/{TaskContext.get().partitionId()}-{k}.zip"
             with system.open_output_stream(target) as out:
                 out.write(packed.getvalue())
             yield pd.DataFrame({"path": [target]})
@@ -222,10 +225,15 @@ def fasta_ids(spark, folder):
     return N.scan_fasta_ids(spark, path)
 
 
+def _several(df: DataFrame) -> DataFrame:
+    """Rows dealt to three files, or to as many as there are splits to read, so that no task has a fixed share of a large table."""
+    return df.repartition(max(3, df.rdd.getNumPartitions()))
+
+
 def _framed(df: DataFrame, value, head: str, tail: str) -> str:
     """One text file per partition, each with lines before and after its rows."""
     path = work_folder(df.sparkSession)
-    staged(df.select(value.alias("value")).repartition(3).mapInPandas(_frame_writer(path, head, tail), "n long"))
+    staged(_several(df.select(value.alias("value"))).mapInPandas(_frame_writer(path, head, tail), "n long"))
     return path
 
 
@@ -266,7 +274,7 @@ def deleted_accessions(spark, folder):
 def _tsv(df: DataFrame) -> str:
     """Native table text: a header in each of several files, one of them compressed away from the others."""
     path = work_folder(df.sparkSession)
-    df.repartition(3).write.options(sep="\t", header=True, quote="", emptyValue="", nullValue="").csv(path)
+    _several(df).write.options(sep="\t", header=True, quote="", emptyValue="", nullValue="").csv(path)
     return path
 
 

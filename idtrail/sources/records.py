@@ -179,5 +179,4 @@ def _read_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if path != current:
                     stack.close()
                     current, archive = path, stack.enter_context(zipfile.ZipFile(stack.enter_context(_open(path))))
-                for name in names:
-                    yield pd.DataFrame({"value": [archive.read(name).decode("utf-8")]})
+                yield pd.DataFrame({"value": [archive.read(name).decode("utf-8") for name in names]})
