@@ -54,12 +54,19 @@ def sssom_of_names(mappings: DataFrame, names: DataFrame, drop_self: bool = Fals
     return to_sssom_columns(rows, NAME_COLUMNS, "name", "synonym")
 
 
-def sssom_of_redirects(redirects: DataFrame, label: str = "name", alias: str = "synonym") -> DataFrame:
+def as_it_is(df: DataFrame) -> DataFrame:
+    return df
+
+
+def sssom_of_redirects(
+    redirects: DataFrame, label: str = "name", alias: str = "synonym", stage: Callable[[DataFrame], DataFrame] = as_it_is
+) -> DataFrame:
     """One denormalised table: its distinct mappings classified and joined back on its labels.
 
-    The labels are made distinct first, or k secondaries of an id would give k times k rows.
+    The labels are made distinct first, or k secondaries of an id would give k times k rows. ``stage`` stores the distinct mappings,
+    which four parts read.
     """
-    mappings = drop_empty(redirects).select("primaryID", "secondaryID").distinct()
+    mappings = stage(drop_empty(redirects).select("primaryID", "secondaryID").distinct())
     labels = redirects.select("primaryID", label, alias).distinct()
     rows = full_join(labels, classify(mappings), ["primaryID"])
     return to_sssom_columns(rows, NAME_COLUMNS, label, alias)
@@ -81,10 +88,6 @@ def _retired(gone, primary, secondary) -> DataFrame:
     return gone.select(F.col(secondary).alias(primary)).where(F.col(primary).isNotNull())
 
 
-def as_it_is(df: DataFrame) -> DataFrame:
-    return df
-
-
 def merge_mappings_labels(
     mappings: DataFrame, labels: DataFrame, held_rows: str = "append", stage: Callable[[DataFrame], DataFrame] = as_it_is
 ) -> DataFrame:

@@ -133,7 +133,7 @@ def mapping_set(source: str, tables: Tables, label: str = "name", alias: str = "
         case "ChEBI" | "HMDB":
             return S.sssom_of_names(tables["mappings"], tables["labels"], drop_self=source == "HMDB")
         case "Wikidata":
-            return S.sssom_of_redirects(tables["redirects"], label, alias)
+            return S.sssom_of_redirects(tables["redirects"], label, alias, stage)
     raise ValueError(f"unknown source {source!r}")
 
 

@@ -55,7 +55,7 @@ def dedup_back_join(spark, folder):
     label = [F.col("p_name").alias("name"), F.col("p_brand").alias("synonym")]
     moved = moved.select(F.col("l_partkey").cast("string").alias("primaryID"), B.old_id().alias("secondaryID"), *label)
     unmoved = part.select((F.col("p_partkey") + 10_000_000).cast("string").alias("primaryID"), F.lit("").alias("secondaryID"), *label)
-    return S.sssom_of_redirects(moved.unionByName(unmoved))
+    return S.sssom_of_redirects(moved.unionByName(unmoved), stage=staged)
 
 
 @query("""WITH o AS (SELECT 'H' || o_custkey AS "primaryID", nullif(o_orderpriority, '5-LOW') AS "secondarySymbol",
