@@ -1,7 +1,7 @@
 """Two tokenizers' ids of the same text, aligned where tokens of both end.
 
-The ends of either side's tokens are keys of a dictionary; keys that both have cut the two lists of ids into groups. A link
-joins two tokens of a group that share bytes. How often an id pair is linked is counted over the whole corpus: tasks count blocks
+The ends of either side's tokens are counted byte by byte; ends that both have cut the two lists of ids into groups. A link
+joins two tokens of a group that share bytes: to each token of A the counts tell the first and the last of B. How often an id pair is linked is counted over the whole corpus: tasks count blocks
 of documents first, and each block gets back the counts of its own pairs only.
 """
 
@@ -47,18 +47,11 @@ class Sides:
             bytes([int(sp.id_to_piece(i)[3:-1], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace("▁", " ").encode()
             for i in range(sp.get_piece_size())
         ]
-        self.number = [str(x) for x in range(max(len(self.bytes_a), len(self.bytes_b)))]
-        self.names: dict[int, str] = {}
         self.length_a, self.length_b = (np.array([len(x) for x in side]) for side in (self.bytes_a, self.bytes_b))
+        # an id as text, with what follows it in its group: A within it and at its end, B within it and at its end
+        self.written = [f"{x}{mark}" for mark, side in zip(",|,;", (self.bytes_a, self.bytes_a, self.bytes_b, self.bytes_b), strict=True) for x in range(len(side))]
 
-    def _name(self, key: int) -> str:
-        """The text of a group of one token on either side."""
-        if len(self.names) >= 500_000:
-            self.names.clear()
-        made = self.names[key] = f"{key >> 32}|{key & 0xFFFFFFFF}"
-        return made
-
-    def encode(self, text: str) -> tuple[list[int], list[int]] | None:
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of both sides; ``None`` if there is no text or a side's bytes are not those of the text."""
         if not text:
             return None
@@ -66,37 +59,23 @@ class Sides:
         b = self.model.encode(text, num_threads=1)
         whole = (" " + text).encode()
         # byte-level tokens are pieces of the text's own bytes: their lengths tell; the other side's pieces may spell something else
-        same = sum([len(self.bytes_a[x]) for x in a]) == len(whole) and b"".join([self.bytes_b[x] for x in b]) == whole
-        return (a, b) if same else None
-
-    def aligned(self, a: list[int], b: list[int]) -> tuple[np.ndarray, str]:
-        """The linked id pairs (``pair_key``), one for each link, and the groups as text."""
-        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-        ends_a, ends_b = np.cumsum(self.length_a[ids_a]).tolist(), np.cumsum(self.length_b[ids_b]).tolist()
-        to_a, to_b = cuts(ends_a, ends_b)
-        key = pair_key(ids_a[to_a - 1], ids_b[to_b - 1])
-        known, name, number = self.names.get, self._name, self.number
-        texts = [known(k) or name(k) for k in key.tolist()]
-        several = np.flatnonzero((to_a - np.append(0, to_a[:-1]) > 1) | (to_b - np.append(0, to_b[:-1]) > 1))
-        bounds = (np.where(several, to[several - 1], 0).tolist() for to in (to_a, to_b))
-        more_a: list[int] = []
-        more_b: list[int] = []
-        for k, i, j, to_i, to_j in zip(several.tolist(), *bounds, to_a[several].tolist(), to_b[several].tolist(), strict=True):
-            own_a, own_b = a[i:to_i], b[j:to_j]
-            texts[k] = f"{','.join([number[x] for x in own_a])}|{','.join([number[x] for x in own_b])}"
-            if len(own_a) == 1:
-                more_a += own_a * len(own_b)
-                more_b += own_b
-            elif len(own_b) == 1:
-                more_a += own_a
-                more_b += own_b * len(own_a)
-            else:
-                for x, y in links(a, b, ends_a, ends_b, (i, j, to_i, to_j)):
-                    more_a.append(x)
-                    more_b.append(y)
-        if more_a:
-            key = np.concatenate((np.delete(key, several), pair_key(np.array(more_a, np.int64), np.array(more_b, np.int64))))
-        return key, ";".join(texts)
+        ids_a = np.array(a, np.int64)
+        same = self.length_a[ids_a].sum() == len(whole) and b"".join(map(self.bytes_b.__getitem__, b)) == whole
+        return (ids_a, np.array(b, np.int64)) if same else None
+
+    def aligned(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, int, str]:
+        """The linked id pairs (``pair_key``), one for each link; how many groups there are; and the groups as text."""
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        at_a, at_b = ended(ends_a), ended(ends_b)
+        pairs = links(a, b, ends_a, at_b)
+        last_a, last_b = at_b[ends_a] > at_b[ends_a - 1], at_a[ends_b] > at_a[ends_b - 1]  # the other side has this end too
+        # groups one after the other, A before B: a token comes behind all of its side and all groups of the other side before it
+        before_a, before_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + np.append(0, before_b)[group_a]] = a + last_a * len(self.bytes_a)
+        order[np.arange(len(b)) + before_a[group_b]] = b + 2 * len(self.bytes_a) + last_b * len(self.bytes_b)
+        return pairs, len(before_a), "".join(map(self.written.__getitem__, order.tolist()))[:-1]
 
 
 def ranks_to_list(ranks: dict[bytes, int]) -> list[bytes]:
@@ -110,23 +89,20 @@ def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a << 32 | b
 
 
-def cuts(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """For each end that both sides have, in order: how many tokens of either side end there or before."""
-    at_a, at_b = (dict(zip(ends, range(1, len(ends) + 1), strict=True)) for ends in (ends_a, ends_b))
-    common = sorted(at_a.keys() & at_b.keys())
-    return np.array([at_a[end] for end in common], np.int64), np.array([at_b[end] for end in common], np.int64)
+def ended(ends: np.ndarray) -> np.ndarray:
+    """For each number of bytes, from 0: how many tokens end there or before."""
+    at = np.zeros(ends[-1] + 1, np.int32)
+    at[ends] = 1
+    return np.cumsum(at, dtype=np.int32)
 
 
-def links(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int], group: tuple[int, int, int, int]) -> list[tuple[int, int]]:
-    """Id pairs of all token pairs of one group (from and to in ``a`` and ``b``) that share bytes."""
-    i, j, to_i, to_j = group
-    out = []
-    while i < to_i and j < to_j:  # the token that ends first has no more partners
-        out.append((a[i], b[j]))
-        apart = ends_a[i] - ends_b[j]
-        i += apart <= 0
-        j += apart >= 0
-    return out
+def links(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, at_b: np.ndarray) -> np.ndarray:
+    """Id pairs (``pair_key``) of all token pairs that share bytes: of A's token with the tokens of B from the first that ends behind its
+    start to the first that ends at its end or behind."""
+    first, last = at_b[np.append(0, ends_a[:-1])], at_b[ends_a - 1]
+    n = last - first + 1
+    partner = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+    return pair_key(np.repeat(a, n), b[partner])
 
 
 @lru_cache(maxsize=1)
@@ -161,10 +137,10 @@ def linked(docs: DataFrame, json_path: str, ranks_path: str, pattern: str, model
                 if found is None:
                     rows.append((doc_id, 0, 0, 0, 0, "", NONE, NONE))
                 else:
-                    keys, groups = both.aligned(*found)
+                    keys, n_groups, groups = both.aligned(*found)
                     own, counts = np.unique(keys, return_counts=True)
                     rows.append((
-                        doc_id, len(found[0]), len(found[1]), groups.count(";") + 1, len(keys),
+                        doc_id, len(found[0]), len(found[1]), n_groups, len(keys),
                         hashlib.sha256(groups.encode()).hexdigest() if digest else groups, own, counts,
                     ))
                 size += len(text)

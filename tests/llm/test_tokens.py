@@ -151,6 +151,31 @@ def test_alignment_of_awkward_rows(spark):
     assert sorted(str((r.doc_id, r.n_a, r.n_b, r.n_links, r.n_best, r.count_sum)) for r in got) == sorted(str((*r[:3], *r[4:7])) for r in want)
 
 
+def test_alignment_on_arrays():
+    """Links and groups of whole lists of ids at once, whatever the lengths of their tokens."""
+    deal = random.Random(12)
+    both = align.Sides(JSON, RANKS, public_tokenizers.PATTERN, MODEL)
+    both.bytes_a, both.bytes_b = ([b"x" * n for n in (1, 2, 3, 7)] for _ in range(2))
+    both.length_a = both.length_b = np.array([1, 2, 3, 7])
+    both.written = [f"{x}{mark}" for mark in ",|,;" for x in range(4)]
+    for _ in range(300):
+        size = deal.randint(1, 60)
+        ids = []
+        for _ in range(2):
+            own, left = [], size
+            while left:
+                own.append(deal.choice([k for k, n in enumerate((1, 2, 3, 7)) if n <= left]))
+                left -= (1, 2, 3, 7)[own[-1]]
+            ids.append(own)
+        ends = [list(accumulate((1, 2, 3, 7)[x] for x in own)) for own in ids]
+        spans = [list(zip([0, *e[:-1]], e, strict=True)) for e in ends]
+        want = sorted(x << 32 | y for x, (s, e) in zip(ids[0], spans[0], strict=True) for y, (f, t) in zip(ids[1], spans[1], strict=True) if s < t and f < e)
+        common = [0, *sorted(set(ends[0]) & set(ends[1]))]
+        parts = ["|".join(",".join(str(x) for x, e in zip(own, of, strict=True) if low < e <= high) for own, of in zip(ids, ends, strict=True)) for low, high in zip(common, common[1:])]
+        pairs, groups, text = both.aligned(*(np.array(own, np.int64) for own in ids))
+        assert (sorted(pairs.tolist()), groups, text) == (want, len(parts), ";".join(parts))
+
+
 def test_alignment_query(spark):
     got = {r.doc_id: r for r in QUERIES["op11_alignment"](spark, FOLDER).collect()}
     want = aligned(documents(spark))
