@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 REPEATS = 4096
+CODED = 32
 
 
 def _columns(df: DataFrame) -> list[str]:
@@ -44,6 +45,9 @@ def build_changes(
 
     ``change`` is ``gone``, ``come``, ``changed`` (another set of values) or ``same``. Values of several rows of a key are joined by ``|``;
     a key's rows differ in few values, so sets stay small. NULL keys are keys, a NULL value counts as empty text.
+
+    The values are looked up first, so give stored tables. Up to ``CODED`` different ones, as classes are, are added up as bits of a number,
+    which takes no sort and no objects; more are collected.
     """
     names = [f"`{k}`" for k in keys]
 
@@ -54,10 +58,18 @@ def build_changes(
         return F.when(F.col("__side") == mark, what)
 
     both = side(old, 0).unionByName(side(new, 1))
-    told = both.groupBy(*names).agg(
-        F.array_join(F.sort_array(F.collect_set(of(0, F.col("__value")))), "|").alias(f"old_{value}"),
-        F.array_join(F.sort_array(F.collect_set(of(1, F.col("__value")))), "|").alias(f"new_{value}"),
-        F.count(of(0, F.lit(1))).alias("n_old"), F.count(of(1, F.lit(1))).alias("n_new"),
-    )
+    values = [r[0] for r in both.select("__value").distinct().sort("__value").limit(CODED + 1).collect()] or [""]
+    sums = [F.count(of(0, F.lit(1))).alias("n_old"), F.count(of(1, F.lit(1))).alias("n_new")]
+    if len(values) <= CODED:
+        bits = [F.lit(1 << i).cast("long") for i in range(len(values))]
+        unknown = F.raise_error(F.lit("a value that was not there when the values were looked up"))
+        code = F.coalesce(*[F.when(F.col("__value") == v, bit) for v, bit in zip(values, bits, strict=True)], unknown)
+        coded = both.select(*names, "__side", *[of(mark, code).otherwise(F.lit(0).cast("long")).alias(f"__{mark}") for mark in (0, 1)])
+        told = coded.groupBy(*names).agg(F.bit_or("__0").alias("__0"), F.bit_or("__1").alias("__1"), *sums)
+        texts = [F.concat_ws("|", *[F.when(F.col(c).bitwiseAND(bit) != 0, F.lit(v)) for v, bit in zip(values, bits, strict=True)]) for c in ("__0", "__1")]
+    else:
+        told = both.groupBy(*names).agg(*[F.collect_set(of(mark, F.col("__value"))).alias(f"__{mark}") for mark in (0, 1)], *sums)
+        texts = [F.array_join(F.sort_array(c), "|") for c in ("__0", "__1")]
+    told = told.select(*names, texts[0].alias(f"old_{value}"), texts[1].alias(f"new_{value}"), "n_old", "n_new")
     change = F.when(F.col("n_new") == 0, "gone").when(F.col("n_old") == 0, "come").when(F.col(f"old_{value}") != F.col(f"new_{value}"), "changed")
     return told.withColumn("change", change.otherwise("same"))

@@ -96,6 +96,28 @@ def test_changes(spark):
     }
 
 
+def test_changes_of_few_and_many_values(spark):
+    """Few values take no set objects and no sort; more than a number has bits are all told too."""
+    rng = random.Random(4)
+    schema = "primaryID string, secondaryID string, mapping_cardinality string"
+    for kinds in (3, D.CODED, D.CODED + 1, 200):
+        names = [None, "a|b", *map(str, range(kinds - 2))]
+        sides = [[(rng.choice([None, "p", "q"]), str(rng.randrange(9)), rng.choice(names)) for _ in range(700)] for _ in range(2)]
+        got = D.build_changes(*[spark.createDataFrame(rows, schema) for rows in sides])
+        want = {}
+        for k, rows in enumerate(sides):
+            for *key, v in rows:
+                sets = want.setdefault(tuple(key), [set(), set(), 0, 0])
+                sets[k].add(v or "")
+                sets[k + 2] += 1
+        assert {tuple(r)[:2]: (r.old_mapping_cardinality, r.new_mapping_cardinality, r.n_old, r.n_new) for r in got.collect()} == {
+            key: ("|".join(sorted(o)), "|".join(sorted(n)), a, b) for key, (o, n, a, b) in want.items()
+        }
+        assert ("ObjectHashAggregate" in got._jdf.queryExecution().executedPlan().toString()) == (kinds > D.CODED)
+    none = spark.createDataFrame([], schema)
+    assert D.build_changes(none, none).isEmpty()
+
+
 def pair(spark):
     mappings = spark.createDataFrame(
         [("Entry Withdrawn", "1", None, "1:0"), ("Entry Withdrawn", None, None, "1:0"), ("1", "2", "A", "1:1"), ("3", "4", "B", None), (None, "5", "Entry Withdrawn", "x"), ("Entry Withdrawn", "9", "C", "1:0")],
