@@ -20,6 +20,7 @@ from idtrail.session import staged
 
 SPECIAL = "<|endoftext|>"
 END = 1
+SLICE = 500
 VOCABULARY = 1 << 16
 COUNTED = np.dtype([("id", "<u2"), ("n", "<u4")])
 IDS = "place long, doc_id long, doc_tokens long, full binary, tail binary, counted binary"
@@ -27,21 +28,32 @@ DEALT = "place long, doc_id long, doc_tokens long, full binary, tail binary, lea
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+@lru_cache(maxsize=1)
+def tokenizer(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str, ranks: str, pattern: str):
     """Text to ids. The rank file is the same vocabulary and splits alike, five times as fast; a text that holds a special
-    token's string goes through the tokenizer itself, which knows that token."""
+    token's string goes through the tokenizer itself, which knows that token and is read when it is first needed."""
     fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks_of(ranks), special_tokens={})
-    slow = Tokenizer.from_file(path)
 
     def encode(text: str) -> np.ndarray:
         if SPECIAL in text:
-            return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+            return np.array(tokenizer(path).encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(fast.encode_ordinary(text), np.uint32)
 
     return encode
 
 
+def slices(batches, rows: int = SLICE):
+    """The batches in parts of at most ``rows`` rows: what a worker makes of them, and what Spark gets back at once, stays small."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def tokenized(docs: DataFrame, window: int, path: str, ranks: str, pattern: str) -> DataFrame:
     """For each document: how many ids, the checksums of its whole windows, and the ids behind them. Written once.
 
@@ -52,7 +64,7 @@ def tokenized(docs: DataFrame, window: int, path: str, ranks: str, pattern: str)
     def run(batches):
         encode, task, n = None, TaskContext.get().partitionId(), 0
         found = np.zeros(VOCABULARY, np.uint32)
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             encode = encode or encoder(path, ranks, pattern)
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -64,8 +76,7 @@ def tokenized(docs: DataFrame, window: int, path: str, ranks: str, pattern: str)
                 full = [zlib.crc32(ids[a : a + window].tobytes()) for a in range(0, cut, window)]
                 rows.append(((task << 32) + n, doc_id, len(ids), np.array(full, "<u4").tobytes(), ids[cut:].astype("<u2").tobytes(), None))
                 n += 1
-            if rows:
-                yield rows_to_batch(rows, arrow)
+            yield rows_to_batch(rows, arrow)
         at = np.flatnonzero(found)
         counted = np.zeros(len(at), COUNTED)
         counted["id"], counted["n"] = at, found[at]
@@ -171,7 +182,7 @@ def dealt(rows: DataFrame, idf: np.ndarray, documents: int, sample: int, size: i
     wire = arrow_schema("vector binary")
 
     def project(batches):
-        for batch in batches:
+        for batch in slices(batches):
             told = [vector(distinct(np.frombuffer(tail, "<u2")), weight, size).tobytes() for tail in batch.column("tail").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(told, pa.binary())], schema=wire)
 
@@ -181,7 +192,7 @@ def dealt(rows: DataFrame, idf: np.ndarray, documents: int, sample: int, size: i
     out = arrow_schema(DEALT)
 
     def deal(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids = [distinct(np.frombuffer(tail, "<u2")) for tail in batch.column("tail").to_pylist()]
             leaves = pa.array([leaf_of(vector(found, weight, size), cuts, depth) for found in ids], pa.int32())
             leads = pa.array([int(found[np.argmin(draw[found])]) if len(found) else -1 for found in ids], pa.int32())

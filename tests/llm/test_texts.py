@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -560,6 +561,21 @@ def test_packing_takes_the_best_first(first):
     assert list(packing.best_first(np.zeros(0), first)) == list(packing.best_first(-np.ones(9), first)) == []
 
 
+def test_packing_workers_hold_little():
+    """The tokenizer is read for a text with its token only; batches are worked on in small parts, all of them."""
+    packing.encoder.cache_clear()
+    packing.tokenizer.cache_clear()
+    encode = packing.encoder(P.path("byte_bpe_50k.json"), RANKS, P.PATTERN)
+    encode("plain words")
+    assert packing.tokenizer.cache_info().currsize == 0
+    whole = packing.Tokenizer.from_file(P.path("byte_bpe_50k.json")).encode("a" + packing.SPECIAL, add_special_tokens=False).ids
+    assert encode("a" + packing.SPECIAL).tolist() == whole and packing.tokenizer.cache_info().currsize == 1
+    batches = [pa.RecordBatch.from_pydict({"x": list(range(n))}) for n in (0, 1, 1700, packing.SLICE)]
+    parts = list(packing.slices(batches))
+    assert max(b.num_rows for b in parts) == packing.SLICE
+    assert [x for b in parts for x in b.column("x").to_pylist()] == [x for b in batches for x in b.column("x").to_pylist()]
+
+
 def test_packing_counts_whole_documents(docs):
     told = packing.tokenized(packing.ids_and_texts(docs), 64, P.path("byte_bpe_50k.json"), RANKS, P.PATTERN)
     tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
