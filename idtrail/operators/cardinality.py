@@ -6,6 +6,8 @@ and they never take part in a shuffle on the target.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from idtrail.functions import clean as C, vocab as V
@@ -13,6 +15,7 @@ from idtrail.operators.joins import flag_member, grouped, lookup, with_group_cou
 
 CLASS = "mapping_cardinality"
 PREDICATE = "predicateID"
+RETIRED = "__retired"
 
 
 def split_withdrawn(
@@ -36,32 +39,41 @@ def with_cardinality(
     ones too. A row that lacks one of its two ids is no mapping: it counts nothing and has no class.
     """
     live, gone = split_withdrawn(df, primary, withdrawn)
-    live = _classified(live, df, primary, secondary, out)
+    live = _classified(live, df, primary, secondary, out, withdrawn)
     return live.unionByName(gone.withColumn(out, F.lit(V.ONE_TO_NONE)))
 
 
-def _classified(live, everything, primary, secondary, out, retired=False, facts=None) -> DataFrame:
-    """Live rows with their class, with ``__retired`` (the target is an old id itself) and the columns of ``facts``, which has
-    one row per target.
+def _classified(live, everything, primary, secondary, out, withdrawn, retired=False, facts=None) -> DataFrame:
+    """Live rows with their class, with ``__retired`` (the target is an old id itself) and the columns of ``facts``, see
+    :func:`describe_mappings`.
 
     The rows are shuffled twice: by target, which brings the fan-in, the flag and the facts, all from one aggregation, and by
-    old id, which brings the fan-out.
+    old id, which brings the fan-out. Ids that no live row asks for go no further than their aggregation.
     """
-    whole = F.col(primary).isNotNull() & F.col(secondary).isNotNull()
-    told = live.where(whole).select(F.col(primary), F.lit(1).alias("__fan_in"))
+    asking = F.col(primary).isNotNull()
+    whole = asking & F.col(secondary).isNotNull()
+    told = live.where(asking).select(F.col(primary), F.col(secondary).isNotNull().cast("int").alias("__fan_in"))
     sums = [F.sum("__fan_in").alias("__fan_in")]
-    if retired:
-        old = everything.dropna(subset=[secondary]).select(F.col(secondary).alias(primary), F.lit(True).alias("__retired"))
-        told = told.unionByName(old, allowMissingColumns=True)
-        sums.append(F.bool_or("__retired").alias("__retired"))
-    extra = [c for c in facts.columns if c != primary] if facts is not None else []
+    extra = [c for c in facts.columns if c not in (primary, RETIRED)] if facts is not None else []
+    ranked = facts is not None and RETIRED in facts.columns
     if extra:
-        told = told.unionByName(facts.select(primary, F.struct(*extra).alias("__facts")), allowMissingColumns=True)
-        sums.append(F.max("__facts").alias("__facts"))
-    targets = grouped(told, [primary]).agg(*sums).drop("__apart")
+        chosen = F.struct(*extra)
+        if ranked:
+            chosen = F.when(reduce(Column.__or__, [F.col(c).isNotNull() for c in extra]), F.struct(RETIRED, *extra))
+        columns = [primary, RETIRED] if ranked else [primary]
+        told = told.unionByName(facts.select(*columns, chosen.alias("__facts")), allowMissingColumns=True)
+        sums.append(F.min("__facts").alias("__facts"))
+    if retired and not ranked:
+        old = everything.dropna(subset=[secondary]).select(F.col(secondary).alias(primary), F.lit(True).alias(RETIRED))
+        told = told.unionByName(old, allowMissingColumns=True)
+    if retired:
+        sums.append(F.bool_or(RETIRED).alias(RETIRED))
+    targets = grouped(told, [primary]).agg(*sums).where(F.col("__fan_in").isNotNull()).drop("__apart")
     if extra:
         targets = targets.select("*", *[F.col(f"__facts.{c}").alias(c) for c in extra]).drop("__facts")
-    olds = grouped(everything.where(whole), [secondary]).agg(F.count("*").alias("__fan_out")).drop("__apart")
+    olds = everything.where(whole).select(F.col(secondary), (~F.col(primary).eqNullSafe(withdrawn)).alias("__live"))
+    olds = grouped(olds, [secondary]).agg(F.count("*").alias("__fan_out"), F.bool_or("__live").alias("__live"))
+    olds = olds.where("__live").drop("__apart", "__live")
     rows = lookup(lookup(live, targets, [primary]), olds, [secondary])
     label = F.concat(_one_or_n("__fan_in"), F.lit(":"), _one_or_n("__fan_out"))
     return rows.withColumn(out, F.when(whole, label)).drop("__fan_in", "__fan_out")
@@ -169,14 +181,16 @@ def describe_mappings(
     """Class, predicate and comment of every mapping, with one split into live and withdrawn rows.
 
     The columns of ``facts``, a table with one row per target id, are attached on the way; they
-    are NULL for withdrawn rows.
+    are NULL for withdrawn rows. With a column ``RETIRED`` it may have several rows per id, from which the least of those that
+    say false is taken, else the least of the others; then it has a row that says true for every old id of ``df``, and the ids
+    need not be collected again.
     """
     live, gone = split_withdrawn(df, primary, withdrawn)
-    live = _classified(live, df, primary, secondary, CLASS, note_retired, facts)
+    live = _classified(live, df, primary, secondary, CLASS, withdrawn, note_retired, facts)
     gone = gone.withColumn(CLASS, F.lit(V.ONE_TO_NONE))
     rows = live.unionByName(gone, allowMissingColumns=True)
-    rows = with_comment(with_predicate(rows), CLASS, date, "__retired" if note_retired else None, release)
-    return rows.drop("__retired")
+    rows = with_comment(with_predicate(rows), CLASS, date, RETIRED if note_retired else None, release)
+    return rows.drop(RETIRED)
 
 
 def append_withdrawn(

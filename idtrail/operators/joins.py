@@ -78,6 +78,21 @@ def full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
     return _matches(completed(left, sides, _RIGHT), completed(right, sides, _LEFT), keys)
 
 
+def full_join_few(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """:func:`full_join` for a ``right`` with few rows per key, where the left side alone can be hot.
+
+    A left join, and the rows of ``right`` whose key ``left`` lacks. Both take ``right`` from one shuffle, for which its columns
+    keep their names here; of ``left``, the distinct keys are shuffled beside the rows.
+    """
+    others = [c for c in right.columns if c not in keys]
+    own = {k: f"__l{i}" for i, k in enumerate(keys)}
+    pairs = [(F.col(own[k]), F.col(f"`{k}`")) for k in keys]
+    rows = left.withColumnsRenamed(own).join(right, all_equal(pairs, True), "left")
+    rows = rows.select(*[F.col(own[c]).alias(c) if c in own else F.col(f"`{c}`") for c in left.columns], *others)
+    lone = anti_join(right, left.select(*keys), keys, null_safe=True)
+    return rows.unionByName(lone, allowMissingColumns=True)
+
+
 _LEFT, _RIGHT = 1, 2
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from idtrail.functions import clean as C, vocab as V
-from idtrail.operators.cardinality import split_withdrawn
+from idtrail.operators.cardinality import RETIRED, split_withdrawn
 from idtrail.operators.joins import flag_member, grouped, lookup
 
 
@@ -127,12 +127,20 @@ def current_symbols(
     retired_symbol: str = "secondarySymbol",
     key: str = "primaryID",
     out: str = "primarySymbol",
+    chosen: bool = True,
 ) -> DataFrame:
-    """One symbol per id: of the ``current`` (id, symbol) table, else the one it was retired with."""
-    names = current.toDF(key, "__s").withColumn("__rank", F.lit(0))
-    own = mappings.select(F.col(secondary).alias(key), F.col(retired_symbol).alias("__s"), F.lit(1).alias("__rank"))
-    both = names.unionByName(own).where(F.col("__s").isNotNull() & F.col(key).isNotNull())
-    return grouped(both, [key]).agg(F.min(F.struct("__rank", "__s"))["__s"].alias(out)).drop("__apart")
+    """One symbol per id: of the ``current`` (id, symbol) table, else the one it was retired with.
+
+    Without ``chosen``, the rows it is chosen from, one at least for every old id: ``RETIRED`` tells which they are. An
+    aggregation by id that is made anyway can choose then (:func:`describe_mappings`).
+    """
+    usable = F.col(out).isNotNull()
+    names = current.toDF(key, out).withColumn(RETIRED, F.lit(False)).where(usable)
+    own = mappings.select(F.col(secondary).alias(key), F.col(retired_symbol).alias(out), F.lit(True).alias(RETIRED))
+    both = names.unionByName(own).where(F.col(key).isNotNull())
+    if not chosen:
+        return both
+    return grouped(both.where(usable), [key]).agg(F.min(F.struct(RETIRED, out))[out].alias(out)).drop("__apart")
 
 
 def with_current_symbol(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from idtrail.functions import clean as C, vocab as V
 from idtrail.operators.cardinality import CLASS, PREDICATE, split_withdrawn, with_cardinality, with_predicate
-from idtrail.operators.joins import anti_join, flag_member, full_join, grouped, lookup, semi_join
+from idtrail.operators.joins import anti_join, flag_member, full_join, full_join_few, grouped, lookup, semi_join
 from idtrail.operators.rows import drop_empty, drop_self_mappings
 
 NAME_COLUMNS = ("subject_id", "subject_label", "predicate_id", "object_id", "object_label", CLASS)
@@ -140,7 +140,7 @@ def sssom_of_two_key_labels(mappings: DataFrame, labels: DataFrame) -> DataFrame
     left = mappings.withColumnRenamed("source", "source_mapping")
     if "primarySymbol" in left.columns:
         left = left.withColumnRenamed("primarySymbol", "own_symbol")
-    rows = full_join(left, labels, ["primaryID", "secondarySymbol"])
+    rows = full_join_few(left, labels, ["primaryID", "secondarySymbol"])
     if "own_symbol" in left.columns:
         rows = rows.withColumn("primarySymbol", F.coalesce("primarySymbol", "own_symbol"))
     rows = rows.withColumn("source", C.join_text("source_mapping", "source_label"))

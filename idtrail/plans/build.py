@@ -33,7 +33,7 @@ def source_tables(spark: SparkSession, source: str, inputs: Mapping[str, str], r
         case "NCBI":
             history = stage(balanced(tabular.scan_gene_history(spark, inputs["history"])))
             info = stage(balanced(tabular.scan_gene_info(spark, inputs["info"])))
-            return P.ncbi(history, info, release, inputs.get("taxon", V.HUMAN))
+            return P.ncbi(history, info, release, inputs.get("taxon", V.HUMAN), stage)
         case "HGNC":
             withdrawn, complete = inputs["withdrawn"], inputs["complete"]
             return P.hgnc(

@@ -21,7 +21,8 @@ NCBI_MISSING = ("-", "")
 GENE_LABEL = ("primaryID", "primarySymbol", "secondarySymbol", K.PREDICATE, K.CLASS, "comment", "source")
 
 
-def ncbi(history: DataFrame, info: DataFrame, release: str, taxon: str = V.HUMAN) -> Tables:
+def ncbi(history: DataFrame, info: DataFrame, release: str, taxon: str = V.HUMAN, stage=S.as_it_is) -> Tables:
+    """``stage`` stores the nomenclature symbols. Where their size is known to be small, no alias is shuffled to look them up."""
     history = R.normalise(R.keep_taxon(history, taxon), spellings=NCBI_MISSING)
     missing = NCBI_MISSING
     edges = history.select(
@@ -33,12 +34,12 @@ def ncbi(history: DataFrame, info: DataFrame, release: str, taxon: str = V.HUMAN
     info = R.normalise(R.keep_taxon(info, taxon), spellings=NCBI_MISSING).withColumnsRenamed({"GeneID": "primaryID", "Synonyms": "aliases"})
     naming = ("Symbol", "Symbol_from_nomenclature_authority")
     genes = L.with_primary_symbol(info, *naming, missing=missing)
-    symbols = L.current_symbols(edges, genes.select("primaryID", "primarySymbol"))
+    symbols = L.current_symbols(edges, genes.select("primaryID", "primarySymbol"), chosen=False)
     mappings = K.describe_mappings(edges, date="date", release=release, facts=symbols)
     own = F.when(F.col("primaryID") == V.WITHDRAWN, V.WITHDRAWN).otherwise(F.col("primarySymbol"))
     mappings = mappings.withColumns({"primarySymbol": own, "source": F.lit(V.NCBI_HISTORY_URL)})
 
-    official = L.nomenclature_symbols(info, *naming, missing=missing)
+    official = stage(L.nomenclature_symbols(info, *naming, missing=missing))
     aliases = genes.select("primaryID", "primarySymbol", "aliases")
     aliases = L.explode_typed_aliases(aliases, "aliases", official, release, unique=True, missing=missing)
     labels = _unclassified(aliases).withColumn("source", F.lit(V.NCBI_INFO_URL))

@@ -26,7 +26,7 @@ def _stored(tables):
 # NCBI: lines as retired genes of two taxa, their (part, supplier) pairs as current genes.
 
 
-def _ncbi(spark, folder):
+def _ncbi(spark, folder, stage=S.as_it_is):
     lines, part = B.table(spark, folder, "lineitem"), B.table(spark, folder, "part")
     taxon = F.when(F.col("l_linestatus") == "F", "9606").otherwise("10090")
     history = lines.select(
@@ -40,14 +40,16 @@ def _ncbi(spark, folder):
     other = F.when(F.col("l_returnflag") == "N", "9606").otherwise("10090")
     pairs = lines.select("l_partkey", "l_suppkey", other.alias("#tax_id")).distinct()
     size, symbol = F.col("p_size"), F.concat(F.lit("G"), "p_partkey")
-    info = pairs.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
-        "`#tax_id`",
-        B.current_id().alias("GeneID"),
+    names = part.select(  # made once per part, not for each of its pairs
+        "p_partkey",
         symbol.alias("Symbol"),
         F.when(size >= 48, F.col("p_brand")).when(size < 5, symbol).otherwise("-").alias("Symbol_from_nomenclature_authority"),
         F.when(F.col("p_type") == "SMALL", "-").otherwise(F.concat_ws("|", F.replace("p_name", F.lit(" "), F.lit("|")), "p_brand")).alias("Synonyms"),
     )
-    return P.ncbi(staged(history), staged(info), "v1")
+    info = pairs.join(names, F.col("l_partkey") == F.col("p_partkey")).select(
+        "`#tax_id`", B.current_id().alias("GeneID"), "Symbol", "Symbol_from_nomenclature_authority", "Synonyms"
+    )
+    return P.ncbi(staged(history), staged(info), "v1", stage=stage)
 
 
 NCBI = f"""edges AS (
@@ -84,7 +86,7 @@ def ncbi_mappings(spark, folder):
 
 @query(f"""WITH {NCBI} SELECT * FROM ncbi_labels""")
 def ncbi_labels(spark, folder):
-    return _ncbi(spark, folder)["labels"]
+    return _ncbi(spark, folder, staged)["labels"]
 
 
 @query(f"""WITH {NCBI} SELECT DISTINCT "primaryID", "primarySymbol" FROM named""")
@@ -100,7 +102,7 @@ SELECT coalesce(m."primaryID", l."primaryID") AS subject_id, coalesce(l."primary
   m.mapping_cardinality, m.short AS "comment", nullif(concat_ws(' ', m."source", l."source"), '') AS "source"
 FROM m FULL JOIN l ON m."primaryID" = l."primaryID" AND m."secondarySymbol" IS NOT DISTINCT FROM l."secondarySymbol" """)
 def ncbi_sssom(spark, folder):
-    return P.mapping_set("NCBI", _stored(_ncbi(spark, folder)))
+    return P.mapping_set("NCBI", _stored(_ncbi(spark, folder, staged)))
 
 
 # HGNC: orders as withdrawn symbols, customers as the complete set.

@@ -1,8 +1,12 @@
 """What one task holds, and what is read anew, as tables grow."""
 
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
-from idtrail.operators import sssom as S
+from idtrail.operators import cardinality as K, joins as J, labels as L, sssom as S
+from idtrail.plans import profiles as P
 from idtrail.queries import scanning as Q
 from idtrail.session import staged
 from idtrail.sinks import tables as W
@@ -59,3 +63,83 @@ def test_distinct_mappings_are_made_once(spark, rows):
 
     assert rows(S.sssom_of_redirects(df, stage=stage)) == rows(S.sssom_of_redirects(df))
     assert seen == [3]
+
+
+EDGES = [  # target, old id, old symbol: hot, retired, withdrawn, copied and missing ones
+    ("a", "x", "X"), ("a", "y", None), ("a", "y", "Y"), ("b", "a", "A2"), ("b", "a", "A1"), ("c", "b", None), ("d", "b", "B"), (None, "n", "N"),
+    ("e", None, "E"), ("e", "x", "X"), ("f", "e", None), ("y", None, "S"), ("g", "f", "F"), ("Entry Withdrawn", "c", "C"), ("Entry Withdrawn", "x", "X"),
+    ("Entry Withdrawn", "d", None), ("n", "g", "G"), ("n", "g", "G"),
+]
+
+
+def edges_and_symbols(spark):
+    edges = spark.createDataFrame(EDGES, "primaryID string, secondaryID string, secondarySymbol string")
+    current = spark.createDataFrame([("a", "GA2"), ("a", "GA"), ("b", None), ("d", "GD"), (None, "GN"), ("z", "GZ")], "primaryID string, s string")
+    return edges, current
+
+
+@pytest.mark.parametrize("noted", [True, False])
+def test_symbols_are_chosen_where_targets_are_counted(spark, rows, noted):
+    edges, current = edges_and_symbols(spark)
+    parts = [K.describe_mappings(edges, note_retired=noted, facts=L.current_symbols(edges, current, chosen=c)) for c in (True, False)]
+    want, got = [rows(p, "primaryID", "secondaryID", "secondarySymbol", "primarySymbol", K.CLASS, "comment") for p in parts]
+    assert got == want and len(got) == len(EDGES)
+    symbols = {r[0]: r[3] for r in got}
+    assert symbols == {"a": "GA", "b": "B", "c": "C", "d": "GD", "e": None, "f": "F", "g": "G", "n": "N", "y": "Y", None: None, "Entry Withdrawn": None}
+    assert sum("also withdrawn" in (r[5] or "") for r in got) == (12 if noted else 0)
+
+
+def shuffles(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [x for x in plan.splitlines() if re.search(r"[ -]Exchange (hash|Round|Single|range)", x) and "ReusedExchange" not in x]
+
+
+@pytest.fixture
+def plain_plans(spark):
+    """No broadcast, and the plan as it is before it runs."""
+    values = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def ncbi_tables(spark, **options):
+    taxon = F.lit("9606").alias("#tax_id")
+    history = spark.range(300).selectExpr(
+        "if(id % 3 = 0, '-', 'g' || id) AS GeneID", "'o' || id AS Discontinued_GeneID", "if(id % 3 = 1, 'b', 'S' || id) AS Discontinued_Symbol", "'-' AS Discontinue_Date")
+    info = spark.range(300).selectExpr("'g' || id AS GeneID", "'G' || id AS Symbol", "if(id % 9 = 0, 'N', '-') AS Symbol_from_nomenclature_authority", "'N|b|b' AS Synonyms")
+    return P.ncbi(history.select(taxon, "*"), info.select(taxon, "*"), "v1", **options)
+
+
+def test_a_mapping_set_of_genes_takes_few_shuffles(spark, plain_plans, tmp_path):
+    tables = ncbi_tables(spark)
+    assert len(shuffles(tables["mappings"])) <= 6  # one aggregation by target, one by old id, two joins
+    folders = {k: staged(tables[k], str(tmp_path / k)) for k in ("mappings", "labels")}
+    out = P.mapping_set("NCBI", folders)
+    assert len(shuffles(out)) <= 5  # mappings, label rows, which are made distinct before, and the distinct keys of mappings
+    assert out.count() == 800
+
+
+def test_aliases_are_not_shuffled_for_few_nomenclature_symbols(spark, tmp_path):
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stored = ncbi_tables(spark, stage=lambda df: staged(df, str(tmp_path / "stored")))["labels"]
+        assert len(shuffles(stored)) == 2  # to make rows distinct, and of the nomenclature symbols
+        plan = stored._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert stored.where("comment like '%is the nomenclature symbol%'").count() == 300 and stored.count() == 600
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_full_join_of_few(spark, rows):
+    left = spark.createDataFrame([("1", None, "a"), ("1", None, "b"), ("1", "x", "c"), (None, None, "d"), ("3", "z", "e"), (None, "x", "f")], "k string, l string, a string")
+    right = spark.createDataFrame([("1", None, "A"), ("1", None, "B"), (None, None, "C"), ("2", "y", "D"), ("2", "y", "D"), ("x", None, "E")], "k string, l string, b string")
+    got = J.full_join_few(left, right, ["k", "l"])
+    assert got.columns == J.full_join(left, right, ["k", "l"]).columns == ["k", "l", "a", "b"]
+    assert rows(got) == rows(J.full_join(left, right, ["k", "l"])) and got.count() == 11
+    assert rows(J.full_join_few(left, left.withColumnRenamed("a", "b"), ["k", "l"])) == rows(J.full_join(left, left.withColumnRenamed("a", "b"), ["k", "l"]))
