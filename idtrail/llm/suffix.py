@@ -5,11 +5,14 @@ the leftmost of the least-hashed ``gram``-byte strings. Which one it is depends
 have equal anchors at equal places, and comparing the anchors' surroundings finds every repeat of ``window`` bytes or more.
 
 1. ``packs``: documents are written once in compressed packs; exact copies are known by their SHA-256 from then on.
-2. Anchor hashes go, a blob for each pack and hash range, to where those that occur in several documents are told.
-3. Each pack gives the surroundings of such anchors, each different text once, to the task of the anchor's hash range.
+2. Anchor hashes go, a blob for each pack and hash range, to where those that occur in several documents are told. Of those, the
+   hashes of what stands around them (their contexts) do the same, which leaves few that are equal by chance.
+3. Each pack gives the surroundings of such contexts, each different text once, to the task of the anchor's hash range.
 4. There, suffix array, common prefixes and a stack scan make the interval tree; intervals are split where what stands left of
    the suffixes differs, and each part of an interval knows the first document it occurs in.
 5. Each pack marks its windows that an earlier document has and sums its documents up.
+
+What goes from step to step is a table, and what was shuffled for it is deleted when it is there.
 """
 
 from __future__ import annotations
@@ -19,7 +22,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -33,9 +35,10 @@ LAST = 2**63 - 1
 MASK = (1 << 64) - 1
 MULTIPLIER = 0xD1342543DE82EF95
 CHUNK = 1 << 16
+STEP = 4
 PACKS = "pack long, ids binary, lengths binary, hashes binary, body binary"
 NOTES = "pack long, kind int, part int, body binary"
-REPEATED, COPIES, ORIGINS, FLAGS = range(4)
+REPEATED, COPIES, ORIGINS, FLAGS, CONTEXTS = range(5)
 
 
 def squeeze(*arrays: np.ndarray) -> bytes:
@@ -178,48 +181,61 @@ def by_range(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield value, order[a:b]
 
 
-def repeated_anchors(packed: DataFrame, window: int, gram: int, parts: int, hot_packs: int) -> DataFrame:
-    """Notes for each pack and hash range: which of the pack's anchor hashes occur in several documents."""
-    wire = arrow_schema("part int, pack long, once binary, often binary")
+WIRE = "part int, pack long, once binary, often binary"
+
+
+def hashes_by_range(pack: int, h: np.ndarray, doc: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A row for each hash range: which hashes one document of the pack has, and which several."""
+    order = np.lexsort((doc, h))
+    h, doc = h[order], doc[order]
+    keep = np.ones(len(h), bool)
+    keep[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    h, count = np.unique(h[keep], return_counts=True)
+    rows = []
+    for part, at in by_range(range_of(h, parts)):
+        low, many = (h[at] & np.uint64(0xFFFFFFFF)).astype(np.uint32), count[at] > 1
+        once, often = np.unique(low[~many]), np.unique(low[many])
+        rows.append((part, pack, squeeze(rising(once)), squeeze(rising(often))))
+    return rows_to_arrow(rows, arrow_schema(WIRE))
 
-    def tell(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                data, ends, _ = opened(row)
-                place, h, _, _ = anchors(data, ends, window, gram)
-                doc = np.searchsorted(ends, place, "right")
-                order = np.lexsort((doc, h))
-                h, doc = h[order], doc[order]
-                keep = np.ones(len(h), bool)
-                keep[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-                h, count = np.unique(h[keep], return_counts=True)
-                rows = []
-                for part, at in by_range(range_of(h, parts)):
-                    low, many = (h[at] & np.uint64(0xFFFFFFFF)).astype(np.uint32), count[at] > 1
-                    once, often = np.unique(low[~many]), np.unique(low[many])
-                    rows.append((part, row["pack"], squeeze(rising(once)), squeeze(rising(often))))
-                yield rows_to_arrow(rows, wire)
 
+def met(told: DataFrame, kind: int, hot_packs: int) -> DataFrame:
+    """Notes for each pack and hash range: which of the pack's hashes occur in several documents, and which in ``hot_packs`` packs."""
     out = arrow_schema(NOTES)
 
     def meet(group: pa.Table) -> pa.Table:
-        rows, lists = group.select(["part", "pack"]).to_pylist(), []
+        rows, lists, many = group.select(["part", "pack"]).to_pylist(), [], []
         for once, often in zip(group.column("once").to_pylist(), group.column("often").to_pylist(), strict=True):
-            lists.append(tuple(np.cumsum(unsqueeze(x)[0], dtype=np.uint32) for x in (once, often)))
-        values, counts = np.unique(np.concatenate([np.union1d(*x) for x in lists]), return_counts=True)
-        many = np.unique(np.concatenate([values[counts > 1], *[often for _, often in lists]]))
-        hot = values[counts >= hot_packs]
+            once, often = (np.cumsum(unsqueeze(x)[0], dtype=np.uint32) for x in (once, often))
+            lists.append(np.union1d(once, often))
+            many.append(often)
+        values, counts = np.unique(np.concatenate(lists), return_counts=True)
+        many = np.unique(np.concatenate([values[counts > 1], *many]))
+        hot = np.isin(many, values[counts >= hot_packs]).astype(np.uint8)
         notes = []
-        for row, (once, often) in zip(rows, lists, strict=True):
-            own = np.intersect1d(np.union1d(once, often), many)
-            if len(own):
-                notes.append((row["pack"], REPEATED, row["part"], squeeze(rising(own), np.isin(own, hot).astype(np.uint8))))
+        for row, own in zip(rows, lists, strict=True):
+            at = np.searchsorted(many, own)
+            at = at[many[np.minimum(at, len(many) - 1)] == own] if len(many) else at[:0]
+            if len(at):
+                notes.append((row["pack"], kind, row["part"], squeeze(rising(many[at]), hot[at])))
         return pa.Table.from_batches([rows_to_arrow(notes, out)])
 
-    told = packed.select("pack", "ids", "lengths", "body").mapInArrow(tell, "part int, pack long, once binary, often binary")
     return told.groupBy("part").applyInArrow(meet, NOTES)
 
 
+def repeated_anchors(packed: DataFrame, window: int, gram: int, parts: int, hot_packs: int) -> DataFrame:
+    """Notes of the anchor hashes that several documents have."""
+
+    def tell(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                data, ends, _ = opened(row)
+                place, h, _, _ = anchors(data, ends, window, gram)
+                yield hashes_by_range(row["pack"], h, np.searchsorted(ends, place, "right"), parts)
+
+    return met(packed.select("pack", "ids", "lengths", "body").mapInArrow(tell, WIRE), REPEATED, hot_packs)
+
+
 def copies(packed: DataFrame) -> DataFrame:
     """Notes for each pack: its documents whose whole text a document with a smaller id has, and that id is not null."""
     wire = arrow_schema("hash binary, doc_id long, pack long, place int")
@@ -247,39 +263,114 @@ def notes_of(table: pa.Table, kind: int) -> list[tuple[int, list[np.ndarray]]]:
     return [(p, unsqueeze(b)) for k, p, b in zip(kinds, parts, bodies, strict=True) if k == kind]
 
 
+def noted_hashes(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted range-and-hash keys of a pack's notes, and which of them are hot."""
+    noted = [((np.uint64(p) << np.uint64(32)) | np.cumsum(low, dtype=np.uint32).astype(np.uint64), hot) for p, (low, hot) in notes_of(table, kind)]
+    if not noted:
+        return np.zeros(0, np.uint64), np.zeros(0, bool)
+    known, hot = (np.concatenate(x) for x in zip(*noted, strict=True))
+    order = np.argsort(known)
+    return known[order], hot[order].astype(bool)
+
+
+def told_of(h: np.ndarray, parts: int, known: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the hashes are noted, and which of them as hot."""
+    if not len(known):
+        return np.zeros(len(h), bool), np.zeros(len(h), bool)
+    key = (range_of(h, parts).astype(np.uint64) << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
+    at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+    found = known[at] == key
+    return found, found & hot[at]
+
+
+def string_hashes(data: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """Mixed polynomial hash of the ``size`` bytes from each of some places on."""
+    done = np.zeros(len(start), np.uint64)
+    for i in range(size):
+        done = (done + data[start + i] + np.uint64(1)) * np.uint64(MULTIPLIER)
+    done = done ^ (done >> np.uint64(31))
+    done *= np.uint64(0x9E3779B97F4A7C15)
+    return done ^ (done >> np.uint64(29))
+
+
+class Candidates:
+    """A pack's repeated anchors, copies left out, and the two contexts of each.
+
+    A window that starts ``lead`` bytes or more before its anchor holds these bytes and the anchor: its *left* context. All other
+    windows hold the anchor and what follows it up to ``window - lead + 1`` bytes: their *right* context. So windows are equal only
+    if their contexts are, which are nearly twice as long as an anchor and far seldomer equal by chance.
+    """
+
+    def __init__(self, row: dict, notes: pa.Table, window: int, gram: int, parts: int) -> None:
+        self.data, self.ends, self.ids = opened(row)
+        place, h, a, b = anchors(self.data, self.ends, window, gram)
+        doc = np.searchsorted(self.ends, place, "right")
+        keep, hot = told_of(h, parts, *noted_hashes(notes, REPEATED))
+        skipped = np.zeros(len(self.ends), bool)
+        for _, (places,) in notes_of(notes, COPIES):
+            skipped[places] = True
+        keep &= ~skipped[doc]
+        self.place, self.h, self.a, self.b, self.doc, self.hot = place[keep], h[keep], a[keep], b[keep], doc[keep], hot[keep]
+        lead = (window - gram) // 2
+        #: last window start of the left and first of the right context
+        self.turn = self.place - lead
+        self.sides = np.flatnonzero(self.a <= self.turn), np.flatnonzero(self.b > self.turn)
+        left, right = self.sides
+        self.hashes = string_hashes(self.data, self.turn[left], lead + gram), string_hashes(self.data, self.place[right], window - lead + 1)
+
+
+def repeated_contexts(texts: DataFrame, noted: DataFrame, window: int, gram: int, parts: int, hot_packs: int) -> DataFrame:
+    """Notes of the contexts of repeated anchors that several documents have."""
+    wire = arrow_schema(WIRE)
+
+    def tell(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return wire.empty_table()
+        row = left.to_pylist()[0]
+        found = Candidates(row, right, window, gram, parts)
+        h, doc = np.concatenate(found.hashes), np.concatenate([found.doc[side] for side in found.sides])
+        return pa.Table.from_batches([hashes_by_range(row["pack"], h, doc, parts)])
+
+    return met(texts.groupBy("pack").cogroup(noted.groupBy("pack")).applyInArrow(tell, WIRE), CONTEXTS, hot_packs)
+
+
 def surroundings(window: int, gram: int, parts: int):
-    """For a pack and its notes: origin rows (for itself) and the different surroundings of its repeated anchors by hash range."""
+    """For a pack and its notes: origin rows (for itself) and the different surroundings of its repeated anchors by hash range.
+
+    Surroundings hold the windows of repeated contexts only. Those of an anchor that many packs have go, one text for each context,
+    to where the context says. If many packs have that too, they go in texts of up to ``STEP`` windows to where the bytes say that these share.
+    """
     out = arrow_schema(NOTES)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
+        if not left.num_rows or not right.num_rows:
             return out.empty_table()
         row = left.to_pylist()[0]
-        data, ends, ids = opened(row)
-        noted = [((np.uint64(p) << np.uint64(32)) | np.cumsum(low, dtype=np.uint32).astype(np.uint64), hot) for p, (low, hot) in notes_of(right, REPEATED)]
-        if not noted:
-            return out.empty_table()
-        known, hot = (np.concatenate(x) for x in zip(*noted, strict=True))
-        order = np.argsort(known)
-        known, hot = known[order], hot[order].astype(bool)
-        place, h, a, b = anchors(data, ends, window, gram)
-        doc = np.searchsorted(ends, place, "right")
-        part = range_of(h, parts)
-        key = (part.astype(np.uint64) << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
-        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-        keep = known[at] == key
-        skipped = np.zeros(len(ends), bool)
-        for _, (places,) in notes_of(right, COPIES):
-            skipped[places] = True
-        keep &= ~skipped[doc]
-        place, a, b, doc, part, wide = place[keep], a[keep], b[keep], doc[keep], part[keep], hot[at[keep]]
-        if wide.any():  # windows of an anchor that many packs have go one by one to where their own bytes say
-            n = np.where(wide, b - a + 1, 1)
-            own = np.repeat(np.arange(len(a)), n)
-            step = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
-            place, doc, part = place[own], doc[own], part[own]
-            a, b = a[own] + step, np.where(wide[own], a[own] + step, b[own])
-            wide = wide[own]
+        found = Candidates(row, right, window, gram, parts)
+        data, ids, turn, contexts = found.data, found.ids, found.turn, noted_hashes(right, CONTEXTS)
+        kept, spread, key = np.zeros((2, len(turn)), bool), np.zeros((2, len(turn)), bool), np.zeros((2, len(turn)), np.uint64)
+        for side, (at, h) in enumerate(zip(found.sides, found.hashes, strict=True)):
+            kept[side, at], spread[side, at] = told_of(h, parts, *contexts)
+            key[side, at] = h
+        a, b = (found.a, np.maximum(found.a, turn + 1)), (np.minimum(found.b, turn), found.b)
+        one = np.flatnonzero(~found.hot & kept.any(axis=0))
+        runs = [(one, np.where(kept[0], a[0], a[1])[one], np.where(kept[1], b[1], b[0])[one], found.h[one], np.zeros(len(one), bool))]
+        for side in range(2):
+            at = np.flatnonzero(found.hot & kept[side])
+            runs.append((at, a[side][at], b[side][at], key[side, at], spread[side, at]))
+        own, a, b, h, wide = (np.concatenate(x) for x in zip(*runs, strict=True))
+        order = np.argsort(a, kind="stable")
+        own, a, b, part, wide = own[order], a[order], b[order], range_of(h[order], parts), wide[order]
+        if wide.any():
+            lead = found.place[own] - a, found.place[own] - b
+            n = np.where(wide, lead[0] // STEP - lead[1] // STEP + 1, 1)
+            by = np.repeat(np.arange(len(a)), n)
+            nth = np.arange(len(by)) - np.repeat(np.cumsum(n) - n, n)
+            own, a, b, part, wide = own[by], a[by], b[by], part[by], wide[by]
+            core = found.place[own] - (lead[0][by] // STEP - nth) * STEP  # the last window start of the step
+            a, b = np.where(wide, np.maximum(a, core - STEP + 1), a), np.where(wide, np.minimum(b, core), b)
+            part[wide] = range_of(string_hashes(data, core[wide], window - STEP + 1), parts)
+        place, doc = found.place[own], found.doc[own]
         whole, seen, texts, which = data.tobytes(), {}, [], []
         for x, y in zip(a.tolist(), (b + window).tolist(), strict=True):
             text = whole[x:y]
@@ -296,9 +387,7 @@ def surroundings(window: int, gram: int, parts: int):
         np.minimum.at(first, which, ids[doc])
         np.maximum.at(last, which, ids[doc])
         _, lead = np.unique(which, return_index=True)
-        offset, part, wide = (place - a)[lead].astype(np.uint8), part[lead].copy(), wide[lead]
-        for k in np.flatnonzero(wide).tolist():
-            part[k] = xxhash.xxh3_64_intdigest(texts[k]) % parts
+        offset, part = (place - a)[lead].astype(np.uint8), part[lead]
         rows = [(row["pack"], ORIGINS, -1, squeeze(which.astype(np.int32), rising(a), doc.astype(np.int32)))]
         for p, k in by_range(part):
             own = [texts[i] for i in k.tolist()]
@@ -424,6 +513,8 @@ def first_documents(window: int, gram: int):
         own, lows = np.repeat(own, n), np.repeat(lows, n)
         found.append((own, lows + np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n), t.first[own]))
         own, l, earliest = (np.concatenate(x) for x in zip(*found, strict=True))
+        if not len(own):
+            return out.empty_table()
         by = np.lexsort((earliest, l, own))
         own, l, earliest = own[by], l[by], earliest[by]
         new = np.ones(len(own), bool)  # of several answers for a window, the earliest
@@ -535,11 +626,11 @@ def surrounded(docs, window, gram, pack_bytes, part_bytes, hot_packs, id_col, te
     packed = packs(ids_and_texts(docs, id_col, text_col), pack_bytes)
     total = packed.agg(F.sum(F.length("body"))).first()[0] or 0
     parts = int(max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 3 * total // part_bytes))
-    repeated = repeated_anchors(packed, window, gram, parts, hot_packs)
     same = staged(copies(packed))
     texts = packed.select("pack", "ids", "lengths", "body")
-    noted = repeated.unionByName(same).groupBy("pack")
-    return texts, same, staged(texts.groupBy("pack").cogroup(noted).applyInArrow(surroundings(window, gram, parts), NOTES))
+    noted = staged(repeated_anchors(packed, window, gram, parts, hot_packs)).unionByName(same)
+    noted = staged(repeated_contexts(texts, noted, window, gram, parts, hot_packs)).unionByName(noted)
+    return texts, same, staged(texts.groupBy("pack").cogroup(noted.groupBy("pack")).applyInArrow(surroundings(window, gram, parts), NOTES))
 
 
 def repeat_groups(
@@ -593,10 +684,11 @@ def dedup(
     stay. Empty table: no rows. Other columns are not read.
 
     Rows are blobs of a pack and a hash range (packs times ranges): for far larger corpora raise both sizes. A hash that at
-    least ``hot_packs`` packs hold spreads over all ranges, window by window; this changes the route only.
+    least ``hot_packs`` packs hold spreads over all ranges by its contexts, a context of so many packs by longer strings; this changes the
+    route only.
     """
     texts, same, told = surrounded(docs, window, gram, pack_bytes, part_bytes, hot_packs, id_col, text_col)
-    flags = told.where(F.col("kind") == FLAGS).groupBy("part").applyInArrow(first_documents(window, gram), NOTES)
+    flags = staged(told.where(F.col("kind") == FLAGS).groupBy("part").applyInArrow(first_documents(window, gram), NOTES))
     notes = flags.unionByName(same).unionByName(told.where(F.col("kind") == ORIGINS))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     out = arrow_schema(schema)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,12 +47,28 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs within go when it has ended; otherwise they stay until the driver happens to collect garbage."""
+    before = spark.conf.get(RELEASE, None)
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(RELEASE) if before is None else spark.conf.set(RELEASE, before)
+
+
 def staged(df: DataFrame, path: str | None = None) -> DataFrame:
     """``df`` written once as Parquet to shared storage (``path``, or a new folder) and read back.
 
     For inputs that many branches read but that cannot be split or pruned (gzip text, XML):
-    they are parsed once, lineage is cut, and a lost executor re-reads a file.
+    they are parsed once, lineage is cut, and a lost executor re-reads a file. What was shuffled on the way leaves
+    the disks when the table is there.
     """
     path = path or work_folder(df.sparkSession)
-    df.write.mode("overwrite").parquet(path)
+    with shuffles_released(df.sparkSession):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

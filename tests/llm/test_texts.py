@@ -11,6 +11,8 @@ import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
+import zstandard
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -84,6 +86,33 @@ def test_surroundings_that_are_equal_within_a_pack(spark):
     assert bag(suffix.dedup(docs, part_bytes=100).collect()) == strings_removed(pairs(docs))
 
 
+def packs_of(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+
+
+def test_words_that_many_packs_have_by_chance_go_nowhere(spark):
+    """A string longer than an anchor in all documents, never with the same words around it."""
+    docs = packs_of(spark, [awkward.prose(100 + i, 40) + " of this and that and those " + awkward.prose(200 + i, 40) for i in range(40)])
+    _, _, told = suffix.surrounded(docs, 50, 20, 1000, 1000, 2, "doc_id", "text")
+    assert told.count() == 0
+    assert bag(suffix.dedup(docs, pack_bytes=1000, part_bytes=1000, hot_packs=2).collect()) == strings_removed(pairs(docs))
+
+
+def test_passages_that_many_packs_have_go_in_few_texts(spark):
+    """Strings of all lengths up to two windows in all documents, with other words around them, and runs of one letter."""
+    long, made = awkward.prose(1, 200), []
+    for i in range(60):
+        a = 7 * (i % 5)
+        made.append(" ".join([awkward.prose(300 + i, 12), long[a : a + 30 + i], awkward.prose(400 + i, 12), long[300 - i : 360 + i], "z" * (40 + i), awkward.prose(500 + i, 3)]))
+    docs = packs_of(spark, made)
+    want = strings_removed(pairs(docs))
+    for hot_packs in (2, 5, 20, 1000):
+        assert bag(suffix.dedup(docs, pack_bytes=1000, part_bytes=1000, hot_packs=hot_packs).collect()) == want
+    sent = {h: suffix.surrounded(docs, 50, 20, 1000, 1000, h, "doc_id", "text")[2].where(F.col("kind") == suffix.FLAGS) for h in (2, 1000)}
+    sent = {h: sum(len(zstandard.decompress(b[8 + int.from_bytes(b[:8], "little") :])) for (b,) in df.select("body").collect()) for h, df in sent.items()}
+    assert sent[1000] < sent[2] < 4 * sent[1000]
+
+
 @pytest.mark.parametrize("given", [True, False])
 def test_repeat_groups(spark, given):
     """Each group is one string with all places where it stands, and every repeated window lies in one."""

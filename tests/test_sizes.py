@@ -1,6 +1,7 @@
 """What one task holds, and what is read anew, as tables grow."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from idtrail.operators import cardinality as K, joins as J, labels as L, sssom as S
 from idtrail.plans import profiles as P
 from idtrail.queries import scanning as Q
-from idtrail.session import staged
+from idtrail.session import RELEASE, staged
 from idtrail.sinks import tables as W
 from idtrail.sources import records
 
@@ -25,6 +26,21 @@ def test_a_range_of_an_export_has_its_limit(spark, tmp_path, monkeypatch):
     assert max(len(p.splitlines()) for p in parts) < 500
 
 
+def test_what_was_shuffled_for_a_table_leaves_the_disk(spark, rows):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(files) if f.getName().startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get(RELEASE, None)
+    df = spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count()
+    table = staged(df)
+    deadline = time.time() + 20
+    while shuffled() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffled() - before and spark.conf.get(RELEASE, None) == setting
+    assert rows(table) == rows(df) and len(rows(table)) == 7
+
+
 def test_files_grow_in_number_with_the_table(spark):
     small, large = spark.range(0, 9, 1, 1).selectExpr("'x' || id AS value"), spark.range(0, 9000, 1, 12).selectExpr("'x' || id AS value")
     assert [Q._several(df).rdd.getNumPartitions() for df in (small, large)] == [3, 12]
