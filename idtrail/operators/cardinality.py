@@ -6,6 +6,7 @@ and they never take part in a shuffle on the target.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -43,12 +44,13 @@ def with_cardinality(
     return live.unionByName(gone.withColumn(out, F.lit(V.ONE_TO_NONE)))
 
 
-def _classified(live, everything, primary, secondary, out, withdrawn, retired=False, facts=None) -> DataFrame:
+def _classified(live, everything, primary, secondary, out, withdrawn, retired=False, facts=None, stage=None) -> DataFrame:
     """Live rows with their class, with ``__retired`` (the target is an old id itself) and the columns of ``facts``, see
     :func:`describe_mappings`.
 
     The rows are shuffled twice: by target, which brings the fan-in, the flag and the facts, all from one aggregation, and by
-    old id, which brings the fan-out. Ids that no live row asks for go no further than their aggregation.
+    old id, which brings the fan-out. Ids that no live row asks for go no further than their aggregation, nor do counts of one, which need
+    no looking up. ``stage`` stores the counts, and the rows between the two.
     """
     asking = F.col(primary).isNotNull()
     whole = asking & F.col(secondary).isNotNull()
@@ -69,13 +71,21 @@ def _classified(live, everything, primary, secondary, out, withdrawn, retired=Fa
     if retired:
         sums.append(F.bool_or(RETIRED).alias(RETIRED))
     targets = grouped(told, [primary]).agg(*sums).where(F.col("__fan_in").isNotNull()).drop("__apart")
+    if not extra and not retired:
+        targets = targets.where("__fan_in > 1")
     if extra:
         targets = targets.select("*", *[F.col(f"__facts.{c}").alias(c) for c in extra]).drop("__facts")
     olds = everything.where(whole).select(F.col(secondary), (~F.col(primary).eqNullSafe(withdrawn)).alias("__live"))
     olds = grouped(olds, [secondary]).agg(F.count("*").alias("__fan_out"), F.bool_or("__live").alias("__live"))
-    olds = olds.where("__live").drop("__apart", "__live")
-    rows = lookup(lookup(live, targets, [primary]), olds, [secondary])
-    label = F.concat(_one_or_n("__fan_in"), F.lit(":"), _one_or_n("__fan_out"))
+    olds = olds.where("__live AND __fan_out > 1").drop("__apart", "__live")
+    if stage:
+        live, olds = stage(lookup(live, stage(targets), [primary])), stage(olds)
+        return _labelled(lookup(live, olds, [secondary]), whole, out)
+    return _labelled(lookup(lookup(live, targets, [primary]), olds, [secondary]), whole, out)
+
+
+def _labelled(rows: DataFrame, whole: Column, out: str) -> DataFrame:
+    label = F.concat(_n_or_one("__fan_in"), F.lit(":"), _n_or_one("__fan_out"))
     return rows.withColumn(out, F.when(whole, label)).drop("__fan_in", "__fan_out")
 
 
@@ -83,6 +93,11 @@ def _one_or_n(count: str) -> Column:
     return F.when(F.col(count) > 1, "n").when(F.col(count) == 1, "1")
 
 
+def _n_or_one(count: str) -> Column:
+    """Of a count that is looked up where it is above one."""
+    return F.when(F.col(count) > 1, "n").otherwise("1")
+
+
 def with_group_size(df: DataFrame, key: str, out: str) -> DataFrame:
     """Rows with the size of their ``key`` group, the NULL group included.
 
@@ -177,16 +192,18 @@ def describe_mappings(
     withdrawn: str = V.WITHDRAWN,
     note_retired: bool = True,
     facts: DataFrame | None = None,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Class, predicate and comment of every mapping, with one split into live and withdrawn rows.
 
     The columns of ``facts``, a table with one row per target id, are attached on the way; they
     are NULL for withdrawn rows. With a column ``RETIRED`` it may have several rows per id, from which the least of those that
     say false is taken, else the least of the others; then it has a row that says true for every old id of ``df``, and the ids
-    need not be collected again.
+    need not be collected again. ``stage`` stores the counts, and the rows between the two lookups, so that the shuffles of one step
+    at a time are on disk.
     """
     live, gone = split_withdrawn(df, primary, withdrawn)
-    live = _classified(live, df, primary, secondary, CLASS, withdrawn, note_retired, facts)
+    live = _classified(live, df, primary, secondary, CLASS, withdrawn, note_retired, facts, stage)
     gone = gone.withColumn(CLASS, F.lit(V.ONE_TO_NONE))
     rows = live.unionByName(gone, allowMissingColumns=True)
     rows = with_comment(with_predicate(rows), CLASS, date, RETIRED if note_retired else None, release)

@@ -11,7 +11,7 @@ from idtrail.plans.build import observed
 from idtrail.queries import base as B
 from idtrail.queries.base import query
 from idtrail.queries.publishing import LABEL_PAIRS, label_pairs
-from idtrail.session import staged, work_folder
+from idtrail.session import remove_folder, staged, work_folder
 from idtrail.sinks import versions as R
 from idtrail.sinks.tables import FILE_ROWS, write_observed, write_sssom
 from idtrail.sources import tabular as T
@@ -179,13 +179,13 @@ def counts_while_writing(spark, folder):
 BLOCK = 500
 
 
-def numbered_lines(spark, path: str) -> DataFrame:
-    """``n, value``: the lines of part files, numbered from 0 as if they were one file.
+def numbered_lines(spark, path: str, folder: str | None = None) -> DataFrame:
+    """``n, value``: the lines of part files, numbered from 0 as if they were one file; they are stored in ``folder`` on the way.
 
     Lines are numbered in each split as it is read; only the splits' line counts are added up in one place.
     """
     block = F.struct("_metadata.file_name", "_metadata.file_block_start")
-    lines = staged(spark.read.text(path).select("value", block.alias("block"), F.monotonically_increasing_id().alias("at")))
+    lines = staged(spark.read.text(path).select("value", block.alias("block"), F.monotonically_increasing_id().alias("at")), folder, "zstd")
     sizes = lines.groupBy("block").agg(F.count("*").alias("size"), F.min("at").alias("first"))
     before = sizes.select(F.col("block").alias("of"), "first", (F.sum("size").over(Window.orderBy("block")) - F.col("size")).alias("before"))
     return lines.join(F.broadcast(before), F.col("block") == F.col("of")).select((F.col("before") + F.col("at") - F.col("first")).alias("n"), "value")
@@ -203,13 +203,34 @@ body AS (SELECT * FROM sorted_ UNION ALL SELECT 'subject_id' || chr(9) || 'predi
 blocks AS (SELECT n // {BLOCK} AS block, sha256(string_agg(value, chr(10) ORDER BY n)) AS d, min(n) AS first FROM body WHERE n // {BLOCK} > 0 GROUP BY 1)
 SELECT block::BIGINT AS block, d AS of_3, d AS of_17 FROM blocks""")
 def stable_export(spark, folder):
-    """Two exports of one mapping set, its rows dealt differently, in 3 and in 17 part files, or multiples of them: digests of the same 500 lines of each."""
-    rows = K.describe_mappings(B.live_edges(spark, folder), note_retired=False).withColumn("source", F.lit("lineitem"))
-    rows, told = staged(S.sssom_of_plain(rows)), []
-    for files, dealt in ((3, rows), (17, rows.repartition(max(5, rows.count() // FILE_ROWS), "object_id"))):
-        path = work_folder(spark)
-        write_sssom(dealt, path, P.set_metadata("UniProt", provider="lineitem"), files)
-        told.append(_block_digests(numbered_lines(spark, path), f"of_{files}"))
+    """Two exports of one mapping set, its rows dealt differently, in 3 and in 17 part files, or multiples of them: digests of the same 500 lines of each.
+
+    Tables and exports are compressed, and each leaves the disk when what is made of it is there.
+    """
+    made, told, meta = [], [], P.set_metadata("UniProt", provider="lineitem")
+
+    def stored(df: DataFrame) -> DataFrame:
+        made.append(work_folder(spark))
+        return staged(df, made[-1], "zstd")
+
+    def only(df: DataFrame) -> DataFrame:
+        """``df`` stored, and what was stored before it removed."""
+        df = stored(df)
+        while len(made) > 1:
+            remove_folder(spark, made.pop(0))
+        return df
+
+    rows = K.describe_mappings(B.live_edges(spark, folder), note_retired=False, stage=stored).withColumn("source", F.lit("lineitem"))
+    rows = only(S.sssom_of_plain(rows))
+    for files in (3, 17):
+        if files == 17:
+            rows = only(rows.repartition(max(5, rows.count() // FILE_ROWS), "object_id"))
+        path, numbered = work_folder(spark), work_folder(spark)
+        write_sssom(rows, path, meta, files, "gzip", read=(lambda: remove_folder(spark, *made)) if files == 17 else None)
+        lines = numbered_lines(spark, path, numbered)
+        remove_folder(spark, path)
+        told.append(staged(_block_digests(lines, f"of_{files}")))
+        remove_folder(spark, numbered)
     # the first block has the header, which the SQL form does not spell out
     return told[0].join(told[1], "block").where("block > 0")
 

@@ -41,10 +41,10 @@ def work_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/idtrail-{uuid.uuid4().hex}"
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Deletes a folder on whatever storage it is."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+def remove_folder(spark: SparkSession, *paths: str) -> None:
+    """Deletes folders on whatever storage they are."""
+    for place in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -61,7 +61,7 @@ def shuffles_released(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(RELEASE) if before is None else spark.conf.set(RELEASE, before)
 
 
-def staged(df: DataFrame, path: str | None = None) -> DataFrame:
+def staged(df: DataFrame, path: str | None = None, compression: str | None = None) -> DataFrame:
     """``df`` written once as Parquet to shared storage (``path``, or a new folder) and read back.
 
     For inputs that many branches read but that cannot be split or pruned (gzip text, XML):
@@ -70,5 +70,5 @@ def staged(df: DataFrame, path: str | None = None) -> DataFrame:
     """
     path = path or work_folder(df.sparkSession)
     with shuffles_released(df.sparkSession):
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

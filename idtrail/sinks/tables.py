@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from idtrail.functions import clean as C
 from idtrail.operators.changes import repeated
 from idtrail.operators.sssom import SetMetadata, header_lines, single_source
+from idtrail.session import remove_folder, shuffles_released, staged, work_folder
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -35,30 +36,46 @@ def write_tsv(df: DataFrame, path: str, names: Mapping[str, str] | None = None)
 FILE_ROWS = 250_000
 
 
-def in_order(df: DataFrame, files: int) -> DataFrame:
+def in_order(df: DataFrame, files: int, folder: str | None = None) -> DataFrame:
     """``df`` in ``files`` ranges of rows, sorted by all columns: one after the other they are the same sequence for any number of them.
 
     Ranges of more than some ``FILE_ROWS`` rows are cut further, all alike, so that no task sorts a fixed share of a large table. Equal rows are counted first and repeated behind the sort, so many copies of a row don't meet in one sort.
+    The counted rows are stored in ``folder``, for they are read twice: where the ranges end is sampled first.
     """
     columns = [F.col(f"`{c}`") for c in df.columns]
-    counted = df.groupBy(*columns).agg(F.count("*").alias("__n"))
+    counted = staged(df.groupBy(*columns).agg(F.count("*").alias("__n")), folder, "zstd")
     cuts = -(-df.count() // (files * FILE_ROWS))
     return repeated(counted.repartitionByRange(files * max(cuts, 1), *columns).sortWithinPartitions(*columns), "__n")
 
 
-def write_sssom(df: DataFrame, path: str, meta: SetMetadata, files: int | None = None) -> None:
+def write_sssom(
+    df: DataFrame, path: str, meta: SetMetadata, files: int | None = None, compression: str | None = None, read: Callable[[], None] | None = None
+) -> None:
     """Mapping set with its metadata header, in the same layout as :func:`write_tsv`.
 
     A source that all rows share moves to the header. ``df`` is read twice; hand it a stored table. With ``files`` the rows are
     sorted into at most so many part files, or a multiple of it (see :func:`in_order`): part files joined in name order are the same
-    bytes for any number of them.
+    bytes for any number of them. With ``compression`` (``gzip``) each part file is compressed by itself, which takes a fifth of the room.
+    ``read`` is called when ``df`` is not needed any more, which with ``files`` is before the export is written.
     """
     before, after = header_lines(meta)
     source = single_source(df)
     shared = [f'# source: "{source}"', "#"] if source is not None else []
     gap = [""] if meta.comment else []
     rows = df.drop("source") if shared else df
-    _write_lines([*before, *shared, *after, *gap], in_order(rows, files) if files else rows, path)
+    head = [*before, *shared, *after, *gap]
+    read, counted = read or (lambda: None), None
+    try:
+        if files:
+            counted = work_folder(df.sparkSession)
+            rows = in_order(rows, files, counted)
+            read()
+        _write_lines(head, rows, path, compression)
+        if not files:
+            read()
+    finally:
+        if counted:
+            remove_folder(df.sparkSession, counted)
 
 
 def write_observed(df: DataFrame, path: str, **counts: Column) -> dict[str, int]:
@@ -71,13 +88,14 @@ def write_observed(df: DataFrame, path: str, **counts: Column) -> dict[str, int]
     return seen.get
 
 
-def _write_lines(head: list[str], df: DataFrame, path: str) -> None:
+def _write_lines(head: list[str], df: DataFrame, path: str, compression: str | None = None) -> None:
     # A union keeps the order of its parts: the header is the first part file, the rows follow in
     # as many part files as there are tasks. No sort and no single writer is needed.
     text = "\n".join([*head, "\t".join(df.columns)])
     first = df.sparkSession.createDataFrame([(text,)], "value string").coalesce(1)
     rows = df.select(tsv_line(df).alias("value"))
-    first.union(rows).write.mode("overwrite").text(path)
+    with shuffles_released(df.sparkSession):
+        first.union(rows).write.mode("overwrite").option("zlib.compress.level", "BEST_SPEED").text(path, compression=compression)
 
 
 def write_xref_graph(

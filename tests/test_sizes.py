@@ -1,14 +1,18 @@
 """What one task holds, and what is read anew, as tables grow."""
 
+import gzip
 import re
 import time
+import uuid
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from idtrail import session
 from idtrail.operators import cardinality as K, joins as J, labels as L, sssom as S
 from idtrail.plans import profiles as P
-from idtrail.queries import scanning as Q
+from idtrail.queries import releases as R, scanning as Q
 from idtrail.session import RELEASE, staged
 from idtrail.sinks import tables as W
 from idtrail.sources import records
@@ -26,6 +30,48 @@ def test_a_range_of_an_export_has_its_limit(spark, tmp_path, monkeypatch):
     assert max(len(p.splitlines()) for p in parts) < 500
 
 
+def test_compressed_parts_are_the_same_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "work_folder", lambda spark: str(tmp_path / f"work-{uuid.uuid4().hex}"))
+    df = spark.range(3000).select(F.concat(F.lit("s"), F.col("id") % 900).alias("subject_id"), (F.col("id") % 7).cast("string").alias("object_id"))
+    told = []
+    for files, codec in ((3, None), (3, "gzip"), (None, "gzip")):
+        done, path = [], tmp_path / f"{files}-{codec}"
+        W.write_sssom(staged(df), str(path), S.SetMetadata(provider="P"), files, codec, read=lambda: done.append(path.exists()))
+        parts = [p.read_bytes() for p in sorted(path.glob("part-*"))]
+        told.append(b"".join(map(gzip.decompress, parts) if codec else parts))
+        assert done == [not files]  # the rows may go before a sorted export is written
+    assert told[0] == told[1] and sorted(told[2].splitlines()) == sorted(told[0].splitlines()) and len(told[0].splitlines()) == 3004
+    assert not list(tmp_path.glob("work-*"))
+
+
+def test_exports_leave_the_disk_when_their_digests_are_there(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "FILE_ROWS", 300)
+    for module in (W, R, session):
+        monkeypatch.setattr(module, "work_folder", lambda spark: str(tmp_path / f"work-{uuid.uuid4().hex}"))
+    lines = spark.range(2000).selectExpr("id % 700 AS l_orderkey", "id % 311 AS l_partkey", "IF(id % 50 = 0, NULL, id % 3) AS l_suppkey")
+    lines.unionAll(lines.limit(40)).write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = R.stable_export(spark, str(tmp_path))
+    told = rows(got)
+    assert [r[0] for r in told] == [1, 2, 3, 4] and all(a == b for _, a, b in told)
+    files = [p for p in tmp_path.glob("work-*/**/part-*")]
+    assert files and sum(p.stat().st_size for p in files) < 20_000 and not list(tmp_path.glob("work-*/*.gz")) + list(tmp_path.glob("work-*/*.txt"))
+
+
+def test_only_counts_above_one_are_looked_up(spark, rows):
+    made = [(f"p{i}", f"s{i}") for i in range(50)] + [("p1", "t1"), ("p2", "s3"), ("p2", "s3"), (None, "s1"), ("p4", None), ("Entry Withdrawn", "s5"), ("Entry Withdrawn", "w")]
+    df, seen = spark.createDataFrame(made, "primaryID string, secondaryID string"), []
+
+    def stage(table):
+        seen.append((table.columns[1], table.count()))
+        return staged(table)
+
+    got = rows(K.describe_mappings(df, note_retired=False, stage=stage), "primaryID", "secondaryID", K.CLASS)
+    assert got == rows(K.describe_mappings(df, note_retired=False), "primaryID", "secondaryID", K.CLASS)
+    assert seen == [("__fan_in", 2), ("secondaryID", 55), ("__fan_out", 2)]
+    classes = Counter(c for *_, c in got)
+    assert classes == {"1:1": 46, "n:1": 3, "n:n": 2, "1:n": 2, "1:0": 2, None: 2}
+
+
 def test_what_was_shuffled_for_a_table_leaves_the_disk(spark, rows):
     def shuffled():
         files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
